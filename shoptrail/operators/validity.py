@@ -13,13 +13,17 @@ def unpack(records: DataFrame) -> DataFrame:
 
     A field whose JSON type does not fit becomes NULL on its own; a document that is not JSON
     leaves all fields NULL. ``raw_value`` keeps the text.
+
+    The document goes through a generator rather than a projection: filters on its fields cannot be
+    pushed below a generator, where each field they mention would parse the document once more.
     """
     text = F.col("value").cast("string")
     envelope = [
         F.col(name).alias(f"kafka_{name}") for name in ("topic", "partition", "offset", "timestamp")
     ]
-    document = records.select(*envelope, text.alias("raw_value"), F.from_json(text, S.PAYLOAD).alias("doc"))
-    return document.select("doc.*", *[c for c in document.columns if c != "doc"])
+    return records.select(
+        *envelope, text.alias("raw_value"), F.inline(F.array(F.from_json(text, S.PAYLOAD)))
+    )
 
 
 def rejection_reason() -> Column:
