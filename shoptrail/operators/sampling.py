@@ -7,11 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoptrail import schemas as S
+from shoptrail.operators.skew import number_in_slices
 
 # Leading hex digits of a digest that name its bucket: 16^4 buckets, whatever the input.
 _BUCKET_DIGITS = 4
 # Copies of one row numbered by one task at a time.
 _COPIES_PER_STEP = 100_000
+# Up to this many 32-character digests may be broadcast (about 100 MB).
+_BROADCAST_DIGESTS = 1_000_000
+# A top-n of this size may be merged by one task.
+_FIRST_ROWS_IN_ONE_TASK = 100_000
 
 
 def _row_text(columns: list[str]) -> Column:
@@ -47,31 +52,31 @@ class Sample:
         return self.scanned < self.requested
 
 
-def _smallest(keyed: DataFrame, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest ``sample_key``.
+def _smallest(keyed: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(the ``n`` rows with the smallest ``sample_key``, how many rows there were).
 
     A histogram over the key's leading digits (a fixed number of buckets) finds the bucket the n-th
     key falls in. Buckets before it are kept whole; only that one is ranked. Keys are digests of
     distinct texts, so buckets hold even shares.
     """
     bucket = F.substring("sample_key", 1, _BUCKET_DIGITS)
-    sizes = keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    running = F.sum("n").over(Window.orderBy("bucket"))
-    cut = (
-        sizes.withColumn("upto", running).where(F.col("upto") >= n).orderBy("bucket").limit(1)
-        .select("bucket", (F.lit(n) - F.col("upto") + F.col("n")).alias("still")).first()
-    )
-    if cut is None:
-        return keyed
-    whole = keyed.where(bucket < cut["bucket"])
+    sizes = keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).collect()
+    total = sum(row["n"] for row in sizes)
+    if total <= n:
+        return keyed, total
+    taken = 0
+    for name, size in sorted((row["bucket"], row["n"]) for row in sizes):
+        if taken + size >= n:
+            break
+        taken += size
     ranked = Window.partitionBy(bucket).orderBy("sample_key")
     part = (
-        keyed.where(bucket == cut["bucket"])
+        keyed.where(bucket == name)
         .withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") <= cut["still"])
+        .where(F.col("_rank") <= n - taken)
         .drop("_rank")
     )
-    return whole.unionByName(part)
+    return keyed.where(bucket < name).unionByName(part), total
 
 
 def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
@@ -79,7 +84,8 @@ def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
 
     Every copy of every row gets a digest of (seed, row, number of the copy) and the n smallest
     win. The outcome depends on seed and content only, not on files or partitions. Digests and
-    their counts are all that is shuffled; the rows themselves are fetched by the winning digests.
+    their counts are all that is shuffled; the rows themselves are fetched by the winning digests,
+    which are broadcast when ``n`` bounds their size.
     """
     if n <= 0:
         raise ValueError("sample size must be positive")
@@ -87,13 +93,16 @@ def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
     digest = F.md5(F.concat(F.lit(f"{seed}|"), _row_text(columns)))
     marked = df.withColumn("row_digest", digest)
     counted = marked.groupBy("row_digest").agg(F.count("*").alias("copies"))
-    scanned = counted.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     keyed = _copies(counted).withColumn(
         "sample_key", F.md5(F.concat_ws("|", "row_digest", F.col("copy").cast("string")))
     )
-    winners = _smallest(keyed, n).select("row_digest", "sample_key")
+    smallest, scanned = _smallest(keyed, n)
+    winners = smallest.select("row_digest", "sample_key")
+    wanted = winners.select("row_digest")
+    if n <= _BROADCAST_DIGESTS:
+        wanted = F.broadcast(wanted)
     # Copies of a row are alike, so one of each is enough to serve all winners with its digest.
-    contents = marked.dropDuplicates(["row_digest"])
+    contents = marked.join(wanted, "row_digest", "left_semi").dropDuplicates(["row_digest"])
     rows = winners.join(contents, "row_digest").select("sample_key", *columns)
     return Sample(rows, scanned, n)
 
@@ -124,4 +133,7 @@ def stamp_event_ids(sample: DataFrame, seed: int = 42) -> DataFrame:
 
 def first_rows(df: DataFrame, n: int, position: str) -> DataFrame:
     """The first ``n`` rows by a unique position."""
-    return df.orderBy(position).limit(n)
+    if n <= _FIRST_ROWS_IN_ONE_TASK:
+        return df.orderBy(position).limit(n)
+    numbered = number_in_slices(df.withColumn("_all", F.lit(0)), "_all", [position], "_number", {})
+    return numbered.where(F.col("_number") <= n).drop("_all", "_number")

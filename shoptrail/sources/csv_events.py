@@ -18,7 +18,7 @@ def require_columns(present: list[str], expected: list[str]) -> None:
 def _reader(spark: SparkSession, folder: bool):
     # Fields may hold quoted line breaks only if multiLine is set, which would make files
     # unsplittable; event files have none.
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', enforceSchema=False)
     return reader.option("pathGlobFilter", "*.{csv,gz}") if folder else reader
 
 
@@ -27,8 +27,8 @@ def read_csv_events(
 ) -> DataFrame:
     """All-text scan by column name, whatever order the header has.
 
-    The header of every file is enforced by Spark against the one the first file shows; the columns
-    expected must all be there. Gzip files are read whole by one task each (they cannot be split).
+    All expected columns must be there. Files whose header differs from the first one's are refused
+    rather than read askew. Gzip files are read whole by one task each (they cannot be split).
     """
     header = _reader(spark, folder).option("inferSchema", False).csv(path)
     require_columns(header.columns, schema.names)
