@@ -223,3 +223,205 @@ def _chain(layers: list[str]) -> str:
 
 def over(layers: str, select: str) -> str:
     return f"{_chain(layers.split())}\n{select}"
+
+
+# --- Quality checks ------------------------------------------------------------------------------
+
+_BLANK = r"({0} IS NULL OR regexp_matches({0}, '^\s*$'))"
+_BAD_TYPE = f"event_type IS NULL OR event_type NOT IN {_TYPES}"
+
+
+def rows_where(table: str, condition: str) -> str:
+    return f"SELECT count(*) FROM {table} WHERE {condition}"
+
+
+def repeats(table: str, key: str) -> str:
+    return f"SELECT count({key}) - count(DISTINCT {key}) FROM {table}"
+
+
+def gap(left: str, right: str) -> str:
+    return f"SELECT abs(({left}) - ({right}))"
+
+
+def excess(left: str, right: str) -> str:
+    return f"SELECT greatest(({left}) - ({right}), 0)"
+
+
+def off_by_a_cent(left: str, right: str) -> str:
+    return f"SELECT CAST(abs(({left}) - ({right})) > 0.01 AS BIGINT)"
+
+
+def count(table: str, condition: str = "true") -> str:
+    return rows_where(table, condition)
+
+
+def short_of(minimum: int, table: str) -> str:
+    return excess(str(minimum), count(table))
+
+
+def check_select(suite: str, checks: dict[str, str], warn: tuple[str, ...] = ()) -> str:
+    rows = [
+        f"SELECT '{suite}' AS suite, '{name}' AS \"check\", CAST(({sql}) AS BIGINT) AS violations, "
+        f"'{'WARN' if name in warn else 'FAIL'}' AS bad"
+        for name, sql in {"required_columns": "SELECT 0", **checks}.items()
+    ]
+    union = " UNION ALL ".join(rows)
+    return (
+        'SELECT suite, "check", violations, CASE WHEN violations = 0 THEN \'PASS\' ELSE bad END AS status '
+        f"FROM ({union})"
+    )
+
+
+BRONZE_CHECKS = {
+    "min_rows": short_of(1, "bronze"),
+    "blank_event_id": rows_where("bronze", _BLANK.format("event_id")),
+    "invalid_event_type": rows_where("bronze", _BAD_TYPE),
+    "unparseable_event_time": rows_where(
+        "bronze",
+        "event_time IS NULL OR try_strptime(event_time, '%Y-%m-%d %H:%M:%S UTC') IS NULL OR NOT "
+        r"regexp_full_match(event_time, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2} UTC')",
+    ),
+    "null_event_date": rows_where("bronze", "event_date IS NULL"),
+    "empty_rows": rows_where(
+        "bronze",
+        "coalesce(event_id, event_time, event_type, category_id, category_code, brand, user_session) "
+        "IS NULL AND coalesce(product_id, user_id) IS NULL AND price IS NULL AND event_date IS NULL",
+    ),
+}
+SILVER_CHECKS = {
+    "min_rows": short_of(1, "silver"),
+    "blank_event_id": rows_where("silver", _BLANK.format("event_id")),
+    "invalid_event_type": rows_where("silver", _BAD_TYPE),
+    "null_event_ts": rows_where("silver", "event_ts IS NULL"),
+    "null_event_date": rows_where("silver", "event_date IS NULL"),
+    "null_product_id": rows_where("silver", "product_id IS NULL"),
+    "null_user_id": rows_where("silver", "user_id IS NULL"),
+    "blank_user_session": rows_where("silver", _BLANK.format("user_session")),
+    "negative_price": rows_where("silver", "price < 0"),
+    "nan_price": rows_where("silver", "isnan(price)"),
+    "duplicate_event_id": repeats("silver", "event_id"),
+    "rows_within_bronze": excess(count("silver"), count("bronze")),
+}
+SESSION_EVENT_CHECKS = {
+    "blank_event_id": rows_where("session_events", _BLANK.format("event_id")),
+    "blank_session_id": rows_where("session_events", _BLANK.format("session_id")),
+    "invalid_sequence": rows_where(
+        "session_events", "event_seq_in_session IS NULL OR event_seq_in_session < 1"
+    ),
+    "negative_seconds": rows_where("session_events", "seconds_from_session_start < 0"),
+    "null_session_start": rows_where("session_events", "session_start_ts IS NULL"),
+    "rows_match_silver": gap(count("session_events"), count("silver")),
+}
+_SESSIONS_SEEN = "SELECT count(DISTINCT session_id) FROM session_events WHERE trim(session_id) <> ''"
+SESSION_CHECKS = {
+    "min_rows": short_of(1, "fct_sessions"),
+    "blank_session_id": rows_where("fct_sessions", _BLANK.format("session_id")),
+    "event_count_below_one": rows_where("fct_sessions", "event_count IS NULL OR event_count < 1"),
+    "negative_duration": rows_where("fct_sessions", "session_duration_seconds < 0"),
+    "negative_revenue": rows_where("fct_sessions", "session_revenue < 0"),
+    "type_counts_mismatch": rows_where(
+        "fct_sessions",
+        "event_count <> view_count + cart_count + remove_from_cart_count + purchase_count",
+    ),
+    "converted_mismatch": rows_where("fct_sessions", "converted <> (purchase_count > 0)"),
+    "duplicate_session_id": repeats("fct_sessions", "session_id"),
+    "rows_match_sessions": gap(count("fct_sessions"), _SESSIONS_SEEN),
+}
+_PURCHASE_EVENTS = count("session_events", "event_type = 'purchase'")
+PURCHASE_CHECKS = {
+    "min_rows": short_of(1, "fct_purchases"),
+    "blank_purchase_id": rows_where("fct_purchases", _BLANK.format("purchase_id")),
+    "blank_session_id": rows_where("fct_purchases", _BLANK.format("session_id")),
+    "null_product_id": rows_where("fct_purchases", "product_id IS NULL"),
+    "null_purchase_ts": rows_where("fct_purchases", "purchase_ts IS NULL"),
+    "negative_amount": rows_where("fct_purchases", "purchase_amount < 0"),
+    "duplicate_purchase_id": repeats("fct_purchases", "purchase_id"),
+    "rows_match_purchase_events": gap(count("fct_purchases"), _PURCHASE_EVENTS),
+}
+_EVENT_REVENUE = "SELECT sum(price) FROM session_events WHERE event_type = 'purchase'"
+_PRODUCT_REVENUE = "SELECT sum(total_revenue) FROM agg_product_performance"
+PRODUCT_CHECKS = {
+    "null_product_id": rows_where("agg_product_performance", "product_id IS NULL"),
+    "negative_revenue": rows_where("agg_product_performance", "total_revenue < 0"),
+    "negative_view_count": rows_where("agg_product_performance", "view_count < 0"),
+    "rate_out_of_range": rows_where(
+        "agg_product_performance",
+        "least(view_to_purchase_rate, cart_to_purchase_rate) < 0 "
+        "OR greatest(view_to_purchase_rate, cart_to_purchase_rate) > 1",
+    ),
+    "revenue_without_purchases": rows_where(
+        "agg_product_performance", "purchase_count = 0 AND total_revenue <> 0"
+    ),
+    "duplicate_product_id": repeats("agg_product_performance", "product_id"),
+    "rows_match_products": gap(
+        count("agg_product_performance"), "SELECT count(DISTINCT product_id) FROM session_events"
+    ),
+    "revenue_matches_events": off_by_a_cent(_PRODUCT_REVENUE, _EVENT_REVENUE),
+}
+_FUNNEL_SESSIONS = "SELECT sum(total_sessions) FROM agg_conversion_funnel"
+FUNNEL_CHECKS = {
+    "rate_out_of_range": rows_where(
+        "agg_conversion_funnel",
+        "least(view_to_cart_rate, cart_to_purchase_rate, view_to_purchase_rate, cart_abandonment_rate) < 0 "
+        "OR greatest(view_to_cart_rate, cart_to_purchase_rate, view_to_purchase_rate, "
+        "cart_abandonment_rate) > 1",
+    ),
+    "inconsistent_counts": (
+        "SELECT coalesce(sum(CAST(sessions_with_view > total_sessions OR sessions_with_cart > "
+        "total_sessions AS BIGINT) + CAST(abandoned_cart_sessions > sessions_with_cart AS BIGINT)), 0) "
+        "FROM agg_conversion_funnel"
+    ),
+    "sessions_match": gap(_FUNNEL_SESSIONS, count("fct_sessions")),
+}
+CART_CHECKS = {
+    "min_rows": short_of(0, "fct_cart_abandonment"),
+    "blank_session_id": rows_where("fct_cart_abandonment", _BLANK.format("session_id")),
+    "not_abandoned": rows_where("fct_cart_abandonment", "NOT abandoned"),
+    "cart_count_below_one": rows_where("fct_cart_abandonment", "cart_count IS NULL OR cart_count < 1"),
+    "null_first_cart_ts": rows_where("fct_cart_abandonment", "first_cart_ts IS NULL"),
+    "duplicate_session_id": repeats("fct_cart_abandonment", "session_id"),
+    "rows_match_sessions": gap(
+        count("fct_cart_abandonment"), count("fct_sessions", "cart_count > 0 AND NOT converted")
+    ),
+}
+_PURCHASE_REVENUE = "SELECT sum(purchase_amount) FROM fct_purchases"
+CROSS_LAYER_CHECKS = {
+    "silver_within_bronze": excess(count("silver"), count("bronze")),
+    "session_events_match_silver": gap(count("session_events"), count("silver")),
+    "sessions_match_session_ids": gap(
+        count("fct_sessions"), "SELECT count(DISTINCT session_id) FROM session_events"
+    ),
+    "purchases_match_purchase_events": gap(count("fct_purchases"), _PURCHASE_EVENTS),
+    "session_revenue_matches_purchases": off_by_a_cent(
+        "SELECT sum(session_revenue) FROM fct_sessions", _PURCHASE_REVENUE
+    ),
+    "purchase_revenue_matches_products": off_by_a_cent(_PURCHASE_REVENUE, _PRODUCT_REVENUE),
+    "funnel_matches_sessions": gap(_FUNNEL_SESSIONS, count("fct_sessions")),
+}
+# suite -> (layers it reads, checks, checks that only warn)
+SUITES = {
+    "bronze": ("bronze", BRONZE_CHECKS, ()),
+    "silver": ("silver bronze", SILVER_CHECKS, ("nan_price",)),
+    "session_events": ("session_events", SESSION_EVENT_CHECKS, ()),
+    "fct_sessions": ("fct_sessions session_events", SESSION_CHECKS, ()),
+    "fct_purchases": ("fct_purchases", PURCHASE_CHECKS, ()),
+    "agg_product_performance": ("agg_product_performance", PRODUCT_CHECKS, ()),
+    "agg_conversion_funnel": ("agg_conversion_funnel fct_sessions", FUNNEL_CHECKS, ()),
+    "fct_cart_abandonment": ("fct_cart_abandonment", CART_CHECKS, ()),
+    "cross_layer": (
+        "bronze fct_sessions fct_purchases agg_product_performance agg_conversion_funnel",
+        CROSS_LAYER_CHECKS,
+        (),
+    ),
+}
+
+
+def suite(name: str) -> str:
+    layers, checks, warn = SUITES[name]
+    return over(layers, check_select(name, checks, warn))
+
+
+def all_suites() -> str:
+    layers = " ".join(layers for layers, _, _ in SUITES.values())
+    selects = [check_select(name, checks, warn) for name, (_, checks, warn) in SUITES.items()]
+    return over(layers, " UNION ALL ".join(selects))

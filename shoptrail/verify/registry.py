@@ -5,12 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import DoubleType, StructType, TimestampType
 
 from shoptrail import schemas as S
-from shoptrail.operators import carts, funnel, products, purchases, refine, sessionize, sessions, validity
-from shoptrail.plans import testdata
-from shoptrail.session import configure
+from shoptrail.operators import (
+    carts, funnel, models, products, purchases, refine, report, sampling, sessionize, sessions, validity,
+)
+from shoptrail.plans import medallion, testdata
+from shoptrail.quality import gate, suites
+from shoptrail.quality.column_tests import ALL_TESTS, column_tests
+from shoptrail.session import configure, new_shared_path
+from shoptrail.sources import csv_events, load, publish, topic
+from shoptrail.sources.layers import read_layer
 from shoptrail.verify import oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +154,438 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
         fct_cart_abandonment, "fct_cart_abandonment", S.FCT_CART_ABANDONMENT
     ),
 }
+
+# --- Queries over a finished run -----------------------------------------------------------------
+
+_LAKES: dict[tuple[str, str], medallion.Lake] = {}
+
+
+def lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+    """Layers built from the given tables by the real jobs, stream ingest included.
+
+    Built once per application and folder, in the shared scratch folder; what validates and serves
+    then reads finished layers, as it would in production.
+    """
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        built = medallion.Lake(new_shared_path(spark, "lake"))
+        medallion.run(spark, built, testdata.topic_records(testdata.stream_events(spark, sf_dir)))
+        _LAKES[key] = built
+    return _LAKES[key]
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return medallion.read_tables(spark, lake(spark, sf_dir))
+
+
+def _suite(name: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> tuple[Query, str]:
+    return lambda spark, sf_dir: build(_tables(spark, sf_dir)), oracle.suite(name)
+
+
+def _mart(name: str) -> tuple[Query, str]:
+    """Publish, typed load, staging passthrough and mart, held against the layer they come from."""
+    source, columns = S.MARTS[name]
+    schema = StructType([S.GOLD[source][0][c] for c in columns])
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _comparable(models.marts(_staged(spark, sf_dir))[name])
+
+    return query, oracle.over(source, f"SELECT {_columns(schema)} FROM {source}")
+
+
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    target = new_shared_path(spark, "published")
+    publish.publish(spark, lake(spark, sf_dir).gold, target)
+    return f"{target}/{S.CURATED_PREFIX}"
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    root = _published(spark, sf_dir)
+    return {name: load.typed(spark, root, name) for name in S.GOLD}
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return models.staging(_loaded(spark, sf_dir))
+
+
+def _staging(name: str) -> tuple[Query, str]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _comparable(_staged(spark, sf_dir)[f"stg_{name}"])
+
+    return query, oracle.over(name, f"SELECT {_columns(S.GOLD[name][0])} FROM {name}")
+
+
+def _lake_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = _tables(spark, sf_dir)
+    return models.marts(models.staging({name: tables[name] for name in S.GOLD}))
+
+
+def _column_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _tables(spark, sf_dir)
+    staged = models.staging({name: tables[name] for name in S.GOLD})
+    return column_tests({**tables, **staged, **models.marts(staged)})
+
+
+def _column_tests_sql() -> str:
+    """Every declared test as one SELECT over the curated table its relation passes through."""
+    base = {name: name for name in S.GOLD}
+    base |= {f"stg_{name}": name for name in S.GOLD} | {name: src for name, (src, _) in S.MARTS.items()}
+    selects = []
+    for relation, columns in ALL_TESTS.items():
+        for column, tests in columns.items():
+            for test in tests:
+                name, table = test if isinstance(test, str) else test[0], base[relation]
+                if name == "not_null":
+                    found = f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
+                elif name == "unique":
+                    found = (
+                        f"SELECT count(*) FROM (SELECT {column} FROM {table} WHERE {column} IS NOT NULL "
+                        f"GROUP BY {column} HAVING count(*) > 1)"
+                    )
+                else:
+                    allowed = ", ".join(str(value) for value in test[1])
+                    found = f"SELECT count(DISTINCT {column}) FROM {table} WHERE {column} NOT IN ({allowed})"
+                selects.append(
+                    f"SELECT '{relation}' AS relation, '{column}' AS column_name, '{name}' AS test, "
+                    f"({found}) AS failures"
+                )
+    union = " UNION ALL ".join(selects)
+    return oracle.over(
+        " ".join(S.GOLD),
+        f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({union})",
+    )
+
+
+def _milestones_sql() -> str:
+    targets = ", ".join(
+        f"('{name}', CAST({value} AS DOUBLE), CAST({slack} AS DOUBLE))"
+        for name, (value, slack) in S.MILESTONES.items()
+    )
+    actual = " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, CAST(({sql}) AS DOUBLE) AS actual"
+        for name, sql in {
+            "bronze_rows": "SELECT count(*) FROM bronze",
+            "silver_rows": "SELECT count(*) FROM silver",
+            "fct_sessions": "SELECT count(*) FROM fct_sessions",
+            "fct_purchases": "SELECT count(*) FROM fct_purchases",
+            "agg_product_performance": "SELECT count(*) FROM agg_product_performance",
+            "fct_cart_abandonment": "SELECT count(*) FROM fct_cart_abandonment",
+            "total_revenue": "SELECT sum(purchase_amount) FROM fct_purchases",
+        }.items()
+    )
+    return oracle.over(
+        "bronze " + " ".join(S.GOLD),
+        f"""SELECT metric, round(actual, 2) AS actual, expected, tolerance,
+            round(abs(actual - expected), 2) AS delta,
+            CASE WHEN abs(actual - expected) <= tolerance THEN 'ok' ELSE 'DRIFT' END AS status
+        FROM ({actual}) JOIN (VALUES {targets}) t(metric, expected, tolerance) USING (metric)""",
+    )
+
+
+def _stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    fresh = medallion.Lake(new_shared_path(spark, "stream"))
+    medallion.ingest(testdata.topic_records(testdata.stream_events(spark, sf_dir)), fresh)
+    return _comparable(medallion.read_bronze(spark, fresh))
+
+
+def _replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text rows encoded, written to a topic folder, drained from it twice."""
+    configure(spark)
+    rows = testdata.sample_rows(testdata.read_events(spark, sf_dir))
+    fresh = medallion.Lake(new_shared_path(spark, "replay"))
+    records = topic.encode(rows, F.col("source_row"))
+    topic.write_files(records, f"{fresh.root}/topic", testdata.TOPIC, testdata.PARTITIONS)
+    for _ in range(2):
+        medallion.ingest(topic.read_files(spark, f"{fresh.root}/topic"), fresh)
+    bronze_rows = medallion.read_bronze(spark, fresh)
+    return _comparable(bronze_rows.select(*S.PAYLOAD.names, "event_date"))
+
+
+_SAMPLE_ROWS, _SAMPLE_SEED = 1_000, 42
+_TEXT = {c: f"CAST({c} AS VARCHAR) AS {c}" for c in S.PAYLOAD.names}
+
+
+def _sample_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return testdata.sample_rows(testdata.read_events(spark, sf_dir)).select(*S.SOURCE_CSV.names)
+
+
+def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.fixed_size_sample(_sample_source(spark, sf_dir), _SAMPLE_ROWS, _SAMPLE_SEED).rows
+
+
+def _sample_sql(select: str) -> str:
+    names = S.SOURCE_CSV.names
+    texts = ", ".join(_TEXT[c] for c in names)
+    row_text = " || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in names)
+    return oracle.over(
+        "raw",
+        f"""SELECT {select} FROM (
+          SELECT *, md5(md5('{_SAMPLE_SEED}|' || {row_text}) || '|' ||
+              row_number() OVER (PARTITION BY {', '.join(names)})) AS sample_key
+          FROM (SELECT {texts} FROM raw))
+        ORDER BY sample_key LIMIT {_SAMPLE_ROWS}""",
+    )
+
+
+def _csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text rows written as CSV and read back by the source scan."""
+    path = new_shared_path(spark, "csv")
+    source = _sample_source(spark, sf_dir)
+    source.write.option("header", True).option("emptyValue", "").option("compression", "gzip").csv(path)
+    return csv_events.read_csv_events(spark, path, folder=True)
+
+
+def _payload_sql() -> str:
+    def text(name: str) -> str:
+        return f"coalesce(to_json(nullif({name}, '')), 'null')"
+
+    numbers = {"product_id": "coalesce(CAST(product_id AS VARCHAR), 'null')",
+               "user_id": "coalesce(CAST(user_id AS VARCHAR), 'null')",
+               "price": "coalesce(CAST(price AS VARCHAR), 'null')",
+               "category_id": "coalesce(CAST(TRY_CAST(category_id AS BIGINT) AS VARCHAR), to_json(category_id))"}
+    fields = " || ',' || ".join(f"'\"{c}\":' || {numbers.get(c, text(c))}" for c in S.PAYLOAD.names)
+    return oracle.over(
+        "raw",
+        f"""SELECT coalesce(nullif(event_id, ''), 'row_' || source_row) AS key,
+            '{{' || {fields} || '}}' AS value FROM raw""",
+    )
+
+
+def _replay_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    rows = testdata.sample_rows(testdata.read_events(spark, sf_dir))
+    return topic.encode(rows, F.col("source_row"))
+
+
+def _first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    rows = testdata.sample_rows(testdata.read_events(spark, sf_dir))
+    return sampling.first_rows(rows, 500, "source_row")
+
+
+def _dq_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    rows = testdata.sample_rows(testdata.read_events(spark, sf_dir))
+    return suites.sample_file(rows, 11_000)
+
+
+_SAMPLE_CHECKS = {
+    "expected_rows": "SELECT abs((SELECT count(*) FROM raw) - 11000)",
+    "duplicate_event_id": "SELECT count(*) - count(DISTINCT coalesce(event_id, '')) FROM raw",
+    "invalid_event_type": oracle.rows_where("raw", oracle._BAD_TYPE),
+    "unparseable_event_time": oracle.rows_where(
+        "raw", "try_strptime(replace(event_time, ' UTC', ''), '%Y-%m-%d %H:%M:%S') IS NULL"
+    ),
+    "negative_price": oracle.rows_where("raw", "price < 0"),
+}
+
+
+def _comparable_quarantine_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = lake(spark, sf_dir)
+    return _comparable(read_layer(spark, built.quarantine, S.QUARANTINE), ("raw_value",))
+
+
+REGISTRY |= {
+    "event_type_histogram": (
+        lambda spark, sf_dir: report.event_type_histogram(bronze(spark, sf_dir)),
+        oracle.over(
+            "bronze",
+            "SELECT coalesce(event_type, 'NULL') AS event_type, count(*) AS row_count FROM bronze GROUP BY 1",
+        ),
+    ),
+    "layer_totals": (
+        lambda spark, sf_dir: _comparable(report.totals(bronze(spark, sf_dir), "price", "event_id")),
+        oracle.over(
+            "bronze",
+            "SELECT count(*) AS row_count, round(sum(price), 2) AS total, "
+            "count(DISTINCT event_id) AS distinct_keys FROM bronze",
+        ),
+    ),
+    "stream_to_bronze": (_stream_to_bronze, REGISTRY["bronze_events"][1]),
+    "stream_to_quarantine": (_comparable_quarantine_flow, REGISTRY["quarantine_events"][1]),
+    "replay_to_bronze": (
+        _replay_to_bronze,
+        oracle.over(
+            "bronze",
+            "SELECT event_id, event_time, event_type, product_id, category_id, category_code, "
+            "nullif(brand, '') AS brand, round(price, 2) AS price, user_id, user_session, event_date "
+            "FROM bronze WHERE event_id <> ''",
+        ),
+    ),
+    "replay_payload": (_replay_payload, _payload_sql()),
+    "replay_limit": (
+        _first_rows,
+        oracle.over(
+            "raw",
+            f"SELECT source_row, {', '.join(_TEXT.values())} FROM raw ORDER BY source_row LIMIT 500",
+        ),
+    ),
+    "csv_source_events": (
+        _csv_events,
+        oracle.over(
+            "raw",
+            "SELECT " + ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in S.SOURCE_CSV.names)
+            + " FROM raw",
+        ),
+    ),
+    "fixed_size_sample": (_sampled, _sample_sql("*")),
+    "sample_event_ids": (
+        lambda spark, sf_dir: sampling.stamp_event_ids(_sampled(spark, sf_dir), _SAMPLE_SEED),
+        _sample_sql(
+            f"'evt_{_SAMPLE_SEED}_' || lpad(CAST(row_number() OVER (ORDER BY sample_key) AS VARCHAR), 10, '0') "
+            "AS event_id, " + ", ".join(f"coalesce({c}, '') AS {c}" for c in S.SOURCE_CSV.names)
+        ),
+    ),
+    **{f"stg_{name}": _staging(name) for name in S.GOLD},
+    **{name: _mart(name) for name in S.MARTS},
+    "session_kpis": (
+        lambda spark, sf_dir: _comparable(
+            report.session_kpis(_lake_marts(spark, sf_dir)["mart_sessions"])
+        ),
+        oracle.over(
+            "fct_sessions",
+            "SELECT count(*) AS session_count, count(*) FILTER (converted) AS converted_sessions, "
+            "round(sum(session_revenue), 2) AS total_revenue, "
+            "round(avg(session_duration_seconds), 2) AS avg_duration_sec, "
+            "round(count(*) FILTER (converted) / count(*), 6) AS conversion_rate FROM fct_sessions",
+        ),
+    ),
+    "top_products_by_revenue": (
+        lambda spark, sf_dir: _comparable(
+            report.top_products(_lake_marts(spark, sf_dir)["mart_product_performance"])
+        ),
+        oracle.over(
+            "agg_product_performance",
+            "SELECT product_id, category_code, brand, purchase_count, unique_purchasers, "
+            "round(total_revenue, 2) AS total_revenue, round(view_to_purchase_rate, 6) AS "
+            "view_to_purchase_rate, round(cart_to_purchase_rate, 6) AS cart_to_purchase_rate "
+            "FROM agg_product_performance ORDER BY agg_product_performance.total_revenue DESC NULLS LAST, "
+            "product_id LIMIT 25",
+        ),
+    ),
+    "funnel_by_day": (
+        lambda spark, sf_dir: _comparable(
+            report.funnel_by_day(_lake_marts(spark, sf_dir)["mart_conversion_funnel"])
+        ),
+        oracle.over(
+            "agg_conversion_funnel",
+            "SELECT session_date, total_sessions, sessions_with_view, sessions_with_cart, "
+            "sessions_with_purchase, round(view_to_cart_rate, 6) AS view_to_cart_rate, "
+            "round(cart_to_purchase_rate, 6) AS cart_to_purchase_rate, round(view_to_purchase_rate, 6) "
+            "AS view_to_purchase_rate, round(cart_abandonment_rate, 6) AS cart_abandonment_rate, "
+            "abandoned_cart_sessions FROM agg_conversion_funnel ORDER BY session_date",
+        ),
+    ),
+    "gold_row_counts": (
+        lambda spark, sf_dir: report.row_counts(_loaded(spark, sf_dir)),
+        oracle.over(
+            " ".join(S.GOLD),
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in S.GOLD
+            ),
+        ),
+    ),
+    "gold_presence": (
+        lambda spark, sf_dir: gate.gold_presence(spark, lake(spark, sf_dir).gold),
+        oracle.over(
+            " ".join(S.GOLD),
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*) AS row_count, 'PASS' AS status FROM {name}"
+                for name in S.GOLD
+            ),
+        ),
+    ),
+    # File counts depend on how the work was split, so SQL has nothing to say about them.
+    "gold_inventory": (
+        lambda spark, sf_dir: publish.inventory_totals(publish.inventory(spark, lake(spark, sf_dir).gold)),
+        None,
+    ),
+    "dq_bronze": _suite("bronze", lambda t: suites.bronze(t["bronze"])),
+    "dq_silver": _suite("silver", lambda t: suites.silver(t["silver"], t["bronze"])),
+    "dq_session_events": _suite(
+        "session_events", lambda t: suites.session_events(t["session_events"], t["silver"])
+    ),
+    "dq_fct_sessions": _suite(
+        "fct_sessions", lambda t: suites.fct_sessions(t["fct_sessions"], t["session_events"])
+    ),
+    "dq_fct_purchases": _suite(
+        "fct_purchases", lambda t: suites.fct_purchases(t["fct_purchases"], t["session_events"])
+    ),
+    "dq_agg_product_performance": _suite(
+        "agg_product_performance",
+        lambda t: suites.agg_product_performance(t["agg_product_performance"], t["session_events"]),
+    ),
+    "dq_agg_conversion_funnel": _suite(
+        "agg_conversion_funnel",
+        lambda t: suites.agg_conversion_funnel(t["agg_conversion_funnel"], t["fct_sessions"]),
+    ),
+    "dq_fct_cart_abandonment": _suite(
+        "fct_cart_abandonment",
+        lambda t: suites.fct_cart_abandonment(t["fct_cart_abandonment"], t["fct_sessions"]),
+    ),
+    "dq_cross_layer": _suite("cross_layer", suites.cross_layer),
+    "dq_pipeline": (
+        lambda spark, sf_dir: gate.validate(_tables(spark, sf_dir)),
+        oracle.all_suites(),
+    ),
+    "dq_summary": (
+        lambda spark, sf_dir: gate.summarise(gate.validate(_tables(spark, sf_dir)))
+        .select("overall_status", F.explode("checks").alias("entry"))
+        .select("overall_status", "entry.name", "entry.status", F.concat_ws("; ", "entry.details").alias("details")),
+        f"""SELECT max(CASE WHEN failed > 0 THEN 'FAIL' ELSE '' END) OVER () || CASE WHEN
+              sum(failed) OVER () = 0 THEN 'PASS' ELSE '' END AS overall_status, name,
+            CASE WHEN failed > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+            CASE WHEN failed > 0 THEN found ELSE 'ok' END AS details
+        FROM (SELECT suite AS name, count(*) FILTER (status = 'FAIL') AS failed,
+              string_agg("check" || ': ' || violations, '; ' ORDER BY "check")
+                FILTER (status = 'FAIL') AS found
+            FROM ({oracle.all_suites()}) GROUP BY suite)""",
+    ),
+    "dq_sample_file": (
+        _dq_sample, oracle.over("raw", oracle.check_select("sample", _SAMPLE_CHECKS))
+    ),
+    "dq_bronze_structure": (
+        lambda spark, sf_dir: gate.bronze_structure(
+            _tables(spark, sf_dir)["bronze"],
+            quarantine=read_layer(spark, lake(spark, sf_dir).quarantine, S.QUARANTINE),
+        ),
+        oracle.over(
+            "bronze quarantine",
+            oracle.check_select(
+                "bronze_structure",
+                {
+                    "min_rows": oracle.short_of(1_000_000, "bronze"),
+                    "topic_columns": "SELECT 0",
+                    "partition_columns": "SELECT 0",
+                    "quarantined_rows": oracle.count("quarantine"),
+                },
+                ("quarantined_rows",),
+            ),
+        ),
+    ),
+    "dq_silver_structure": (
+        lambda spark, sf_dir: gate.silver_structure(
+            _tables(spark, sf_dir)["silver"], _tables(spark, sf_dir)["bronze"]
+        ),
+        oracle.over(
+            "silver",
+            oracle.check_select(
+                "silver_structure",
+                {
+                    "min_rows": oracle.short_of(1_000_000, "silver"),
+                    "rows_within_bronze": oracle.excess(oracle.count("silver"), oracle.count("bronze")),
+                    "duplicate_event_id": oracle.repeats("silver", "event_id"),
+                    "cleaned_columns": "SELECT 0",
+                },
+            ),
+        ),
+    ),
+    "dq_milestones": (
+        lambda spark, sf_dir: _comparable(gate.milestones(_tables(spark, sf_dir))),
+        _milestones_sql(),
+    ),
+    "column_tests": (_column_tests, _column_tests_sql()),
+}
