@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoptrail import schemas as S
 from shoptrail.operators.skew import number_in_slices
+from shoptrail.session import cut_lineage
 
 # Leading hex digits of a digest that name its bucket: 16^4 buckets, whatever the input.
 _BUCKET_DIGITS = 4
@@ -79,13 +80,31 @@ def _smallest(keyed: DataFrame, n: int) -> tuple[DataFrame, int]:
     return keyed.where(bucket < name).unionByName(part), total
 
 
+def _numbered(keys: DataFrame) -> DataFrame:
+    """Add ``sample_number``, the row's place in key order from 1.
+
+    Rows are ranked inside a bucket of the key; what earlier buckets hold is added from the
+    histogram, which has a fixed number of rows.
+    """
+    bucketed = keys.withColumn("_bucket", F.substring("sample_key", 1, _BUCKET_DIGITS))
+    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("sample_key"))
+    placed = bucketed.withColumn("_place", place).join(F.broadcast(offsets), "_bucket")
+    return placed.withColumn("sample_number", F.col("_before") + F.col("_place")).drop(
+        "_bucket", "_before", "_place"
+    )
+
+
 def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
     """Uniform sample of exactly ``n`` rows without replacement (all rows if there are fewer).
 
     Every copy of every row gets a digest of (seed, row, number of the copy) and the n smallest
     win. The outcome depends on seed and content only, not on files or partitions. Digests and
     their counts are all that is shuffled; the rows themselves are fetched by the winning digests,
-    which are broadcast when ``n`` bounds their size.
+    which are broadcast when ``n`` bounds their size. Rows come with ``sample_key`` and their
+    ``sample_number`` in key order.
     """
     if n <= 0:
         raise ValueError("sample size must be positive")
@@ -97,38 +116,26 @@ def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
         "sample_key", F.md5(F.concat_ws("|", "row_digest", F.col("copy").cast("string")))
     )
     smallest, scanned = _smallest(keyed, n)
-    winners = smallest.select("row_digest", "sample_key")
+    # At most n narrow rows, read four times below; the scan behind them should run once.
+    winners = cut_lineage(smallest.select("row_digest", "sample_key"))
     wanted = winners.select("row_digest")
     if n <= _BROADCAST_DIGESTS:
         wanted = F.broadcast(wanted)
     # Copies of a row are alike, so one of each is enough to serve all winners with its digest.
     contents = marked.join(wanted, "row_digest", "left_semi").dropDuplicates(["row_digest"])
-    rows = winners.join(contents, "row_digest").select("sample_key", *columns)
-    return Sample(rows, scanned, n)
+    rows = _numbered(winners).join(contents, "row_digest")
+    return Sample(rows.select("sample_key", "sample_number", *columns), scanned, n)
 
 
 def stamp_event_ids(sample: DataFrame, seed: int = 42) -> DataFrame:
-    """Number sampled rows from 1 in key order and name them ``evt_<seed>_<10 digits>``.
-
-    Rows are ranked inside a bucket of the key; the rows in earlier buckets are added from the
-    histogram, which has a fixed number of buckets. Columns the source lacks come out blank.
-    """
-    bucketed = sample.withColumn("_bucket", F.substring("sample_key", 1, _BUCKET_DIGITS))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    ranked = Window.partitionBy("_bucket").orderBy("sample_key")
-    placed = bucketed.withColumn("_rank", F.row_number().over(ranked)).join(
-        F.broadcast(offsets), "_bucket"
-    )
-    number = F.col("_before") + F.col("_rank")
+    """Name sampled rows ``evt_<seed>_<10-digit sample number>``; columns the source lacks and
+    fields without a value come out blank."""
     fields = [
         (F.coalesce(F.col(name), F.lit("")) if name in sample.columns else F.lit("")).alias(name)
         for name in S.SOURCE_CSV.names
     ]
-    return placed.select(
-        F.format_string(S.EVENT_ID_PATTERN, F.lit(str(seed)), number).alias("event_id"), *fields
-    )
+    event_id = F.format_string(S.EVENT_ID_PATTERN, F.lit(str(seed)), "sample_number")
+    return sample.select(event_id.alias("event_id"), *fields)
 
 
 def first_rows(df: DataFrame, n: int, position: str) -> DataFrame:

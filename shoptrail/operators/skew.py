@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shoptrail.session import cut_lineage
+from shoptrail.session import cut_lineage, estimated_bytes
 
 # A group below this many rows sorts comfortably (spilling if need be) in one task.
 HEAVY_GROUP_ROWS = 20_000_000
@@ -15,14 +15,6 @@ MAX_HEAVY_KEYS = 2_000
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for a plan, None where the session does not expose it."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_GROUP_ROWS) -> list:
     """Keys with at least ``rows`` rows, heaviest first, at most ``MAX_HEAVY_KEYS``.
 

@@ -50,7 +50,9 @@ def judge(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
             "ingested_at": stamp(ingested_at),
         }
     )
-    return dated.withColumn("invalid_reason", rejection_reason())
+    reasoned = dated.withColumn("invalid_reason", rejection_reason())
+    # Only rejected records need their text again; dropping the rest halves a cached batch.
+    return reasoned.withColumn("raw_value", F.when(F.col("invalid_reason").isNotNull(), F.col("raw_value")))
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, models, products, purchases, refine, sessionize, sessions
 from shoptrail.quality import gate
 from shoptrail.quality.column_tests import column_tests
+from shoptrail.session import fit_shuffles
 from shoptrail.sources import load, publish
 from shoptrail.sources.layers import Counted, RunMetrics, read_layer, require_rows, write_layer
 from shoptrail.streaming.ingest import BronzeSink, drain
@@ -67,12 +68,10 @@ def read_tables(spark: SparkSession, lake: Lake, gold_only: bool = False) -> dic
     return tables
 
 
-def ingest(
-    records: DataFrame, lake: Lake, reset: bool = False, clear_outputs: bool = False
-) -> dict[str, int]:
-    """Take what is new in the topic; or start over, beside or instead of earlier output."""
-    sink = BronzeSink(lake.bronze, lake.quarantine)
-    return drain(records, sink, lake.checkpoint, reset=reset, clear_outputs=clear_outputs)
+def ingest(records: DataFrame, lake: Lake, **options) -> dict[str, int]:
+    """Take what is new in the topic; or (``reset``) start over, beside earlier output or instead
+    of it (``clear_outputs``)."""
+    return drain(records, BronzeSink(lake.bronze, lake.quarantine), lake.checkpoint, **options)
 
 
 def _counted_write(
@@ -84,6 +83,7 @@ def _counted_write(
     Filters do not pass through a counter. Where the build starts with one that the scan can use,
     the source is counted ahead, which for Parquet reads footers only.
     """
+    fit_shuffles(source)
     read, written = Counted(f"{name}_read"), Counted(f"{name}_written")
     rows = source.count() if count_ahead else None
     built = build(source if count_ahead else read.watch(source))
@@ -192,10 +192,11 @@ def serve(
 
 
 def run(
-    spark: SparkSession, lake: Lake, records: DataFrame, reset: bool = True, **minimums: int
+    spark: SparkSession, lake: Lake, records: DataFrame, reset: bool = True,
+    query_name: str = "topic_to_bronze", **minimums: int
 ) -> dict:
     """The whole chain from the topic to a validated gold layer."""
-    ingested = ingest(records, lake, reset=reset, clear_outputs=reset)
+    ingested = ingest(records, lake, reset=reset, clear_outputs=reset, query_name=query_name)
     silver = build_silver(spark, lake)
     gold = build_gold(spark, lake)
     return {

@@ -1,27 +1,23 @@
-"""Check algebra: measure tables into facts, then judge facts.
+"""Check algebra: profile tables into facts, then judge facts.
 
-A fact is a (name, number) row. A table yields all its row-rule facts in one aggregate, and the facts
-about a key in one grouped count. Checks are expressions over facts, so comparing layers needs no
-join: facts of all tables are put side by side in a single row.
+A fact is a number about one table, named ``table.fact``. All row facts of a table come from one
+aggregate that shuffles a single row per task; facts about a key come from one grouped count, added
+up before it shuffles. A check is an SQL expression over facts giving the number of violations, so
+comparing layers needs no join: the facts a run of checks mentions are computed once each, put side
+by side in one row, and every check is evaluated on that row.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 PASS, FAIL, WARN = "PASS", "FAIL", "WARN"
 RESULT = "suite string, check string, violations bigint, status string"
-
-
-@dataclass(frozen=True)
-class Facts:
-    """A frame of (fact, value) rows and the names it holds."""
-
-    frame: DataFrame
-    names: tuple[str, ...]
+_FACT = re.compile(r"\b([a-z_]+)\.([a-z_]+)\b")
 
 
 def blank(column: str) -> str:
@@ -29,67 +25,133 @@ def blank(column: str) -> str:
     return rf"({column} IS NULL OR {column} RLIKE '^\\s*$')"
 
 
-def _as_facts(one_row: DataFrame) -> Facts:
-    numbers = one_row.select(*[F.col(c).cast("double").alias(c) for c in one_row.columns])
-    return Facts(numbers.unpivot([], numbers.columns, "fact", "value"), tuple(numbers.columns))
+def rows_where(condition: str) -> str:
+    """Aggregate: rows that meet a condition (a NULL condition is not met)."""
+    return f"count_if({condition})"
 
 
-def measure(df: DataFrame, measures: dict[str, str]) -> Facts:
-    """Facts from aggregate expressions: one pass, nothing shuffled but a row per task."""
-    return _as_facts(df.agg(*[F.expr(sql).alias(name) for name, sql in measures.items()]))
+# Facts about the non-NULL values of a key column, over one row (value, n) per value.
+KEY_FACTS = {
+    "values": "count(*)",
+    "filled": "count_if(NOT {blank})",
+    "repeats": "coalesce(sum(n - 1), 0)",
+    "repeated": "count_if(n > 1)",
+}
 
 
-def count_violations(df: DataFrame, rows: str, rules: dict[str, str], **measures: str) -> Facts:
-    """How many rows there are and how many meet each condition (a NULL condition is not met)."""
-    counted = {name: f"count_if({condition})" for name, condition in rules.items()}
-    return measure(df, {rows: "count(*)", **counted, **measures})
+@dataclass(frozen=True)
+class Profile:
+    """What can be said about a table: aggregates by fact name, and keys.
 
+    Each key offers facts ``<key>_values`` (distinct values), ``<key>_filled`` (those not blank),
+    ``<key>_repeats`` (rows past the first of each value) and ``<key>_repeated`` (values with more
+    than one row).
+    """
 
-def key_facts(
-    df: DataFrame, key: str, *, distinct: str | None = None, repeats: str | None = None,
-    repeated_values: str | None = None,
-) -> Facts:
-    """Facts about a key's non-NULL values: how many there are, rows past the first of each, and
-    values that occur more than once. Rows are counted per value before the shuffle."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    offered = (
-        (distinct, F.count("*")),
-        (repeats, F.coalesce(F.sum(F.col("n") - 1), F.lit(0))),
-        (repeated_values, F.count_if(F.col("n") > 1)),
-    )
-    return _as_facts(counts.agg(*[expr.alias(name) for name, expr in offered if name]))
+    facts: dict[str, str]
+    keys: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Suite:
+    """Checks by name; those in ``warn`` report but do not fail. ``table`` owns the suite."""
+
+    table: str
+    checks: dict[str, str]
+    warn: tuple[str, ...] = field(default=())
+
+    def mentioned(self) -> set[tuple[str, str]]:
+        return {pair for sql in self.checks.values() for pair in _FACT.findall(sql)}
+
+    def tables(self) -> list[str]:
+        return sorted({table for table, _ in self.mentioned()} | {self.table})
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
+def _named(one_row: DataFrame, table: str) -> DataFrame:
+    """One row of numbers to (fact, value) rows."""
+    numbers = one_row.select(
+        *[F.col(name).cast("double").alias(f"{table}.{name}") for name in one_row.columns]
+    )
+    return numbers.unpivot([], [F.col(f"`{name}`") for name in numbers.columns], "fact", "value")
+
+
+def profile(table: str, df: DataFrame, about: Profile, wanted: set[str]) -> list[DataFrame]:
+    """(fact, value) frames holding the wanted facts of one table."""
+    frames = []
+    plain = {name: sql for name, sql in about.facts.items() if name in wanted}
+    if plain:
+        frames.append(_named(df.agg(*[F.expr(sql).alias(name) for name, sql in plain.items()]), table))
+    for key in about.keys:
+        asked = {what: sql for what, sql in KEY_FACTS.items() if f"{key}_{what}" in wanted}
+        if asked:
+            counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+            measures = [
+                F.expr(sql.format(blank=blank(key))).alias(f"{key}_{what}") for what, sql in asked.items()
+            ]
+            frames.append(_named(counts.agg(*measures), table))
+    return frames
+
+
+def missing_columns(df: DataFrame, required) -> list[str]:
     return [name for name in required if name not in df.columns]
 
 
-def refuse(df: DataFrame, suite: str, missing: list[str]) -> DataFrame:
-    """Result of a suite whose table lacks columns; nothing else can be checked."""
-    return df.sparkSession.createDataFrame([(suite, "required_columns", len(missing), FAIL)], RESULT)
+def _side_by_side(frames: list[DataFrame], names: list[str]) -> DataFrame:
+    picked = [F.max(F.when(F.col("fact") == name, F.col("value"))).alias(name) for name in names]
+    return union_all(frames).agg(*picked)
 
 
-def judge(suite: str, measured: list[Facts], checks: dict[str, str], warn: tuple[str, ...] = ()) -> DataFrame:
-    """(suite, check, violations, status), one row per check.
+def evaluate(
+    suites: dict[str, Suite], tables: dict[str, DataFrame], profiles: dict[str, Profile],
+    **parameters: float,
+) -> DataFrame:
+    """(suite, check, violations, status) for every check of every suite.
 
-    A check is an expression over facts giving the number of violations; 0 passes. Checks listed in
-    ``warn`` report but do not fail.
+    A suite one of whose tables lacks required columns reports just that. ``parameters`` fill in
+    ``{name}`` in check expressions.
     """
-    names = sorted({name for facts in measured for name in facts.names})
-    row = union_all([facts.frame for facts in measured]).agg(
-        *[F.max(F.when(F.col("fact") == name, F.col("value"))).alias(name) for name in names]
-    )
-    checks = {"required_columns": "0", **checks}
-    verdicts = row.select(*[F.expr(sql).cast("bigint").alias(name) for name, sql in checks.items()])
-    found = verdicts.unpivot([], verdicts.columns, "check", "violations")
-    bad = F.when(F.col("check").isin(list(warn)), WARN).otherwise(FAIL)
+    lacking = {
+        table: len(missing_columns(tables[table], profiles[table].required))
+        for suite in suites.values() for table in suite.tables()
+    }
+    sound = {n: s for n, s in suites.items() if not any(lacking[t] for t in s.tables())}
+    spark = next(iter(tables.values())).sparkSession
+    refused = [
+        (name, "required_columns", sum(lacking[t] for t in suite.tables()), FAIL)
+        for name, suite in suites.items() if name not in sound
+    ]
+    results = [spark.createDataFrame(refused, RESULT)] if refused else []
+    if sound:
+        results.append(_judge(sound, tables, profiles, parameters))
+    return union_all(results)
+
+
+def _judge(suites, tables, profiles, parameters) -> DataFrame:
+    wanted = set().union(*(suite.mentioned() for suite in suites.values()))
+    frames = []
+    for table in sorted({table for table, _ in wanted}):
+        facts = {fact for owner, fact in wanted if owner == table}
+        frames += profile(table, tables[table], profiles[table], facts)
+    row = _side_by_side(frames, sorted(f"{table}.{fact}" for table, fact in wanted))
+
+    verdicts, warn = {}, []
+    for name, suite in suites.items():
+        for check, sql in {"required_columns": "0", **suite.checks}.items():
+            filled = _FACT.sub(r"`\1.\2`", sql.format(**parameters))
+            verdicts[f"{name}|{check}"] = F.expr(filled).cast("bigint")
+        warn += [f"{name}|{check}" for check in suite.warn]
+    one_row = row.select(*[expr.alias(name) for name, expr in verdicts.items()])
+    found = one_row.unpivot([], list(verdicts), "verdict", "violations")
+    parts = F.split("verdict", r"\|")
+    bad = F.when(F.col("verdict").isin(warn), WARN).otherwise(FAIL)
     return found.select(
-        F.lit(suite).alias("suite"),
-        "check",
+        parts[0].alias("suite"),
+        parts[1].alias("check"),
         "violations",
         F.when(F.col("violations") == 0, PASS).otherwise(bad).alias("status"),
     )

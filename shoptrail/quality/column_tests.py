@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shoptrail.quality.checks import FAIL, PASS, Facts, key_facts, measure, union_all
+from shoptrail.quality.checks import FAIL, PASS, Profile, profile, rows_where, union_all
 
 # Relation -> column -> tests.
 NOT_NULL, UNIQUE = "not_null", "unique"
@@ -46,29 +46,28 @@ MART_TESTS = {
 ALL_TESTS = {**SOURCE_TESTS, **STAGING_TESTS, **MART_TESTS}
 
 
-def _name(column: str, test) -> str:
-    return f"{column}|{test if isinstance(test, str) else test[0]}"
-
-
 def _literal(value) -> str:
-    return str(value) if isinstance(value, (bool, int, float)) else "'" + str(value).replace("'", "\\'") + "'"
+    return str(value) if isinstance(value, (bool, int, float)) else "'" + value.replace("'", "\\'") + "'"
 
 
-def _relation_facts(df: DataFrame, columns: dict) -> list[Facts]:
-    """All tests of one relation: a single pass for everything but uniqueness."""
-    measures, keys = {}, []
+def _declared(columns: dict) -> tuple[Profile, dict[str, tuple[str, str]]]:
+    """A relation's tests as a profile, and which (column, test) each fact answers."""
+    facts, keys, answers = {}, [], {}
     for column, tests in columns.items():
         for test in tests:
-            name = _name(column, test)
-            if test == NOT_NULL:
-                measures[name] = f"count_if({column} IS NULL)"
-            elif test == UNIQUE:
-                keys.append(key_facts(df, column, repeated_values=name))
+            kind = test if isinstance(test, str) else test[0]
+            if kind == UNIQUE:
+                keys.append(column)
+                fact = f"{column}_repeated"
+            elif kind == NOT_NULL:
+                fact = f"{column}_missing"
+                facts[fact] = rows_where(f"{column} IS NULL")
             else:
+                fact = f"{column}_unexpected"
                 allowed = ", ".join(_literal(value) for value in test[1])
-                other = f"CASE WHEN {column} NOT IN ({allowed}) THEN {column} END"
-                measures[name] = f"count(DISTINCT {other})"
-    return [measure(df, measures), *keys]
+                facts[fact] = f"count(DISTINCT CASE WHEN {column} NOT IN ({allowed}) THEN {column} END)"
+            answers[fact] = (column, kind)
+    return Profile(facts, tuple(keys)), answers
 
 
 def column_tests(relations: dict[str, DataFrame], tests: dict = ALL_TESTS) -> DataFrame:
@@ -76,16 +75,21 @@ def column_tests(relations: dict[str, DataFrame], tests: dict = ALL_TESTS) -> Da
 
     Failures are NULL rows, values occurring more than once, or distinct values not allowed.
     """
-    results = []
+    frames, named = [], []
     for relation, columns in tests.items():
-        for measured in _relation_facts(relations[relation], columns):
-            results.append(measured.frame.withColumn("relation", F.lit(relation)))
-    parts = F.split("fact", r"\|")
+        about, answers = _declared(columns)
+        frames += profile(relation, relations[relation], about, set(answers))
+        named += [(f"{relation}.{fact}", relation, *answer) for fact, answer in answers.items()]
+    measured = union_all(frames)
+    # One row per declared test, sent along with the plan.
+    declared = measured.sparkSession.createDataFrame(
+        named, "fact string, relation string, column_name string, test string"
+    )
     failures = F.col("value").cast("bigint")
-    return union_all(results).select(
+    return measured.join(F.broadcast(declared), "fact").select(
         "relation",
-        parts[0].alias("column_name"),
-        parts[1].alias("test"),
+        "column_name",
+        "test",
         failures.alias("failures"),
         F.when(failures == 0, PASS).otherwise(FAIL).alias("status"),
     )

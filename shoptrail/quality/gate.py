@@ -1,4 +1,4 @@
-"""Structural checks and milestones of the release gate, the orchestrated suite and its summary."""
+"""Structural checks and milestones of the release gate, the orchestrated suites and their summary."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from shoptrail.quality import suites
 from shoptrail.quality.checks import (
     FAIL,
     PASS,
-    judge,
-    key_facts,
-    measure,
+    Suite,
+    evaluate,
     missing_columns,
+    profile,
     union_all,
 )
 from shoptrail.sources.layers import read_dataset
@@ -25,36 +25,35 @@ def bronze_structure(
     events: DataFrame, min_rows: int = 1_000_000, quarantine: DataFrame | None = None
 ) -> DataFrame:
     """Enough rows, topic columns, partition columns, and whether anything was quarantined."""
-    measured = [measure(events, {"n_rows": "count(*)"})]
+    tables = {"bronze": events}
     checks = {
-        "min_rows": f"greatest({min_rows} - n_rows, 0)",
+        "min_rows": "greatest({min_rows} - bronze.n_rows, 0)",
         "topic_columns": str(len(missing_columns(events, _TOPIC_COLUMNS))),
         "partition_columns": str(len(missing_columns(events, ["event_date", "event_type"]))),
     }
     if quarantine is not None:
-        measured.append(measure(quarantine, {"quarantined": "count(*)"}))
-        checks["quarantined_rows"] = "quarantined"
-    return judge("bronze_structure", measured, checks, warn=("quarantined_rows",))
+        tables["quarantine"] = quarantine
+        checks["quarantined_rows"] = "quarantine.n_rows"
+    suite = Suite("bronze", checks, warn=("quarantined_rows",))
+    return evaluate({"bronze_structure": suite}, tables, suites.PROFILES, min_rows=min_rows)
 
 
 def silver_structure(events: DataFrame, bronze_events: DataFrame, min_rows: int = 1_000_000) -> DataFrame:
-    measured = [
-        measure(events, {"n_rows": "count(*)"}),
-        measure(bronze_events, {"bronze_rows": "count(*)"}),
-        key_facts(events, "event_id", repeats="duplicates"),
-    ]
     checks = {
-        "min_rows": f"greatest({min_rows} - n_rows, 0)",
-        "rows_within_bronze": "greatest(n_rows - bronze_rows, 0)",
-        "duplicate_event_id": "duplicates",
+        "min_rows": "greatest({min_rows} - silver.n_rows, 0)",
+        "rows_within_bronze": "greatest(silver.n_rows - bronze.n_rows, 0)",
+        "duplicate_event_id": "silver.event_id_repeats",
         "cleaned_columns": str(len(missing_columns(events, ["event_ts", "category_code", "brand"]))),
     }
-    return judge("silver_structure", measured, checks)
+    tables = {"silver": events, "bronze": bronze_events}
+    return evaluate(
+        {"silver_structure": Suite("silver", checks)}, tables, suites.PROFILES, min_rows=min_rows
+    )
 
 
 def gold_presence(spark: SparkSession, root: str) -> DataFrame:
-    """(table_name, row_count, status) for every curated table and the summary; a missing table
-    has no count. A table counts as present once it has files."""
+    """(table_name, row_count, status) for every curated table; a missing table has no count. A
+    table counts as present once it has files."""
     found = []
     for name in S.GOLD:
         try:
@@ -66,29 +65,36 @@ def gold_presence(spark: SparkSession, root: str) -> DataFrame:
     return union_all(found)
 
 
+_MILESTONE_FACTS = {
+    "bronze_rows": ("bronze", "n_rows"),
+    "silver_rows": ("silver", "n_rows"),
+    "fct_sessions": ("fct_sessions", "n_rows"),
+    "fct_purchases": ("fct_purchases", "n_rows"),
+    "agg_product_performance": ("agg_product_performance", "n_rows"),
+    "fct_cart_abandonment": ("fct_cart_abandonment", "n_rows"),
+    "total_revenue": ("fct_purchases", "revenue"),
+}
+
+
 def milestones(
     tables: dict[str, DataFrame], expected: dict[str, tuple[float, float]] = S.MILESTONES
 ) -> DataFrame:
     """(metric, actual, expected, tolerance, delta, status): drift against known-good numbers."""
-    counted = {
-        "bronze_rows": "bronze",
-        "silver_rows": "silver",
-        "fct_sessions": "fct_sessions",
-        "fct_purchases": "fct_purchases",
-        "agg_product_performance": "agg_product_performance",
-        "fct_cart_abandonment": "fct_cart_abandonment",
-    }
-    measured = [measure(tables[table], {metric: "count(*)"}) for metric, table in counted.items()]
-    revenue = {"total_revenue": "coalesce(sum(purchase_amount), 0D)"}
-    measured.append(measure(tables["fct_purchases"], revenue))
-    actual = union_all([facts.frame for facts in measured])
-    # A handful of constants: sent along with the plan.
+    frames = []
+    for table in dict.fromkeys(table for table, _ in _MILESTONE_FACTS.values()):
+        facts = {fact for owner, fact in _MILESTONE_FACTS.values() if owner == table}
+        frames += profile(table, tables[table], suites.PROFILES[table], facts)
+    actual = union_all(frames)
+    # A handful of constants, sent along with the plan.
     targets = actual.sparkSession.createDataFrame(
-        [(name, float(value), float(slack)) for name, (value, slack) in expected.items()],
-        "metric string, expected double, tolerance double",
+        [
+            (".".join(_MILESTONE_FACTS[metric]), metric, float(value), float(slack))
+            for metric, (value, slack) in expected.items()
+        ],
+        "fact string, metric string, expected double, tolerance double",
     )
     delta = F.abs(F.col("value") - F.col("expected"))
-    return actual.join(F.broadcast(targets), F.col("fact") == F.col("metric")).select(
+    return actual.join(F.broadcast(targets), "fact").select(
         "metric",
         F.col("value").alias("actual"),
         "expected",
@@ -99,35 +105,29 @@ def milestones(
 
 
 def validate(
-    tables: dict[str, DataFrame],
-    *,
-    skip_bronze: bool = False,
-    gold_only: bool = False,
-    min_bronze_rows: int = 1,
-    min_silver_rows: int = 1,
-    min_sessions: int = 1,
+    tables: dict[str, DataFrame], *, skip_bronze: bool = False, gold_only: bool = False, **minimums: int
 ) -> DataFrame:
-    """All suites over a finished run, as one frame of checks."""
+    """All suites over a finished run, as one frame of checks.
+
+    Facts several suites mention are computed once. Minimums: see ``suites.MINIMUMS``.
+    """
     with_bronze = not (skip_bronze or gold_only)
-    events, sessions = tables["session_events"], tables["fct_sessions"]
-    results = []
+    chosen = {}
     if with_bronze:
-        results.append(suites.bronze(tables["bronze"], min_bronze_rows))
+        chosen["bronze"] = suites.BRONZE
     if not gold_only:
-        results += [
-            # Silver is always held against bronze, whether or not bronze itself is checked.
-            suites.silver(tables["silver"], tables.get("bronze"), min_silver_rows),
-            suites.session_events(events, tables["silver"]),
-            suites.fct_sessions(sessions, events, min_sessions),
-        ]
-    results += [
-        suites.fct_purchases(tables["fct_purchases"], events),
-        suites.agg_product_performance(tables["agg_product_performance"], events),
-        suites.agg_conversion_funnel(tables["agg_conversion_funnel"], sessions),
-        suites.fct_cart_abandonment(tables["fct_cart_abandonment"], sessions),
-        suites.cross_layer({k: v for k, v in tables.items() if k != "bronze" or with_bronze}),
-    ]
-    return union_all(results)
+        # Silver is held against bronze whether or not bronze itself is checked.
+        chosen["silver"] = suites.SILVER if "bronze" in tables else suites.SILVER_ALONE
+        chosen["session_events"] = suites.SESSION_EVENTS
+        chosen["fct_sessions"] = suites.FCT_SESSIONS
+    chosen |= {
+        "fct_purchases": suites.FCT_PURCHASES,
+        "agg_product_performance": suites.AGG_PRODUCT_PERFORMANCE,
+        "agg_conversion_funnel": suites.AGG_CONVERSION_FUNNEL,
+        "fct_cart_abandonment": suites.FCT_CART_ABANDONMENT,
+        "cross_layer": suites.CROSS_LAYER if with_bronze else suites.CROSS_LAYER_WITHOUT_BRONZE,
+    }
+    return evaluate(chosen, tables, suites.PROFILES, **{**suites.MINIMUMS, **minimums})
 
 
 def summarise(checks: DataFrame, generated_at: Column | None = None) -> DataFrame:
@@ -156,4 +156,5 @@ def write_summary(checks: DataFrame, path: str, generated_at: Column | None = No
     """Write the summary document and return the overall status."""
     document = summarise(checks, generated_at).coalesce(1)
     document.write.mode("overwrite").json(path)
-    return checks.sparkSession.read.json(path).first()["overall_status"]
+    written = checks.sparkSession.read.schema("overall_status string").json(path)
+    return written.first()["overall_status"]

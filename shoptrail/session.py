@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Past this many, bookkeeping for map outputs costs more than bigger partitions do.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on (UTC, ANSI) and adaptive execution."""
@@ -37,6 +40,29 @@ def start(app_name: str = "shoptrail", master: str | None = None, **conf: str) -
     return configure(builder.getOrCreate())
 
 
+def fit_shuffles(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Raise the number of shuffle partitions to what the input's size asks for; never lower it.
+
+    AQE merges partitions that turn out small, so starting with many is cheap, while too few would
+    each have to spill. Returns the number in force.
+    """
+    spark = df.sparkSession
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    wanted = min(max(current, -(-(size or 0) // partition_bytes)), MAX_SHUFFLE_PARTITIONS)
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate for a plan, None where the session does not expose it."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -44,3 +44,16 @@ def read_first_available(spark: SparkSession, candidates: list[str]) -> DataFram
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     raise FileNotFoundError(f"none of the source files exists: {', '.join(candidates)}")
+
+
+def write_csv_events(rows: DataFrame, path: str, gzip: bool = False) -> None:
+    """Write rows as CSV with a header; spaces and empty fields stay as they are."""
+    options = {
+        "header": True,
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "compression": "gzip" if gzip else "none",
+    }
+    rows.write.mode("overwrite").options(**options).csv(path)
