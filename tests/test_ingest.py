@@ -1,0 +1,109 @@
+import pytest
+from conftest import event, records
+
+from shoptrail import schemas as S
+from shoptrail.operators import validity
+from shoptrail.plans.medallion import Lake, ingest, read_bronze
+from shoptrail.sources import topic
+from shoptrail.sources.layers import read_layer
+from shoptrail.streaming.ingest import BronzeSink, drain
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "lake"))
+
+
+def publish(spark, lake, payloads, first_offset=0):
+    records(spark, payloads, first_offset).coalesce(1).write.mode("append").parquet(f"{lake.root}/topic")
+
+
+def take(spark, lake, **options):
+    return ingest(topic.read_files(spark, f"{lake.root}/topic", files_per_batch=1), lake, **options)
+
+
+def rows(spark, path, schema):
+    return sorted(read_layer(spark, path, schema).collect(), key=lambda r: r.kafka_offset)
+
+
+def test_stream_equals_batch(spark, lake):
+    payloads = [event(1), event(2, event_type="error"), "{bad", event(3, event_time="2019-10-02 00:00:00"), event(4, event_type=None)]
+    publish(spark, lake, payloads)
+    assert take(spark, lake) == {"accepted": 2, "rejected": 3}
+    batch = validity.judge(records(spark, payloads))
+    for path, schema, wanted in (
+        (lake.bronze, S.BRONZE, validity.accepted(batch)),
+        (lake.quarantine, S.QUARANTINE, validity.rejected(batch)),
+    ):
+        strip = [c for c in schema.names if c != "ingested_at"]
+        got = read_layer(spark, path, schema).select(*strip)
+        assert got.exceptAll(wanted.select(*strip)).isEmpty()
+        assert wanted.select(*strip).exceptAll(got).isEmpty()
+
+
+def test_second_run_takes_only_what_is_new(spark, lake):
+    publish(spark, lake, [event(1)])
+    assert take(spark, lake) == {"accepted": 1, "rejected": 0}
+    assert take(spark, lake) == {"accepted": 0, "rejected": 0}
+    publish(spark, lake, [event(2)], first_offset=10)
+    assert take(spark, lake) == {"accepted": 1, "rejected": 0}
+    assert [r.event_id for r in rows(spark, lake.bronze, S.BRONZE)] == ["e001", "e002"]
+
+
+def test_replayed_batch_adds_nothing(spark, lake):
+    sink = BronzeSink(lake.bronze, lake.quarantine)
+    sink.name_run("run")
+    batch = records(spark, [event(1), event(2), event(3, event_type="error")])
+    for _ in range(3):
+        sink(batch, 7)
+    assert len(rows(spark, lake.bronze, S.BRONZE)) == 2
+    assert len(rows(spark, lake.quarantine, S.QUARANTINE)) == 1
+
+
+@pytest.mark.parametrize("payload, kept, refused", [(event(1), 2, 0), (event(1, event_id=None), 0, 2)])
+def test_one_sided_batches_write_one_sink(spark, lake, tmp_path, payload, kept, refused):
+    publish(spark, lake, [payload, payload])
+    assert take(spark, lake) == {"accepted": kept, "rejected": refused}
+    assert (tmp_path / "lake/bronze/events").exists() == bool(kept)
+    assert (tmp_path / "lake/bronze/quarantine").exists() == bool(refused)
+
+
+def test_reset_reads_from_the_start_beside_or_instead(spark, lake):
+    publish(spark, lake, [event(1)])
+    take(spark, lake)
+    assert take(spark, lake, reset=True) == {"accepted": 1, "rejected": 0}
+    assert len(rows(spark, lake.bronze, S.BRONZE)) == 2
+    take(spark, lake, reset=True, clear_outputs=True)
+    assert len(rows(spark, lake.bronze, S.BRONZE)) == 1
+    with pytest.raises(ValueError):
+        take(spark, lake, clear_outputs=True)
+
+
+def test_layout_is_by_date_and_type(spark, lake, tmp_path):
+    publish(spark, lake, [event(1), event(2, event_type="cart")])
+    take(spark, lake)
+    found = {p.parent.relative_to(tmp_path / "lake/bronze/events").parts[-2:] for p in (tmp_path / "lake/bronze/events").rglob("*.parquet")}
+    assert found == {("event_date=2019-10-01", "event_type=view"), ("event_date=2019-10-01", "event_type=cart")}
+    assert read_bronze(spark, lake).where("event_type = 'cart'").count() == 1
+
+
+def test_failed_batch_is_finished_by_the_next_run(spark, lake):
+    """The first attempt dies after writing bronze; the restart must not duplicate it."""
+
+    class Dying(BronzeSink):
+        def __call__(self, batch, batch_id):
+            super().__call__(batch, batch_id)
+            raise RuntimeError("executor lost")
+
+    publish(spark, lake, [event(1), event(2, event_type="error")])
+    stream = topic.read_files(spark, f"{lake.root}/topic")
+    with pytest.raises(Exception, match="executor lost"):
+        drain(stream, Dying(lake.bronze, lake.quarantine), lake.checkpoint)
+    assert take(spark, lake) == {"accepted": 1, "rejected": 1}
+    assert len(rows(spark, lake.bronze, S.BRONZE)) == 1
+    assert len(rows(spark, lake.quarantine, S.QUARANTINE)) == 1
+
+
+def test_kafka_start_position_is_checked(spark):
+    with pytest.raises(ValueError):
+        topic.read_kafka(spark, "broker:9092", "t", start="middle")
