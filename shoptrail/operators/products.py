@@ -35,10 +35,13 @@ def _measures(events: DataFrame) -> DataFrame:
 def _attributes(events: DataFrame) -> DataFrame:
     """The greatest value of each attribute per product, each on its own.
 
-    The distinct combinations come first: they are few, and grouping by text is a hash aggregate
-    where keeping the greatest text in a buffer needs a sort.
+    Keeping the greatest text in a buffer needs a sort; grouping by text does not. So the events
+    are first brought down to their few combinations. Catalyst would fold a plain ``distinct`` into
+    the outer maximum; the count and its filter keep the levels apart.
     """
-    combinations = events.select("product_id", *_ATTRIBUTES).distinct()
+    combinations = (
+        events.groupBy("product_id", *_ATTRIBUTES).agg(F.count("*").alias("n")).where("n > 0")
+    )
     return combinations.groupBy("product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
 
 
