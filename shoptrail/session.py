@@ -63,6 +63,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the scan has fewer splits than there are cores.
+
+    For CPU-heavy work on small input, such as parsing. Input with enough splits, which is any big
+    one, passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

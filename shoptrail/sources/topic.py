@@ -10,6 +10,9 @@ from shoptrail import schemas as S
 WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 DECIMAL_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+# Most records taken into one micro-batch, which is cached while it is routed (some 50 GB).
+RECORDS_PER_BATCH = 100_000_000
+
 _NUMBERS = {
     "product_id": ("bigint", WHOLE_NUMBER),
     "category_id": ("bigint", WHOLE_NUMBER),
@@ -71,9 +74,12 @@ def write_files(records: DataFrame, path: str, topic: str, partitions: int) -> N
 
 def read_kafka(
     spark: SparkSession, servers: str, topic: str, start: str = "earliest",
-    records_per_batch: int | None = None,
+    records_per_batch: int | None = RECORDS_PER_BATCH,
 ) -> DataFrame:
-    """Stream a topic from ``earliest`` or ``latest`` where no checkpoint says otherwise."""
+    """Stream a topic from ``earliest`` or ``latest`` where no checkpoint says otherwise.
+
+    A backlog bigger than ``records_per_batch`` is drained in several batches.
+    """
     if start not in ("earliest", "latest"):
         raise ValueError("start must be 'earliest' or 'latest'")
     options = {

@@ -15,7 +15,7 @@ from shoptrail.operators import (
 from shoptrail.plans import medallion, testdata
 from shoptrail.quality import gate, suites
 from shoptrail.quality.column_tests import ALL_TESTS, column_tests
-from shoptrail.session import configure, new_shared_path
+from shoptrail.session import configure, new_shared_path, spread
 from shoptrail.sources import csv_events, load, publish, topic
 from shoptrail.sources.layers import read_layer
 from shoptrail.verify import oracle
@@ -63,7 +63,7 @@ def _columns(schema, drop: tuple[str, ...] = ()) -> str:
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return validity.judge(testdata.topic_records(testdata.read_events(spark, sf_dir)))
+    return validity.judge(testdata.topic_records(spread(testdata.read_events(spark, sf_dir))))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
