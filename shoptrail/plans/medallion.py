@@ -75,44 +75,46 @@ def ingest(records: DataFrame, lake: Lake, **options) -> dict[str, int]:
 
 
 def _counted_write(
-    name: str, source: DataFrame, build, path: str, partition: str | None,
-    count_ahead: bool = False, **options
+    name: str, rows_read: int, built: DataFrame, path: str, partition: str | None, mode: str
 ) -> RunMetrics:
-    """Build a table from a source and write it, counting both in the same pass.
+    """Write a table and count its rows on the way.
 
-    Filters do not pass through a counter. Where the build starts with one that the scan can use,
-    the source is counted ahead, which for Parquet reads footers only.
+    The source is not counted the same way: filters and date ranges do not pass through a counter.
     """
-    fit_shuffles(source)
-    read, written = Counted(f"{name}_read"), Counted(f"{name}_written")
-    rows = source.count() if count_ahead else None
-    built = build(source if count_ahead else read.watch(source))
-    write_layer(written.watch(built), path, partition, **options)
-    return RunMetrics(read.rows if rows is None else rows, written.rows)
+    written = Counted(f"{name}_written")
+    write_layer(written.watch(built), path, partition, mode)
+    return RunMetrics(rows_read, written.rows)
 
 
 def build_silver(
-    spark: SparkSession, lake: Lake, mode: str = "overwrite", processed_at: Column | None = None
+    spark: SparkSession, lake: Lake, mode: str = "overwrite", at: Column | None = None
 ) -> RunMetrics:
-    bronze = require_rows(read_bronze(spark, lake), "bronze")
+    bronze = read_bronze(spark, lake)
+    rows = require_rows(bronze, "bronze")
+    fit_shuffles(bronze)
     return _counted_write(
-        "silver", bronze, lambda df: refine.to_silver(df, processed_at), lake.silver, "event_date", mode=mode
+        "silver", rows, refine.to_silver(bronze, at), lake.silver, "event_date", mode
     )
 
 
+def _write_gold(name: str, rows_read: int, built: DataFrame, lake: Lake, mode: str) -> RunMetrics:
+    partition = S.GOLD[name][1]
+    return _counted_write(name, rows_read, built, lake.gold_table(name), partition, mode)
+
+
 def build_sessions(
     spark: SparkSession, lake: Lake, mode: str = "overwrite", at: Column | None = None
 ) -> dict[str, RunMetrics]:
-    silver = require_rows(read_layer(spark, lake.silver, S.SILVER), "silver")
-    heavy = sessionize.heavy_keys(silver, "user_session")
+    silver = read_layer(spark, lake.silver, S.SILVER)
+    rows = require_rows(silver, "silver")
+    fit_shuffles(silver)
+    ordered = sessionize.order_sessions(silver, at)
     return {
         "session_events": _counted_write(
-            "session_events", silver, lambda df: sessionize.order_sessions(df, at, heavy),
-            lake.session_events, "event_date", mode=mode,
+            "session_events", rows, ordered, lake.session_events, "event_date", mode
         ),
-        "fct_sessions": _counted_write(
-            "fct_sessions", silver, lambda df: sessions.session_facts(df, at),
-            lake.gold_table("fct_sessions"), "session_date", mode=mode,
+        "fct_sessions": _write_gold(
+            "fct_sessions", rows, sessions.session_facts(silver, at), lake, mode
         ),
     }
 
@@ -120,40 +122,28 @@ def build_sessions(
 def build_product_marts(
     spark: SparkSession, lake: Lake, mode: str = "overwrite", at: Column | None = None
 ) -> dict[str, RunMetrics]:
-    events = require_rows(read_layer(spark, lake.session_events, S.SESSION_EVENTS), "session events")
-    metrics = {
-        "fct_purchases": _counted_write(
-            "fct_purchases", events, lambda df: purchases.purchase_facts(df, at),
-            lake.gold_table("fct_purchases"), "purchase_date", count_ahead=True, mode=mode,
-        )
+    events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
+    rows = require_rows(events, "session events")
+    fit_shuffles(events)
+    built = {
+        "fct_purchases": purchases.purchase_facts(events, at),
+        "agg_product_performance": products.product_performance(events, at),
     }
-    # The product mart scans its source twice, so only its output is counted on the way.
-    written = Counted("agg_product_performance_written")
-    mart = written.watch(products.product_performance(events, at))
-    write_layer(mart, lake.gold_table("agg_product_performance"), mode=mode)
-    metrics["agg_product_performance"] = RunMetrics(
-        metrics["fct_purchases"].rows_read, written.rows
-    )
-    return metrics
+    return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
 
 
 def build_funnel_marts(
     spark: SparkSession, lake: Lake, mode: str = "overwrite", at: Column | None = None
 ) -> dict[str, RunMetrics]:
-    events = require_rows(read_layer(spark, lake.session_events, S.SESSION_EVENTS), "session events")
+    events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
     facts = read_layer(spark, lake.gold_table("fct_sessions"), S.FCT_SESSIONS)
-    return {
-        "agg_conversion_funnel": _counted_write(
-            "agg_conversion_funnel", events,
-            lambda df: funnel.conversion_funnel(funnel.session_flags(df), at),
-            lake.gold_table("agg_conversion_funnel"), "session_date", mode=mode,
-        ),
-        "fct_cart_abandonment": _counted_write(
-            "fct_cart_abandonment", facts,
-            lambda df: carts.cart_abandonment(df, carts.cart_details(events), at),
-            lake.gold_table("fct_cart_abandonment"), "session_date", count_ahead=True, mode=mode,
-        ),
+    rows = require_rows(events, "session events")
+    fit_shuffles(events)
+    built = {
+        "agg_conversion_funnel": funnel.conversion_funnel(funnel.session_flags(events), at),
+        "fct_cart_abandonment": carts.cart_abandonment(facts, carts.cart_details(events), at),
     }
+    return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
 
 
 def build_gold(spark: SparkSession, lake: Lake, mode: str = "overwrite") -> dict[str, RunMetrics]:

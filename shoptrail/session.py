@@ -44,7 +44,8 @@ def fit_shuffles(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024) -> int
     """Raise the number of shuffle partitions to what the input's size asks for; never lower it.
 
     AQE merges partitions that turn out small, so starting with many is cheap, while too few would
-    each have to spill. Returns the number in force.
+    each have to spill. Meant for a stored layer: estimates past a join say little. Returns the
+    number in force.
     """
     spark = df.sparkSession
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
