@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -52,18 +53,19 @@ def require_rows(df: DataFrame, what: str) -> int:
 
 
 def write_layer(
-    df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite",
+    df: DataFrame, path: str, partition: str | Sequence[str] | None = None, mode: str = "overwrite",
     only_touched_partitions: bool = False,
 ) -> None:
     """Write one layer.
 
-    With a partition column the rows are rebalanced by it first: AQE merges small dates into a
-    task and splits a big date over many, so files come out at a healthy size either way.
-    ``only_touched_partitions`` makes overwrite replace just the dates present in ``df``.
+    With partition columns the rows are rebalanced by them first: AQE merges small partitions into
+    a task and splits a big one over many, so files come out at a healthy size either way.
+    ``only_touched_partitions`` makes overwrite replace just the partitions present in ``df``.
     """
-    writer = (df.hint("rebalance", partition) if partition else df).write.mode(mode)
-    if partition:
-        writer = writer.partitionBy(partition)
+    columns = [partition] if isinstance(partition, str) else list(partition or ())
+    writer = (df.hint("rebalance", *columns) if columns else df).write.mode(mode)
+    if columns:
+        writer = writer.partitionBy(*columns)
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

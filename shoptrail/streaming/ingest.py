@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoptrail.operators.validity import accepted, judge, rejected
+from shoptrail.sources.layers import write_layer
 
 
 @dataclass
@@ -23,7 +24,6 @@ class BronzeSink:
 
     bronze_path: str
     quarantine_path: str
-    files_per_group: int = 4
     ingested_at: Column | None = None
     run_id: str | None = None
     rows: dict[str, int] = field(default_factory=lambda: {"accepted": 0, "rejected": 0})
@@ -44,16 +44,10 @@ class BronzeSink:
             fine = F.col("invalid_reason").isNull()
             counts = batch.agg(F.count_if(fine).alias("a"), F.count_if(~fine).alias("r")).first()
             if counts["a"]:
-                # Few files per date and type, yet a big group still spreads over several tasks.
-                spread = F.pmod(F.hash("kafka_partition", "kafka_offset"), F.lit(self.files_per_group))
-                good = accepted(batch).repartition("event_date", "event_type", spread)
-                good.write.mode("overwrite").partitionBy("event_date", "event_type").parquet(
-                    self._folder(self.bronze_path, batch_id)
-                )
+                folder = self._folder(self.bronze_path, batch_id)
+                write_layer(accepted(batch), folder, ("event_date", "event_type"))
             if counts["r"]:
-                rejected(batch).write.mode("overwrite").parquet(
-                    self._folder(self.quarantine_path, batch_id)
-                )
+                write_layer(rejected(batch), self._folder(self.quarantine_path, batch_id))
             self.rows["accepted"] += counts["a"]
             self.rows["rejected"] += counts["r"]
         finally:
