@@ -29,16 +29,25 @@ def _row_text(columns: list[str]) -> Column:
     return F.concat(*parts)
 
 
-def _copies(digests: DataFrame) -> DataFrame:
+def _copies(counted: DataFrame) -> DataFrame:
     """(row_digest, copies) to one row per copy, numbered from 1.
 
-    A row repeated billions of times is opened in steps spread over tasks, not in one array.
+    A row repeated billions of times is cut into steps first, and the steps are dealt out to tasks
+    before they are opened.
     """
-    steps = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / _COPIES_PER_STEP))
-    stepped = digests.withColumn("step", F.explode(steps))
+    few = counted.where(F.col("copies") <= _COPIES_PER_STEP).select(
+        "row_digest", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    )
+    last_step = F.floor((F.col("copies") - 1) / _COPIES_PER_STEP)
+    steps = (
+        counted.where(F.col("copies") > _COPIES_PER_STEP)
+        .withColumn("step", F.explode(F.sequence(F.lit(0), last_step)))
+        .repartition("row_digest", "step")
+    )
     first = F.col("step") * _COPIES_PER_STEP + 1
-    last = F.least("copies", first + _COPIES_PER_STEP - 1)
-    return stepped.withColumn("copy", F.explode(F.sequence(first, last))).select("row_digest", "copy")
+    last = F.least(F.col("copies"), first + _COPIES_PER_STEP - 1)
+    many = steps.select("row_digest", F.explode(F.sequence(first, last)).alias("copy"))
+    return few.select("row_digest", F.col("copy").cast("bigint")).unionByName(many)
 
 
 @dataclass(frozen=True)
