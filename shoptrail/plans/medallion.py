@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, models, products, purchases, refine, sessionize, sessions
@@ -12,7 +13,14 @@ from shoptrail.quality import gate
 from shoptrail.quality.column_tests import column_tests
 from shoptrail.session import fit_shuffles
 from shoptrail.sources import load, publish
-from shoptrail.sources.layers import Counted, RunMetrics, read_layer, require_rows, write_layer
+from shoptrail.sources.layers import (
+    Counted,
+    RunMetrics,
+    read_dataset,
+    read_layer,
+    require_rows,
+    write_layer,
+)
 from shoptrail.streaming.ingest import BronzeSink, drain
 
 
@@ -58,14 +66,25 @@ def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_layer(spark, lake.bronze, S.BRONZE)
 
 
+def _as_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A layer with the columns its files really have, so that checks can tell when some are
+    missing. A job that had no rows to write leaves a folder without data files."""
+    try:
+        return read_dataset(spark, path)
+    except FileNotFoundError:
+        return read_layer(spark, path, schema)
+
+
 def read_tables(spark: SparkSession, lake: Lake, gold_only: bool = False) -> dict[str, DataFrame]:
-    """All layers by name. Gold-only checks still compare against silver and session events."""
-    tables = {} if gold_only else {"bronze": read_bronze(spark, lake)}
-    tables["silver"] = read_layer(spark, lake.silver, S.SILVER)
-    tables["session_events"] = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
-    for name, (schema, _) in S.GOLD.items():
-        tables[name] = read_layer(spark, lake.gold_table(name), schema)
-    return tables
+    """All layers by name, for checks. Gold is still compared against silver and session events."""
+    places = {
+        "silver": (lake.silver, S.SILVER),
+        "session_events": (lake.session_events, S.SESSION_EVENTS),
+        **{name: (lake.gold_table(name), schema) for name, (schema, _) in S.GOLD.items()},
+    }
+    if not gold_only:
+        places["bronze"] = (lake.bronze, S.BRONZE)
+    return {name: _as_written(spark, *place) for name, place in places.items()}
 
 
 def ingest(records: DataFrame, lake: Lake, **options) -> dict[str, int]:

@@ -13,7 +13,7 @@ def source(spark, rows: int, alike: int = 0):
         "'7' AS user_id", "'s' AS user_session",
     )
     if alike:
-        copies = frame.where("product_id = '0'").crossJoin(spark.range(alike)).drop("id")
+        copies = frame.where("product_id = '0'").selectExpr("*", f"explode(sequence(1, {alike})) AS i").drop("i")
         frame = frame.where("product_id != '0'").unionByName(copies)
     return frame
 

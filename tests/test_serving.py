@@ -57,6 +57,19 @@ def test_verify_again_and_gold_only(spark, finished):
     assert medallion.verify(spark, lake, skip_bronze=True) == "PASS"
 
 
+def test_verify_sees_columns_the_files_lack(spark, finished, tmp_path):
+    lake, _ = finished
+    bare = Lake(str(tmp_path / "lake"))
+    for path, name in ((lake.silver, bare.silver), (lake.session_events, bare.session_events)):
+        spark.read.parquet(path).write.partitionBy("event_date").parquet(name)
+    for table in S.GOLD:
+        frame = spark.read.parquet(lake.gold_table(table))
+        frame.drop("converted" if table == "fct_sessions" else "x").write.parquet(bare.gold_table(table))
+    assert medallion.verify(spark, bare, gold_only=True) == "FAIL"
+    document = spark.read.json(bare.summary).selectExpr("inline(checks)").collect()
+    assert any("required_columns: 1" in row.details for row in document)
+
+
 def test_ingest_again_is_incremental_and_silver_unchanged(spark, finished, tmp_path):
     lake, _ = finished
     assert medallion.ingest(topic.read_files(spark, f"{lake.root}/topic"), lake) == {"accepted": 0, "rejected": 0}
