@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe
+from shoptrail.llm import bpe, mixture, quality_rules, url_rules
 from shoptrail.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -16,8 +16,59 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+#: Fixed rules of the query: host, path, verdict.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "allow"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op5_source_mixture": op5_source_mixture,
     "op8_byte_level_bpe": op8_byte_level_bpe,
+    "op9_url_filters": op9_url_filters,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_url_filters": f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULE_ROWS}),
+rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+    FROM pages
+),
+parts AS (
+    SELECT page_id, row_number() OVER () AS n,
+           translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+),
+fitting AS (
+    SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+           arg_max(rule_verdict, length(rule_host || rule_path)) AS verdict
+    FROM parts JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fitting USING (n)
+""",
+}
