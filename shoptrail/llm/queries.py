@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, mixture, quality_rules, url_rules
+from shoptrail.llm import bpe, language, mixture, quality_model, quality_rules, url_rules
 from shoptrail.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -26,6 +26,14 @@ URL_RULES = (
 )
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
@@ -41,7 +49,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op5_source_mixture": op5_source_mixture,
+    "op6_language_id": op6_language_id,
     "op8_byte_level_bpe": op8_byte_level_bpe,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
