@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoptrail.llm import bpe, language, mixture, quality_model, quality_rules, url_rules
+from shoptrail.llm import (
+    bpe, jaccard_join, language, mixture, neighbours, quality_model, quality_rules, substring_dedup, tokens_by_section,
+    url_rules,
+)
 from shoptrail.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -26,10 +29,34 @@ URL_RULES = (
 )
 
 
+_RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return tokens_by_section.count_by_section(documents, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of removed passages as text, ``start-end`` with commas between."""
+    cleaned = substring_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    shown = F.transform("removed", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string")))
+    return cleaned.withColumn("removed", F.array_join(shown, ","))
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -39,7 +66,7 @@ def op5_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_ROWS} AS rules(host, path, verdict)")
     judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -50,15 +77,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_token_counts": op2_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_source_mixture": op5_source_mixture,
     "op6_language_id": op6_language_id,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_byte_level_bpe": op8_byte_level_bpe,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
 }
 
-_RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
-
 ORACLE_SQL: dict[str, str] = {
     "op9_url_filters": f"""
 WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULE_ROWS}),
