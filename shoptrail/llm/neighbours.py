@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shoptrail.llm.common import cut_lineage
 
 #: Neighbours kept per node, as many reverse ones taken into a local join, and rounds at most.
-NEIGHBOURS = 20
-REVERSE = 20
-ROUNDS = 7
+NEIGHBOURS = 32
+REVERSE = 32
+ROUNDS = 3
 #: Building ends when a round changes less than this share of all entries.
 LEAST_CHANGE = 0.01
-#: Random orders whose neighbouring vectors start the graph.
-ORDERS = 4
-CELL = 20_000
+#: Random divisions of space whose cells start the graph, and nodes that a cell's task compares at most.
+ORDERS = 10
+CELL = 3_000
 #: Nodes a query keeps in view, nodes whose neighbours it looks at in one step, and steps at most.
 BEAM = 64
 EXPAND = 16
@@ -56,58 +56,89 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     return few.groupBy("key").agg(F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("ids"), F.first("raw").alias("v")).drop("key")
 
 
-def _start(nodes: DataFrame, dimensions: int, k: int, seed: int) -> DataFrame:
-    """First edges (node, other): nodes that follow each other in random projections.
+def _cells(directions: np.ndarray):
+    """Cell of each vector in each way: on every level the nearest of that level's centres."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            m = np.stack(batch["v"].to_numpy())
+            for way, levels in enumerate(directions):
+                cell = np.zeros(len(m), np.int64)
+                for centres in levels:
+                    cell = cell * len(centres) + (m @ centres.T).argmax(axis=1)
+                yield pd.DataFrame({"node": batch["node"], "way": way, "cell": cell, "v": batch["v"]})
+
+    return run
 
-    Along each projection the nodes are cut into cells by 64 quantiles and, where those would hold more
-    than ``CELL`` nodes, into parts by digest; neighbours are taken inside a part.
-    """
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(size=(ORDERS, dimensions))
-    projected = [
-        F.aggregate(
-            F.zip_with("v", F.lit(list(map(float, d))).cast("array<double>"), lambda a, b: a * b),
-            F.lit(0.0).cast("double"), lambda a, x: a + F.coalesce(x, F.lit(0.0)),
-        )
-        for d in directions
-    ]
-    placed = nodes.select("node", F.posexplode(F.array(*projected)).alias("way", "at"))
-    cuts = placed.groupBy("way").agg(F.percentile_approx("at", [i / 64 for i in range(1, 64)], 10_000).alias("cuts"))
-    celled = placed.join(F.broadcast(cuts), "way").withColumn("cell", F.size(F.filter("cuts", lambda c: c < F.col("at"))))
-    parts = -(-nodes.count() // (64 * CELL)) or 1
-    celled = celled.withColumn("part", F.pmod(F.xxhash64("node", "way"), F.lit(parts)))
-    order = Window.partitionBy("way", "cell", "part").orderBy("at", "node")
-    near = max(1, k // (2 * ORDERS))
-    beside = [F.lag("node", i).over(order) for i in range(1, near + 2)] + [F.lead("node", i).over(order) for i in range(1, near + 2)]
-    listed = celled.select("node", F.array(*beside).alias("beside"))
-    return listed.select("node", F.explode("beside").alias("other")).where("other is not null").distinct()
 
+def _inside(k: int):
+    """Best ``k`` others of each node of one part of a cell, ``CELL`` nodes at most."""
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy())
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        ids, m, out = group["node"].to_numpy(), np.stack(group["v"].to_numpy()), []
+        take = min(k, len(ids) - 1)
+        for at in range(0, len(ids) if take > 0 else 0, 500):
+            near = m[at : at + 500] @ m.T
+            near[np.arange(len(near)), np.arange(at, at + len(near))] = -2
+            best = np.argpartition(-near, take - 1, axis=1)[:, :take]
+            out.append((np.repeat(ids[at : at + 500], take), ids[best].ravel(), np.take_along_axis(near, best, 1).ravel()))
+        parts = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0)] * 3
+        return pd.DataFrame({"node": parts[0].astype("int64"), "other": parts[1].astype("int64"), "near": parts[2].astype("float64")})
+
+    return run
+
+
+def _start(nodes: DataFrame, total: int, k: int, seed: int) -> DataFrame:
+    """First edges (node, other, near): in several random divisions of space into cells, each node's best
+    inside its cell.
+
+    A division has levels of up to 32 centres, as many as it takes for cells of about ``CELL`` / 2 nodes; centres
+    are a fixed number of the vectors. A cell that is fuller is dealt into parts by digest.
+    """
+    fan = int(min(32, max(1, total // (CELL // 2))))
+    levels = 1
+    while fan > 1 and fan**levels < total // CELL:
+        levels += 1
+    wanted = ORDERS * levels * fan
+    picked = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(wanted).collect()
+    centres = np.asarray([row["v"] for row in picked], np.float32)
+    centres = centres[np.arange(wanted) % len(centres)].reshape(ORDERS, levels, fan, -1)
+    celled = nodes.mapInPandas(_cells(centres), "node bigint, way int, cell bigint, v array<float>")
+    # One row per way and cell.
+    sizes = celled.groupBy("way", "cell").agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64("node", "way"), F.ceil(F.col("n") / CELL))
+    dealt = celled.join(sizes, ["way", "cell"]).withColumn("part", part)
+    return dealt.groupBy("way", "cell", "part").applyInPandas(_inside(k), "node bigint, other bigint, near double")
 
 
 def _local_join(k: int):
-    """Inside a node's row all its neighbours are compared with each other and with the node; each of
-    them gets the best of the others as candidates."""
+    """Inside a node's row all its neighbours are compared with each other and with the node. A pair
+    is a candidate if one of the two came new in the last round, and for those of the two that have
+    nothing better on their list yet."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: tuple[list, list, list] = ([], [], [])
-            for others, vectors in zip(batch["others"], batch["vectors"]):
-                ids = np.asarray(others)
-                m = np.stack(vectors)
+            for others, fresh, worst, vectors in zip(batch["others"], batch["fresh"], batch["worst"], batch["vectors"]):
+                ids, m, new = np.asarray(others), np.stack(vectors), np.asarray(fresh)
                 near = m @ m.T
-                np.fill_diagonal(near, -2.0)
+                near[~(new[:, None] | new[None, :])] = -2
+                np.fill_diagonal(near, -2)
                 take = min(k, len(ids) - 1)
                 if take < 1:
                     continue
                 best = np.argpartition(-near, take - 1, axis=1)[:, :take]
-                out[0].append(np.repeat(ids, take))
-                out[1].append(ids[best].ravel())
-                out[2].append(np.take_along_axis(near, best, 1).ravel())
+                value = np.take_along_axis(near, best, 1)
+                i, j = np.nonzero(value > np.asarray(worst, np.float32)[:, None])
+                out[0].append(ids[i])
+                out[1].append(ids[best[i, j]])
+                out[2].append(value[i, j])
             if out[0]:
-                yield pd.DataFrame({"node": np.concatenate(out[0]), "other": np.concatenate(out[1]), "near": np.concatenate(out[2])})
+                # Of what the batch found several times one row goes on.
+                found = pd.DataFrame({"node": np.concatenate(out[0]), "other": np.concatenate(out[1]), "near": np.concatenate(out[2]).astype("float64")})
+                yield found.drop_duplicates(["node", "other"])
 
     return run
 
@@ -120,39 +151,39 @@ def _top(edges: DataFrame, node: str, by: list[Column], k: int) -> DataFrame:
 def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
     """(node, other, near): the ``k`` nearest others of each node, as far as descent has found them.
 
-    A round joins each node with its forward neighbours and a bounded choice of reverse ones (those
-    nearest to it), so no hub gathers more than ``NEIGHBOURS`` + ``REVERSE`` vectors. A node's row emits
-    at most half of ``k`` candidates for each of them.
+    ``nodes`` is (node, v) with unit vectors of floats. A round joins each node with its forward neighbours
+    and the nearest of its reverse ones, so no hub gathers more than ``NEIGHBOURS`` + ``REVERSE`` vectors. What was
+    compared in earlier rounds is not compared again.
     """
-    first = nodes.select(F.size("v").alias("n")).first()
-    if first is None:
-        return nodes.sparkSession.createDataFrame([], "node bigint, other bigint, near double")
-    vectors = nodes.select("node", "v")
-    named = vectors.withColumnsRenamed({"node": "other", "v": "w"})
-    dot = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0.0).cast("double"), lambda a, x: a + x)
-    start = _start(nodes, first["n"], k, seed)
-    scored = start.join(vectors, "node").join(named, "other").select("node", "other", dot.alias("near"))
-    graph = cut_lineage(_top(scored, "node", [F.desc("near"), F.col("other")], k))
-    size = graph.count()
+    total = nodes.count()
+    if total < 2:
+        return nodes.select("node", F.col("node").alias("other"), F.lit(1.0).alias("near")).limit(0)
+    best_first = [F.desc("near"), F.col("other")]
+    start = _start(nodes, total, k, seed).groupBy("node", "other").agg(F.max("near").alias("near"))
+    graph = cut_lineage(_top(start, "node", best_first, k).withColumn("new", F.lit(True)))
     for _ in range(rounds):
-        back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near")
-        back = _top(back, "node", [F.desc("near"), F.col("other")], REVERSE)
-        around = graph.unionByName(back).select("node", "other").distinct()
-        around = around.unionByName(nodes.select("node", F.col("node").alias("other")))
+        back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near", "new")
+        back = _top(back, "node", best_first, REVERSE)
+        around = graph.unionByName(back).groupBy("node", "other").agg(F.max("new").alias("new"))
+        around = around.unionByName(nodes.select("node", F.col("node").alias("other"), F.lit(False).alias("new")))
+        last = graph.groupBy("node").agg(F.when(F.count("*") == k, F.min("near")).otherwise(F.lit(-1.5)).alias("worst"))
+        named = nodes.join(last, "node", "left").select(
+            F.col("node").alias("other"), F.col("v").alias("w"), F.coalesce("worst", F.lit(-1.5)).alias("worst")
+        )
         gathered = (
             around.join(named, "other")
             .groupBy("node")
-            .agg(F.collect_list(F.struct("other", "w")).alias("all"))
-            .select(F.col("all.other").alias("others"), F.col("all.w").alias("vectors"))
+            .agg(F.collect_list(F.struct("other", "new", "worst", "w")).alias("all"))
+            .select(F.col("all.other").alias("others"), F.col("all.new").alias("fresh"), F.col("all.worst").alias("worst"), F.col("all.w").alias("vectors"))
         )
-        found = gathered.mapInPandas(_local_join(max(2, k // 2)), "node bigint, other bigint, near double")
-        best = found.unionByName(graph).groupBy("node", "other").agg(F.max("near").alias("near"))
-        now = cut_lineage(_top(best, "node", [F.desc("near"), F.col("other")], k))
-        same = now.join(graph, ["node", "other"], "left_semi").count()
-        size, graph = now.count(), now
-        if size - same < LEAST_CHANGE * size:
+        found = gathered.mapInPandas(_local_join(k), "node bigint, other bigint, near double").withColumn("new", F.lit(True))
+        old = graph.withColumn("new", F.lit(False))
+        both = found.unionByName(old).groupBy("node", "other").agg(F.max("near").alias("near"), F.min("new").alias("new"))
+        graph = cut_lineage(_top(both, "node", best_first, k))
+        changed = graph.agg(F.count_if("new"), F.count("*")).first()
+        if changed[0] < LEAST_CHANGE * changed[1]:
             break
-    return graph
+    return graph.select("node", "other", "near")
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
@@ -193,7 +224,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     nodes = cut_lineage(usable(vectors, id_column, vector))
     unit = F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0).cast("double"), lambda a, y: a + y * y)))
     normal = cut_lineage(nodes.select("node", unit.alias("v")))
-    graph = build_graph(normal)
+    graph = build_graph(normal.select("node", F.col("v").cast("array<float>").alias("v")))
     # Every copy of a vector that is asked for is a query: more than the six ids a node keeps.
     raw = vectors.where((F.col(id_column) % every == 0) & F.col(vector).isNotNull()).select(
         F.col(id_column).cast("bigint").alias("query"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("raw")
