@@ -119,16 +119,56 @@ def mix(docs: DataFrame, seed: int = 42, text: str = "text", source: str = "sour
     """One row per document: (doc_id, size, source_size, target, taken), ``taken`` in words.
 
     Sizes are counts of words; a null or empty text has none and is never taken. Null sources are a
-    source of their own, the last. Ties in the seeded digest go to the smaller id, null last; repeated
-    rows are documents of their own. Only narrow rows are shuffled. Documents of one source and
-    length are dealt over 1,024 parts by digest and counted there. Parts are taken whole in order, so
-    at most one part of each length has to be ranked.
+    source of their own, the last. Ties in the seeded digest go to the smaller id, null last, then to the
+    smaller digest of the text; repeated rows are documents of their own. Only narrow rows are shuffled.
+    """
+    chosen = _chosen(docs, seed, text, source, id_column)
+    return chosen.select(
+        F.col("id").alias(id_column), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def repeated(docs: DataFrame, seed: int = 42, text: str = "text", source: str = "source", id_column: str = "doc_id") -> DataFrame:
+    """Rows of ``docs``, each as often as the mix takes it; those it does not take are left out.
+
+    Documents without words (size 0) stay once. Texts are shuffled once, to meet their number of copies;
+    rows that repeat id, source and text share the copies of all of them evenly.
+    """
+    name = [F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_id"), F.col(id_column).isNull().alias("_null")]
+    taken = (
+        _chosen(docs, seed, text, source, id_column)
+        .select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("id").isNull().alias("_null"),
+                F.col("text_hash").alias("_hash"), F.col("source_key").alias("_source"), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("n"))
+        .groupBy("_id", "_null", "_hash", "_source")
+        .agg(F.sum("n").alias("_sum"), F.count("*").alias("_rows"))
+    )
+    keyed = docs.select("*", *name, _text_hash(text).alias("_hash"), _source_key(source).alias("_source"))
+    met = keyed.join(taken, ["_id", "_null", "_hash", "_source"])
+    place = F.row_number().over(Window.partitionBy("_id", "_null", "_hash", "_source").orderBy(F.lit(0)))
+    share = F.expr("_sum DIV _rows").cast("int")
+    copies = share + (F.col("_place") <= F.col("_sum") % F.col("_rows")).cast("int")
+    opened = met.withColumn("_place", place).withColumn("_n", copies).where("_n > 0")
+    return opened.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def _source_key(source: str) -> Column:
+    return F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source).cast("string")))
+
+
+def _chosen(docs: DataFrame, seed: int, text: str, source: str, id_column: str) -> DataFrame:
+    """(id, text_hash, source_key, size, source_size, target, copies) of each document.
+
+    Documents of one source and length are dealt over 1,024 parts by digest and counted there. Parts are
+    taken whole in order, so at most one part of each length has to be ranked.
     """
     digest = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    key = F.when(F.col(source).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source).cast("string")))
     narrow = docs.select(
-        F.col(id_column), F.col(source).cast("string").alias("source"), key.alias("source_key"),
-        word_count(F.col(text)).alias("size"), digest.alias("digest"),
+        F.col(id_column).alias("id"), F.col(source).cast("string").alias("source"), _source_key(source).alias("source_key"),
+        word_count(F.col(text)).alias("size"), digest.alias("digest"), _text_hash(text).alias("text_hash"),
     )
     narrow = cut_lineage(narrow.withColumn("part", F.pmod("digest", F.lit(PARTS)).cast("int")))
     cells = cut_lineage(narrow.groupBy("source", "source_key", "size", "part").agg(F.count("*").alias("n")))
@@ -152,11 +192,11 @@ def mix(docs: DataFrame, seed: int = 42, text: str = "text", source: str = "sour
     )
     planned = narrow.drop("source").join(plan, ["source_key", "size", "part"])
     whole = planned.where("some = 0 or some = n").withColumn("one_more", F.col("some") > 0)
-    ranked = Window.partitionBy("source_key", "size", "part").orderBy("digest", F.col(id_column).asc_nulls_last())
+    ranked = Window.partitionBy("source_key", "size", "part").orderBy("digest", F.col("id").asc_nulls_last(), "text_hash")
     cut = planned.where("some > 0 and some < n").withColumn("one_more", F.row_number().over(ranked) <= F.col("some"))
     chosen = whole.unionByName(cut)
     copies = F.col("rounds") + F.col("one_more").cast("bigint")
     # One row per source.
     return chosen.join(goals, "source_key").select(
-        id_column, "size", "source_size", "target", (copies * F.col("size")).alias("taken")
+        "id", "text_hash", "source_key", "size", "source_size", "target", copies.alias("copies")
     )
