@@ -51,8 +51,9 @@ def product_performance(events: DataFrame, processed_at: Column | None = None) -
     Measures and text attributes are taken apart so that the (product, user) shuffle carries only
     numbers; they meet again at one row per product.
     """
-    known = events.where(F.col("product_id").isNotNull())
-    products = _measures(known).join(_attributes(known), "product_id")
+    measures, attributes = _measures(events), _attributes(events).withColumnRenamed("product_id", "_product")
+    # Events without a product are a group of their own.
+    products = measures.join(attributes, F.col("product_id").eqNullSafe(F.col("_product"))).drop("_product")
     sold = F.col("purchase_count")
     return products.withColumns(
         {

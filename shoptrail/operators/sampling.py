@@ -7,17 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoptrail import schemas as S
-from shoptrail.operators.skew import number_in_slices
 from shoptrail.session import cut_lineage
 
 # Leading hex digits of a digest that name its bucket: 16^4 buckets, whatever the input.
 _BUCKET_DIGITS = 4
 # Copies of one row numbered by one task at a time.
 _COPIES_PER_STEP = 100_000
-# Up to this many 32-character digests may be broadcast (about 100 MB).
-_BROADCAST_DIGESTS = 1_000_000
-# A top-n of this size may be merged by one task.
-_FIRST_ROWS_IN_ONE_TASK = 100_000
 
 
 def _row_text(columns: list[str]) -> Column:
@@ -111,8 +106,7 @@ def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
 
     Every copy of every row gets a digest of (seed, row, number of the copy) and the n smallest
     win. The outcome depends on seed and content only, not on files or partitions. Digests and
-    their counts are all that is shuffled; the rows themselves are fetched by the winning digests,
-    which are broadcast when ``n`` bounds their size. Rows come with ``sample_key`` and their
+    their counts are all that is shuffled; the rows themselves are fetched by the winning digests. Rows come with ``sample_key`` and their
     ``sample_number`` in key order.
     """
     if n <= 0:
@@ -128,8 +122,6 @@ def fixed_size_sample(df: DataFrame, n: int, seed: int = 42) -> Sample:
     # At most n narrow rows, read four times below; the scan behind them should run once.
     winners = cut_lineage(smallest.select("row_digest", "sample_key"))
     wanted = winners.select("row_digest")
-    if n <= _BROADCAST_DIGESTS:
-        wanted = F.broadcast(wanted)
     # Copies of a row are alike, so one of each is enough to serve all winners with its digest.
     contents = marked.join(wanted, "row_digest", "left_semi").dropDuplicates(["row_digest"])
     rows = _numbered(winners).join(contents, "row_digest")
@@ -148,8 +140,5 @@ def stamp_event_ids(sample: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def first_rows(df: DataFrame, n: int, position: str) -> DataFrame:
-    """The first ``n`` rows by a unique position."""
-    if n <= _FIRST_ROWS_IN_ONE_TASK:
-        return df.orderBy(position).limit(n)
-    numbered = number_in_slices(df.withColumn("_all", F.lit(0)), "_all", [position], "_number", {})
-    return numbered.where(F.col("_number") <= n).drop("_all", "_number")
+    """The first ``n`` rows by a unique position; rows without one come last, whatever ``n`` is."""
+    return df.orderBy(F.col(position).asc_nulls_last()).limit(n)

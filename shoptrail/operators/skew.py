@@ -4,28 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shoptrail.session import cut_lineage, estimated_bytes
+from shoptrail.session import cut_lineage
 
 # A group below this many rows sorts comfortably (spilling if need be) in one task.
 HEAVY_GROUP_ROWS = 20_000_000
-# Most heavy keys handled apart. It bounds what the driver holds; keys past it are lighter than
-# every key in the list and take the ordinary path, so results do not depend on it.
-MAX_HEAVY_KEYS = 2_000
-# Input this small fits one task whatever its keys are.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+# Keys are counted by this many hash buckets first.
+KEY_BUCKETS = 65_536
 
 
 def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_GROUP_ROWS) -> list:
-    """Keys with at least ``rows`` rows, heaviest first, at most ``MAX_HEAVY_KEYS``.
+    """All keys with at least ``rows`` rows, heaviest first: at most one per ``rows`` rows of input.
 
-    Reads only the key column and counts before it shuffles. Skipped for small input.
+    Counts per hash bucket combine to a fixed number of rows before they are shuffled. Exact counts are
+    taken only of keys in buckets that hold ``rows`` rows, which most input has none of.
     """
-    size = estimated_bytes(df)
-    if size is not None and size < SMALL_INPUT_BYTES:
+    bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
+    full = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") >= rows)
+    buckets = [row["bucket"] for row in full.collect()]
+    if not buckets:
         return []
-    counts = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= rows)
-    heaviest = counts.orderBy(F.desc("n"), key).limit(MAX_HEAVY_KEYS)
-    return [row[0] for row in heaviest.select(key).collect()]
+    counts = df.where(bucket.isin(buckets)).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= rows)
+    return [row[0] for row in counts.orderBy(F.desc("n"), key).select(key).collect()]
 
 
 def split_by_keys(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:

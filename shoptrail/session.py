@@ -18,9 +18,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# Past this many, bookkeeping for map outputs costs more than bigger partitions do.
-MAX_SHUFFLE_PARTITIONS = 100_000
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on (UTC, ANSI) and adaptive execution."""
@@ -50,7 +47,7 @@ def fit_shuffles(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024) -> int
     spark = df.sparkSession
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
-    wanted = min(max(current, -(-(size or 0) // partition_bytes)), MAX_SHUFFLE_PARTITIONS)
+    wanted = max(current, -(-(size or 0) // partition_bytes))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(wanted, current)
@@ -64,16 +61,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the scan has fewer splits than there are cores.
-
-    For CPU-heavy work on small input, such as parsing. Input with enough splits, which is any big
-    one, passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

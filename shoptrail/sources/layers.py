@@ -87,7 +87,9 @@ class Counted:
     def rows(self) -> int:
         try:
             return self._observation.get["rows"]
-        except Py4JJavaError:
+        except Py4JJavaError as error:
+            if "AssertionError" not in str(error):
+                raise
             # Adaptive execution drops the counter along with everything else once it finds that
             # a result is empty; there is no metric to convert then.
             return 0

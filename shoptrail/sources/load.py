@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoptrail import schemas as S
@@ -16,7 +17,12 @@ def typed(spark: SparkSession, root: str, name: str) -> DataFrame:
     """
     schema, partition = S.GOLD[name]
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    leaves = files.parquet(f"{root.rstrip('/')}/{name}")
+    try:
+        leaves = files.parquet(f"{root.rstrip('/')}/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], schema)  # published empty
     dated = F.regexp_extract("_metadata.file_path", rf"{partition}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})", 1)
 
     def column(field):

@@ -57,26 +57,67 @@ def publish(
     spark: SparkSession, source_root: str, target: str, prefix: str = S.CURATED_PREFIX,
     dry_run: bool = False,
 ) -> dict[str, int]:
-    """Copy curated tables to ``target/prefix`` on any file system, keeping their layout.
+    """Make ``target/prefix`` hold what the curated layer holds, on any file system.
 
-    A dry run reports the files and bytes that would go. Returns files and bytes at the source or,
-    after copying, at the target.
+    All declared tables are written, empty ones too, so nothing of an earlier run stays in them; other
+    Parquet folders go by their own schema and partitions, and JSON documents, small by nature, are copied
+    from wherever they lie. What the source no longer has is removed. A dry run reports the files and
+    bytes at the source; after copying those at the target are returned, whose Parquet files tasks have
+    written anew.
     """
     source = check_source(source_root)
     destination = f"{target.rstrip('/')}/{check_prefix(prefix)}"
-    present = inventory_totals(inventory(spark, source)).collect()
+    files = inventory(spark, source)
+    present = inventory_totals(files).collect()
     if not present:
         raise ValueError(f"nothing to publish under {source}")
     if not dry_run:
         names = {row["table_name"] for row in present}
+        _remove_others(spark, destination, names | set(S.GOLD))
         for name, (schema, partition) in S.GOLD.items():
-            if name in names:
-                layer = read_layer(spark, f"{source}/{name}", schema)
-                write_layer(layer, f"{destination}/{name}", partition)
-        for name in names - set(S.GOLD):
-            if name.endswith(".json"):
-                spark.read.text(f"{source}/{name}").coalesce(1).write.mode("overwrite").option(
-                    "compression", "none"
-                ).text(f"{destination}/{name}")
+            layer = read_layer(spark, f"{source}/{name}", schema) if name in names else spark.createDataFrame([], schema)
+            write_layer(layer, f"{destination}/{name}", partition)
+        for name in sorted(names - set(S.GOLD)):
+            _copy_other(spark, files.where(F.col("table_name") == name), f"{source}/{name}", f"{destination}/{name}")
+        for path in _below(files.where(F.col("path").endswith(".json")), source):
+            _copy_file(spark, f"{source}/{path}", f"{destination}/{path}")
         present = inventory_totals(inventory(spark, destination)).collect()
     return {"files": sum(r["files"] for r in present), "bytes": sum(r["bytes"] for r in present)}
+
+
+def _below(files: DataFrame, source: str) -> list[str]:
+    """Paths of JSON documents below the root: summaries, a few a run."""
+    root = f"/{posixpath.basename(posixpath.normpath(urlsplit(source).path))}/"
+    return [row["path"].rsplit(root, 1)[1] for row in files.select("path").collect()]
+
+
+def _copy_other(spark: SparkSession, files: DataFrame, source: str, destination: str) -> None:
+    """A Parquet folder that is no declared table, with the partition folders it has."""
+    parquet = files.where(F.col("path").endswith(".parquet"))
+    keys = F.explode(F.expr(r"regexp_extract_all(path, '/([^/=]+)=[^/]*', 1)"))
+    found = [row["k"] for row in parquet.select(keys.alias("k")).distinct().collect()]
+    if parquet.limit(1).count() == 0:
+        return
+    frame = spark.read.option("pathGlobFilter", "*.parquet").parquet(source)
+    frame.write.mode("overwrite").partitionBy(*[c for c in frame.columns if c in found]).parquet(destination)
+
+
+def _file_system(spark: SparkSession, path: str):
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return made, made.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _remove_others(spark: SparkSession, folder: str, names: set[str]) -> None:
+    """Delete what lies in a published folder under other names."""
+    path, system = _file_system(spark, folder)
+    for status in system.listStatus(path) if system.exists(path) else []:
+        if status.getPath().getName() not in names:
+            system.delete(status.getPath(), True)
+
+
+def _copy_file(spark: SparkSession, source: str, destination: str) -> None:
+    (origin, here), (goal, there) = _file_system(spark, source), _file_system(spark, destination)
+    if there.exists(goal):
+        there.delete(goal, True)
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    copy(here, origin, there, goal, False, True, spark._jsc.hadoopConfiguration())

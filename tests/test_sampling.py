@@ -68,15 +68,19 @@ def test_ids_are_sequential_and_blanks_filled(spark):
     assert [r.product_id for r in sorted(rows, key=lambda r: r.event_id)] == keyed
 
 
-def test_large_sample_does_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "_BROADCAST_DIGESTS", 10)
+def test_sample_ignores_layout(spark):
     frame = source(spark, 500)
     assert picked(sampling.fixed_size_sample(frame, 60)) == picked(sampling.fixed_size_sample(frame.coalesce(1), 60))
 
 
-@pytest.mark.parametrize("limit", [5, 100_000])
-def test_first_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr(sampling, "_FIRST_ROWS_IN_ONE_TASK", limit)
+@pytest.mark.parametrize("n", [5, 20, 200_000])
+def test_rows_without_position_come_last(spark, n):
+    frame = spark.range(30).selectExpr("IF(id % 3 = 0, NULL, id) AS position")
+    got = [r.position for r in sampling.first_rows(frame, n, "position").collect()]
+    assert got == ([i for i in range(30) if i % 3] + [None] * 10)[:n]
+
+
+def test_first_rows(spark):
     frame = spark.range(1000).selectExpr("id * 3 AS position").repartition(5)
     got = sorted(r.position for r in sampling.first_rows(frame, 100, "position").collect())
     assert got == [i * 3 for i in range(100)]

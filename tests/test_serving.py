@@ -186,3 +186,28 @@ def test_gold_presence(spark, finished, tmp_path):
     spark.read.parquet(f"{lake.gold}/fct_sessions").write.parquet(str(tmp_path / "gold/fct_sessions"))
     got = {r.table_name: (r.row_count, r.status) for r in gate.gold_presence(spark, str(tmp_path / "gold")).collect()}
     assert got["fct_sessions"][1] == "PASS" and got["fct_purchases"] == (None, "FAIL")
+
+
+def test_publish_empties_and_removes(spark, finished, tmp_path):
+    """An emptied table, a table nobody declared, nested JSON, a fresh target, and a stale one."""
+    import shutil
+
+    gold, target = tmp_path / "gold", str(tmp_path / "store")
+    shutil.copytree(finished[0].gold if isinstance(finished, tuple) else finished.gold, gold)
+    publish.publish(spark, str(gold), target)
+    before = load.typed(spark, f"{target}/gold", "fct_cart_abandonment").count()
+    empty = spark.read.parquet(f"{gold}/fct_cart_abandonment").limit(0)
+    shutil.rmtree(gold / "fct_cart_abandonment")
+    empty.write.parquet(str(gold / "fct_cart_abandonment"))
+    for path in (gold / "fct_cart_abandonment").glob("*.parquet"):
+        path.unlink()
+    spark.range(3).selectExpr("id", "id % 2 AS day").write.partitionBy("day").parquet(str(gold / "agg_custom"))
+    (gold / "agg_custom" / "notes.json").write_text('{"a": 1}')
+    for place in (target, str(tmp_path / "fresh")):
+        publish.publish(spark, str(gold), place)
+        assert before > 0 and load.typed(spark, f"{place}/gold", "fct_cart_abandonment").count() == 0
+        assert spark.read.parquet(f"{place}/gold/agg_custom").count() == 3
+        assert (spark.read.text(f"{place}/gold/agg_custom/notes.json").first().value) == '{"a": 1}'
+    shutil.rmtree(gold / "agg_custom")
+    publish.publish(spark, str(gold), target)
+    assert "agg_custom" not in {r.table_name for r in publish.inventory(spark, f"{target}/gold").collect()}

@@ -75,13 +75,17 @@ def test_oversized_session_is_spread_over_partitions(spark):
     assert sorted(r.n for r in placed.collect()) == list(range(1, 401))
 
 
-def test_heavy_keys_are_found_by_size(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_INPUT_BYTES", 0)
+def test_heavy_keys_are_found_by_size(spark):
     rows = silver_rows(spark, shuffled_rows(7))
     assert skew.heavy_keys(rows, "user_session", rows=100) == ["hot"]
     assert skew.heavy_keys(rows, "user_session", rows=1000) == []
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 1)
-    assert skew.heavy_keys(rows, "user_session", rows=1) == ["hot"]
+    every = skew.heavy_keys(rows, "user_session", rows=1)
+    assert every[0] == "hot" and len(every) == rows.select("user_session").distinct().where("user_session is not null").count()
+
+
+def test_all_heavy_keys_are_found(spark):
+    rows = spark.range(9_000).selectExpr("id % 3000 AS k")
+    assert sorted(skew.heavy_keys(rows, "k", rows=3)) == list(range(3000))
 
 
 def test_facts(spark):
