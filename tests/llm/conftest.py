@@ -1,0 +1 @@
+"""The corpus operators use the session of the other tests."""
