@@ -19,7 +19,9 @@ def duck():
 
 def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"gold_inventory"}
+    own = set(registry.REGISTRY)
+    assert own <= set(contract.queries())
+    assert own - set(contract.oracle_sql()) == {"gold_inventory"}
 
 
 def test_entry(spark):
