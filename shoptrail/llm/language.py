@@ -106,18 +106,22 @@ class _Scores(dict):
     """Number of each word in a growing table of scores."""
 
     def __init__(self, model: Model):
+        self.narrow: dict[str, list[int]] = {}
         self.model, self.table, self.used = model, np.zeros((1 << 14, len(model.languages)), np.float32), 0
 
     def __missing__(self, word: str) -> int:
-        found = self.model.scores[_cells(word)].mean(axis=0) * min(len(word), 8)
-        allowed = self.model.scripts.get(script_of(word[0]))
-        if allowed:
+        cells = _cells(word)
+        found = np.add.reduce(self.model.scores[cells]) * (min(len(word), 8) / len(cells))
+        allowed = self.narrow.get(word[0])
+        if allowed is None:
+            allowed = self.narrow[word[0]] = self.model.scripts.get(script_of(word[0]), [])
+        if 0 < len(allowed) < len(found):
             narrowed = np.full_like(found, found.min() - 50.0)
             narrowed[allowed] = found[allowed]
             found = narrowed
         if self.used == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = found - found.max()
+        self.table[self.used] = found
         self[word] = self.used
         self.used += 1
         return self.used - 1
