@@ -8,6 +8,7 @@ switching then labels each word, and so the spans of a text that mixes languages
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,10 +19,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shoptrail.llm.common import id_remainder
 
 UNKNOWN = "und"
-#: Learning takes at most this many texts of each language, those with the smallest digests, and this
-#: many of their characters each. Prediction reads whole texts.
+#: Learning takes at most this many documents of each language, by digests, and reads them whole.
 TEXTS_PER_LANGUAGE = 1_000
-CHARS_PER_TEXT = 20_000
+#: Parts of the range of digests whose sizes are counted to find where a language's sample ends.
+DIGEST_PARTS = 1 << 16
 #: Cost in nats of labelling a word differently from the one before it.
 SWITCH_PENALTY = 4.0
 #: Trigrams are hashed into this many cells.
@@ -29,7 +30,7 @@ CELLS = 1 << 15
 #: Words whose scores a worker remembers at a time.
 MAX_WORDS = 300_000
 #: Words that are labelled side by side.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 1_000_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: First and last code point of blocks by script; other letters are "Other".
@@ -47,10 +48,15 @@ def script_of(letter: str) -> str:
     return next((name for name, low, high in SCRIPTS if low <= code <= high), "Other")
 
 
-def _cells(word: str) -> list[int]:
-    """Cells of a word's trigrams, with a mark on both sides; the same in every process."""
-    codes = [2, *map(ord, word.lower()), 3]
-    return [(a * 1_000_003 + b * 8_191 + c * 131) % CELLS for a, b, c in zip(codes, codes[1:], codes[2:])]
+def _cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the words' trigrams, with a mark on both sides of a word, and where each word's begin. One
+    trigram is centred on each letter; cells are the same in every process."""
+    lower = [word.lower() for word in words]
+    codes = np.frombuffer(("\2" + "\3\2".join(lower) + "\3").encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = codes.astype(np.int64)
+    cells = (codes[:-2] * 1_000_003 + codes[1:-1] * 8_191 + codes[2:] * 131) % CELLS
+    begins = np.cumsum([0, *map(len, lower)])[:-1]
+    return cells[codes[1:-1] > 3], begins
 
 
 @dataclass(frozen=True)
@@ -60,27 +66,42 @@ class Model:
     scripts: dict[str, list[int]]  # languages seen in each script
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = TEXTS_PER_LANGUAGE) -> Model:
+def learn(
+    labelled: DataFrame, text: str = "text", lang: str = "lang", id_column: str | None = None, per_language: int = TEXTS_PER_LANGUAGE
+) -> Model:
     """Fit the trigram model on rows with non-null language and text.
 
-    Takes a bounded sample per language (``per_language`` texts); trigrams are counted in tasks and
-    only sums per (language, cell) reach the driver, at most ``CELLS`` per language.
+    Takes a bounded sample per language (``per_language`` rows), by digests of ids or else of texts. Counts of ``DIGEST_PARTS`` parts of the ids'
+    digests say first up to which part a language has enough, so few texts beyond the sample are moved.
+    Trigrams are counted in tasks and only sums per (language, cell) reach the driver, at most ``CELLS``
+    per language.
     """
+    digest = F.xxhash64(F.col(id_column or text))
     usable = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.substring(F.col(text), 1, CHARS_PER_TEXT).alias("text"), F.xxhash64(text).alias("digest")
+        F.col(lang).alias("lang"), F.col(text).alias("text"), digest.alias("digest"),
+        F.pmod(digest, F.lit(DIGEST_PARTS)).alias("part"),
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("digest", "text"))
-    sample = usable.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
+    sizes = usable.groupBy("lang", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
+    ends = sizes.withColumn("before", before).where(F.col("before") < per_language).groupBy("lang").agg(F.max("part").alias("last"))
+    # One row per language, fewer than the model has.
+    few = usable.join(F.broadcast(ends), "lang").where("part <= last")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("part", "digest", "text"))
+    sample = few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
-        seen: dict[tuple[str, str], int] = {}
+        seen: Counter[tuple[str, str]] = Counter()
         for batch in batches:
-            for language, value in zip(batch["lang"], batch["text"]):
-                for word in _LETTERS.findall(value):
-                    np.add.at(sums.setdefault(language, np.zeros(CELLS, np.int64)), _cells(word), 1)
-                    key = (language, script_of(word[0]))
-                    seen[key] = seen.get(key, 0) + 1
+            for language, texts in batch.groupby("lang")["text"]:
+                found = Counter(word for value in texts for word in _LETTERS.findall(value))
+                if not found:
+                    continue
+                cells, begins = _cells(list(found))
+                times = np.repeat(np.fromiter(found.values(), np.int64), np.diff(np.append(begins, len(cells))))
+                sums[language] = sums.get(language, 0) + np.bincount(cells, weights=times, minlength=CELLS)
+                for word, n in found.items():
+                    seen[language, script_of(word[0])] += n
         rows = [(language, "", int(i), int(n[i])) for language, n in sums.items() for i in np.flatnonzero(n)]
         rows += [(language, script, -1, n) for (language, script), n in seen.items()]
         yield pd.DataFrame(rows, columns=["lang", "script", "cell", "n"])
@@ -106,30 +127,34 @@ class _Scores(dict):
     """Number of each word in a growing table of scores."""
 
     def __init__(self, model: Model):
-        self.narrow: dict[str, list[int]] = {}
-        self.model, self.table, self.used = model, np.zeros((1 << 14, len(model.languages)), np.float32), 0
-
-    def __missing__(self, word: str) -> int:
-        cells = _cells(word)
-        found = np.add.reduce(self.model.scores[cells]) * (min(len(word), 8) / len(cells))
-        allowed = self.narrow.get(word[0])
-        if allowed is None:
-            allowed = self.narrow[word[0]] = self.model.scripts.get(script_of(word[0]), [])
-        if 0 < len(allowed) < len(found):
-            narrowed = np.full_like(found, found.min() - 50.0)
-            narrowed[allowed] = found[allowed]
-            found = narrowed
-        if self.used == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used] = found
-        self[word] = self.used
-        self.used += 1
-        return self.used - 1
-
-    def trim(self) -> None:
-        if self.used > MAX_WORDS:
+        self.model, self.table = model, np.zeros((0, len(model.languages)), np.float32)
+        self.allowed: dict[str, np.ndarray] = {}
+
+    def _candidates(self, letter: str) -> np.ndarray:
+        """Which languages a word that begins so may have: those of its script, or all if it has none."""
+        found = self.allowed.get(letter)
+        if found is None:
+            found = np.zeros(len(self.model.languages), bool)
+            found[self.model.scripts.get(script_of(letter), slice(None))] = True
+            self.allowed[letter] = found
+        return found
+
+    def of(self, texts: list[list[str]]) -> np.ndarray:
+        """Scores of all words of the texts in order; words that are not known yet are scored together."""
+        if len(self) > MAX_WORDS:
             self.clear()
-            self.used = 0
+            self.table = self.table[:0]
+        new = list({word for words in texts for word in words} - self.keys())
+        if new:
+            cells, begins = _cells(new)
+            sizes = np.diff(np.append(begins, len(cells)))
+            weight = np.minimum(np.fromiter(map(len, new), np.int64, len(new)), 8) / sizes
+            found = np.add.reduceat(self.model.scores[cells], begins, axis=0) * weight[:, None].astype(np.float32)
+            allowed = np.stack([self._candidates(word[0]) for word in new])
+            found = np.where(allowed, found, found.min(axis=1, keepdims=True) - 50)
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.table = np.concatenate([self.table, found])
+        return self.table[[n for words in texts for n in map(self.__getitem__, words)]]
 
 
 def viterbi(scores: np.ndarray, begins: np.ndarray, ends: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
@@ -176,8 +201,7 @@ def _label(model: Model, work: _Scores, texts: list[str | None]) -> Iterator[tup
 
     def flush() -> Iterator[tuple[list[str], np.ndarray]]:
         ends = np.cumsum([len(w) for w in group])
-        numbers = [n for w in group for n in map(work.__getitem__, w)]
-        labels = viterbi(work.table[numbers], np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
+        labels = viterbi(work.of(group), np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
         for words, end in zip(group, ends):
             yield words, labels[end - len(words) : end]
 
@@ -186,12 +210,10 @@ def _label(model: Model, work: _Scores, texts: list[str | None]) -> Iterator[tup
         if group and size + len(words) > BATCH_WORDS:
             yield from flush()
             group, size = [], 0
-            work.trim()
         group.append(words)
         size += len(words)
     if group:
         yield from flush()
-        work.trim()
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -254,6 +276,6 @@ def identify(docs: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:
     """Learn from documents outside the held-out fold and predict all:
     (doc_id, held_out, lang_pred, score)."""
     fold = id_remainder("doc_id", parts) == held_out
-    model = learn(docs.where(~fold))
+    model = learn(docs.where(~fold), id_column="doc_id")
     predicted = predict(docs, model)
     return predicted.select("doc_id", (id_remainder("doc_id", parts) == held_out).alias("held_out"), "lang_pred", "score")
