@@ -22,9 +22,9 @@ from shoptrail.llm.common import id_remainder
 #: Words of a passage.
 PASSAGE_WORDS = 64
 #: Learning takes at most this many labelled documents of each label, those with the smallest digests,
-#: and of each the passages of this many characters. Scoring reads whole texts.
+#: and of a longer text this many passages, spread evenly over the whole. Scoring takes all passages.
 DOCUMENTS_PER_LABEL = 2_000
-CHARS_PER_TEXT = 20_000
+PASSAGES_PER_DOCUMENT = 400
 THRESHOLD = 0.3
 HIDDEN = 16
 EPOCHS = 40
@@ -88,6 +88,11 @@ def encode(text: str | None) -> np.ndarray:
     return np.asarray(rows, np.float32)
 
 
+def sampled(bag: np.ndarray, most: int = PASSAGES_PER_DOCUMENT) -> np.ndarray:
+    """A bag, or ``most`` passages of it at even distances."""
+    return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).astype(int)]
+
+
 @dataclass(frozen=True)
 class Model:
     mean: np.ndarray
@@ -171,14 +176,14 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str
     for label in (0, 1):  # a top-n per label: each task sends its n smallest
         top = known.where(F.col("label") == label).orderBy(digest, id_column).limit(per_label)
         picked = top if picked is None else picked.unionByName(top)
-    sample = docs.select(id_column, F.substring(F.col(text), 1, CHARS_PER_TEXT).alias("text")).join(picked, id_column)
+    sample = docs.select(id_column, F.col(text).alias("text")).join(picked, id_column)
 
     def bags_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame(
                 {
                     "id": batch[id_column].astype(str), "label": batch["label"],
-                    "bag": [encode(x).astype(np.float32).tobytes() for x in batch["text"]],
+                    "bag": [sampled(encode(x)).tobytes() for x in batch["text"]],
                 }
             )
 
