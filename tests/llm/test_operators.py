@@ -251,3 +251,32 @@ def test_neighbours(spark):
 def test_pipeline_on_given_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.columns == ["doc_id", "source", "n_tokens", "token_ids"] and rows.count() > 50
+
+
+def test_words_are_scored_together_as_alone():
+    rng = np.random.default_rng(3)
+    model = language.Model(["a", "b", "c"], rng.normal(-5, 1, (language.CELLS, 3)).astype(np.float32), {"Latin": [0, 2], "Greek": [1]})
+    texts = [["Haus", "ß", "İstanbul", "haus"], [], ["λόγος", "日本", "a" * 5_000], ["Haus"]]
+    scores = language._Scores(model)
+    got = np.concatenate([scores.of(texts[:2]), scores.of(texts[2:])])
+    for word, row in zip([w for t in texts for w in t], got):
+        codes = [2, *map(ord, word.lower()), 3]
+        cells = [(a * 1_000_003 + b * 8_191 + c * 131) % language.CELLS for a, b, c in zip(codes, codes[1:], codes[2:])]
+        plain = model.scores[cells].astype(float).sum(axis=0) * min(len(word), 8) / len(cells)
+        allowed = model.scripts.get(language.script_of(word[0]), [0, 1, 2])
+        plain = [x if i in allowed else plain.min() - 50 for i, x in enumerate(plain)]
+        assert np.allclose(row, plain, rtol=1e-3)
+
+
+def test_learning_reads_whole_texts_of_a_bounded_sample(spark):
+    late = "x " * 30_000 + "zebra quagga okapi " * 50
+    rows = [(i, late, "en") for i in range(40)] + [(100 + i, "der dachs im wald", "de") for i in range(3)] + [(None, None, "fr"), (7, "text", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, id_column="doc_id", per_language=5)
+    assert model.languages == ["de", "en"]
+    cells, _ = language._cells(["quagga"])
+    assert (model.scores[cells, 1] > model.scores[cells, 0]).all()
+    bag = np.arange(3_000, dtype=np.float32).reshape(1_000, 3)
+    few = quality_model.sampled(bag, 10)
+    assert len(few) == 10 and (few[0] == bag[0]).all() and (few[-1] == bag[-1]).all()
+    assert (quality_model.sampled(bag[:10], 10) == bag[:10]).all() and len(quality_model.sampled(bag[:3], 10)) == 3
