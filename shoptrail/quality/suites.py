@@ -30,7 +30,8 @@ def _facts(rules: dict[str, str], **aggregates: str) -> dict[str, str]:
 
 
 def _total(column: str) -> str:
-    return f"coalesce(sum({column}), 0D)"
+    """Exact sum of money: of doubles, it would depend on the order of rows."""
+    return f"coalesce(sum(try_cast({column} AS decimal(28, 4))), 0)"
 
 
 PROFILES = {
