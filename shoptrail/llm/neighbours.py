@@ -31,6 +31,11 @@ EXPAND = 16
 STEPS = 8
 
 
+def _parts(vector: str) -> Column:
+    """Components in double precision; adding zero turns -0.0 to 0.0, so that equal vectors have one text."""
+    return F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0).cast("double"))
+
+
 def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(node, ids, v): distinct vectors that are neither null, zero nor hold null or non-finite parts,
     divided by their length, in double precision.
@@ -39,7 +44,7 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     five nearest besides the query, so ``ids`` holds those; others are exact copies of them with larger
     ids. The limit is applied before the shuffle too, so a vector of a third of all rows stays harmless.
     """
-    parts = F.transform(F.col(vector), lambda x: x.cast("double"))
+    parts = _parts(vector)
     length = F.sqrt(F.aggregate("p", F.lit(0.0).cast("double"), lambda a, x: a + x * x))
     bad = F.exists("p", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     clean = (
@@ -227,7 +232,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     graph = build_graph(normal.select("node", F.col("v").cast("array<float>").alias("v")))
     # Every copy of a vector that is asked for is a query: more than the six ids a node keeps.
     raw = vectors.where((F.col(id_column) % every == 0) & F.col(vector).isNotNull()).select(
-        F.col(id_column).cast("bigint").alias("query"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("raw")
+        F.col(id_column).cast("bigint").alias("query"), _parts(vector).alias("raw")
     ).distinct()
     queries = cut_lineage(
         raw.join(nodes.select("node", F.col("v").alias("raw")), "raw").join(normal, "node").select("query", "node", "v", "raw")
