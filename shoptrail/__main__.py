@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +24,10 @@ def _positive(text: str) -> int:
     return number
 
 
+def _day(text: str) -> str:
+    return dt.date.fromisoformat(text).isoformat()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="shoptrail")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -62,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
         added = job(name, about)
         topic_options(added)
         added.add_argument("--start", choices=("earliest", "latest"), default="earliest")
+        added.add_argument("--files-per-batch", type=_positive, help="with --files: limit of one batch")
         added.add_argument("--records-per-batch", type=_positive, default=topic.RECORDS_PER_BATCH)
     jobs.choices["ingest"].add_argument("--reset", action="store_true", help="forget the checkpoint")
     jobs.choices["ingest"].add_argument("--clear", action="store_true", help="with --reset: empty the sinks")
@@ -73,6 +79,11 @@ def parser() -> argparse.ArgumentParser:
     ):
         mode_option(job(name, about))
 
+    jobs.choices["run"].add_argument("--reset", action="store_true", help="empty bronze and build everything anew")
+    update = job("update", "bring silver and gold up to date for a range of days")
+    for end in ("--since", "--until"):
+        update.add_argument(end, type=_day, metavar="YYYY-MM-DD")
+
     for name in ("verify", "run"):
         added = jobs.choices.get(name) or job(name, "check finished layers")
         for minimum in ("min-bronze-rows", "min-silver-rows", "min-sessions"):
@@ -91,7 +102,7 @@ def parser() -> argparse.ArgumentParser:
 
 def _stream(spark: SparkSession, args) -> DataFrame:
     if args.files:
-        return topic.read_files(spark, args.files)
+        return topic.read_files(spark, args.files, args.files_per_batch)
     if not args.servers:
         raise SystemExit("either --servers or --files is needed")
     return topic.read_kafka(spark, args.servers, args.topic, args.start, args.records_per_batch)
@@ -152,9 +163,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(medallion.ingest(_stream(spark, args), lake, reset=args.reset, clear_outputs=args.clear))
         return 0
     if args.job == "run":
-        report = medallion.run(spark, lake, _stream(spark, args), **minimums)
+        if args.reset and args.start == "latest":
+            raise SystemExit("--reset empties bronze, which a start at the latest records could not fill again")
+        report = medallion.run(spark, lake, _stream(spark, args), args.reset, **minimums)
         print(report)
         return int(report["status"] != "PASS")
+    if args.job == "update":
+        print(medallion.update(spark, lake, args.since, args.until))
+        return 0
     if args.job == "verify":
         scope = {"gold_only": args.gold_only, "skip_bronze": args.skip_bronze}
         status = medallion.verify(spark, lake, **scope, **minimums)

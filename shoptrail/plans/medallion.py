@@ -9,19 +9,21 @@ from pyspark.sql.types import StructType
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, models, products, purchases, refine, sessionize, sessions
+from shoptrail.plans import incremental
 from shoptrail.quality import gate
 from shoptrail.quality.column_tests import column_tests
-from shoptrail.session import fit_shuffles
+from shoptrail.session import sized_shuffles
 from shoptrail.sources import load, publish
 from shoptrail.sources.layers import (
     Counted,
     RunMetrics,
+    path_exists,
     read_dataset,
     read_layer,
     require_rows,
     write_layer,
 )
-from shoptrail.streaming.ingest import BronzeSink, drain
+from shoptrail.streaming.ingest import BronzeSink, drain, drop_path
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,11 @@ class Lake:
     def checkpoint(self) -> str:
         return f"{self.root}/bronze/checkpoints/topic_to_bronze"
 
+    @property
+    def touched(self) -> str:
+        """Days that were ingested and are not in silver and gold yet."""
+        return f"{self.root}/bronze/touched"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/events"
@@ -90,7 +97,8 @@ def read_tables(spark: SparkSession, lake: Lake, gold_only: bool = False) -> dic
 def ingest(records: DataFrame, lake: Lake, **options) -> dict[str, int]:
     """Take what is new in the topic; or (``reset``) start over, beside earlier output or instead
     of it (``clear_outputs``)."""
-    return drain(records, BronzeSink(lake.bronze, lake.quarantine), lake.checkpoint, **options)
+    sink = BronzeSink(lake.bronze, lake.quarantine, touched_path=lake.touched)
+    return drain(records, sink, lake.checkpoint, **options)
 
 
 def _counted_write(
@@ -99,9 +107,12 @@ def _counted_write(
     """Write a table and count its rows on the way.
 
     The source is not counted the same way: filters and date ranges do not pass through a counter.
+    ``append`` keeps partitions that the new rows do not touch and replaces the others, so building
+    twice duplicates nothing; a table without partitions is replaced.
     """
     written = Counted(f"{name}_written")
-    write_layer(written.watch(built), path, partition, mode)
+    keep = mode == "append" and partition is not None
+    write_layer(written.watch(built), path, partition, only_touched_partitions=keep)
     return RunMetrics(rows_read, written.rows)
 
 
@@ -110,10 +121,8 @@ def build_silver(
 ) -> RunMetrics:
     bronze = read_bronze(spark, lake)
     rows = require_rows(bronze, "bronze")
-    fit_shuffles(bronze)
-    return _counted_write(
-        "silver", rows, refine.to_silver(bronze, at), lake.silver, "event_date", mode
-    )
+    with sized_shuffles(bronze):
+        return _counted_write("silver", rows, refine.to_silver(bronze, at), lake.silver, "event_date", mode)
 
 
 def _write_gold(name: str, rows_read: int, built: DataFrame, lake: Lake, mode: str) -> RunMetrics:
@@ -126,16 +135,12 @@ def build_sessions(
 ) -> dict[str, RunMetrics]:
     silver = read_layer(spark, lake.silver, S.SILVER)
     rows = require_rows(silver, "silver")
-    fit_shuffles(silver)
-    ordered = sessionize.order_sessions(silver, at)
-    return {
-        "session_events": _counted_write(
-            "session_events", rows, ordered, lake.session_events, "event_date", mode
-        ),
-        "fct_sessions": _write_gold(
-            "fct_sessions", rows, sessions.session_facts(silver, at), lake, mode
-        ),
-    }
+    with sized_shuffles(silver):
+        ordered = sessionize.order_sessions(silver, at)
+        return {
+            "session_events": _counted_write("session_events", rows, ordered, lake.session_events, "event_date", mode),
+            "fct_sessions": _write_gold("fct_sessions", rows, sessions.session_facts(silver, at), lake, mode),
+        }
 
 
 def build_product_marts(
@@ -143,12 +148,12 @@ def build_product_marts(
 ) -> dict[str, RunMetrics]:
     events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
     rows = require_rows(events, "session events")
-    fit_shuffles(events)
     built = {
         "fct_purchases": purchases.purchase_facts(events, at),
         "agg_product_performance": products.product_performance(events, at),
     }
-    return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
+    with sized_shuffles(events):
+        return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
 
 
 def build_funnel_marts(
@@ -157,12 +162,12 @@ def build_funnel_marts(
     events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
     facts = read_layer(spark, lake.gold_table("fct_sessions"), S.FCT_SESSIONS)
     rows = require_rows(events, "session events")
-    fit_shuffles(events)
     built = {
         "agg_conversion_funnel": funnel.conversion_funnel(funnel.session_flags(events), at),
         "fct_cart_abandonment": carts.cart_abandonment(facts, carts.cart_details(events), at),
     }
-    return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
+    with sized_shuffles(events):
+        return {name: _write_gold(name, rows, df, lake, mode) for name, df in built.items()}
 
 
 def build_gold(spark: SparkSession, lake: Lake, mode: str = "overwrite") -> dict[str, RunMetrics]:
@@ -176,7 +181,8 @@ def build_gold(spark: SparkSession, lake: Lake, mode: str = "overwrite") -> dict
 def verify(spark: SparkSession, lake: Lake, gold_only: bool = False, **options) -> str:
     """Check finished layers, write the summary next to the curated tables, return its status."""
     tables = read_tables(spark, lake, gold_only)
-    return gate.write_summary(gate.validate(tables, gold_only=gold_only, **options), lake.summary)
+    with sized_shuffles(*tables.values()):
+        return gate.write_summary(gate.validate(tables, gold_only=gold_only, **options), lake.summary)
 
 
 @dataclass(frozen=True)
@@ -201,16 +207,31 @@ def serve(
 
 
 def run(
-    spark: SparkSession, lake: Lake, records: DataFrame, reset: bool = True,
+    spark: SparkSession, lake: Lake, records: DataFrame, reset: bool = False,
     query_name: str = "topic_to_bronze", **minimums: int
 ) -> dict:
-    """The whole chain from the topic to a validated gold layer."""
+    """The whole chain from the topic to a validated gold layer.
+
+    Takes what is new in the topic and brings the days up to date that it touches; a first run, or
+    one with ``reset``, which empties bronze and reads the topic from its start, builds everything.
+    """
     ingested = ingest(records, lake, reset=reset, clear_outputs=reset, query_name=query_name)
-    silver = build_silver(spark, lake)
-    gold = build_gold(spark, lake)
-    return {
-        "ingested": ingested,
-        "silver": silver,
-        "gold": gold,
-        "status": verify(spark, lake, **minimums),
-    }
+    layers = [lake.silver, lake.session_events, *map(lake.gold_table, S.GOLD)]
+    if reset or not all(path_exists(spark, path) for path in layers):
+        built = {"silver": build_silver(spark, lake), "gold": build_gold(spark, lake)}
+    else:
+        built = incremental.update(spark, lake, pending_days(spark, lake))
+    drop_path(spark, lake.touched)
+    return {"ingested": ingested, **built, "status": verify(spark, lake, **minimums)}
+
+
+def pending_days(spark: SparkSession, lake: Lake) -> incremental.Days:
+    """Days ingested since silver and gold were last brought up to date."""
+    if not path_exists(spark, lake.touched):
+        return []
+    return incremental.days_between(spark.read.schema("event_date date").parquet(lake.touched), None, None)
+
+
+def update(spark: SparkSession, lake: Lake, since: str | None = None, until: str | None = None) -> dict:
+    """Bring silver and gold up to date for a range of days."""
+    return incremental.update(spark, lake, incremental.days_between(read_bronze(spark, lake), since, until))

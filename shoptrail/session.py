@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,19 @@ def fit_shuffles(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024) -> int
     return max(wanted, current)
 
 
+@contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[None]:
+    """Size shuffles for the largest of the inputs while a job runs, then restore the session's setting."""
+    spark, name = inputs[0].sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        for df in inputs:
+            fit_shuffles(df)
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate for a plan, None where the session does not expose it."""
     plan = getattr(df, "_jdf", None)

@@ -44,6 +44,20 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files of one partition folder; none if it is not there."""
+    if not path_exists(spark, folder):
+        return set()
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {status.getPath().getName() for status in system.listStatus(target)}
+
+
 def require_rows(df: DataFrame, what: str) -> int:
     """Number of rows of a layer, which must have some. For Parquet this reads footers only."""
     rows = df.count()

@@ -20,12 +20,16 @@ class BronzeSink:
     A batch that is replayed after a failure therefore replaces its first attempt instead of adding
     to it. The query id lives in the checkpoint: it outlasts restarts and changes on a reset, so
     batch numbers that start over do not collide with older ones.
+
+    Under ``touched_path`` the days of each batch are noted before its rows are written, so that a later
+    build knows what to bring up to date, also after a failure in between.
     """
 
     bronze_path: str
     quarantine_path: str
     ingested_at: Column | None = None
     run_id: str | None = None
+    touched_path: str | None = None
     rows: dict[str, int] = field(default_factory=lambda: {"accepted": 0, "rejected": 0})
     _named: threading.Event = field(default_factory=threading.Event)
 
@@ -44,6 +48,9 @@ class BronzeSink:
             fine = F.col("invalid_reason").isNull()
             counts = batch.agg(F.count_if(fine).alias("a"), F.count_if(~fine).alias("r")).first()
             if counts["a"]:
+                if self.touched_path:
+                    days = accepted(batch).select("event_date").distinct()
+                    write_layer(days, self._folder(self.touched_path, batch_id))
                 folder = self._folder(self.bronze_path, batch_id)
                 write_layer(accepted(batch), folder, ("event_date", "event_type"))
             if counts["r"]:

@@ -12,7 +12,7 @@ from shoptrail import schemas as S
 from shoptrail.operators import (
     carts, funnel, models, products, purchases, refine, report, sampling, sessionize, sessions, validity,
 )
-from shoptrail.plans import medallion, testdata
+from shoptrail.plans import incremental, medallion, testdata
 from shoptrail.quality import gate, suites
 from shoptrail.quality.column_tests import ALL_TESTS, column_tests
 from shoptrail.session import configure, new_shared_path
@@ -306,6 +306,23 @@ def _stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(medallion.read_bronze(spark, fresh))
 
 
+def _incremental_lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+    """Bronze as ingested; silver and gold brought up to date for two ranges of days, one after the other."""
+    configure(spark)
+    built = medallion.Lake(new_shared_path(spark, "incremental"))
+    records = testdata.topic_records(testdata.stream_events(spark, sf_dir))
+    medallion.ingest(records, built, query_name=_query_name(built))
+    days = medallion.pending_days(spark, built)
+    for part in (days[: len(days) // 2], days[len(days) // 2 :]):
+        incremental.update(spark, built, part)
+    return built
+
+
+def _incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = _incremental_lake(spark, sf_dir).gold_table("agg_conversion_funnel")
+    return _comparable(read_layer(spark, place, S.AGG_CONVERSION_FUNNEL))
+
+
 def _replay_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text rows encoded, written to a topic folder, drained from it twice."""
     configure(spark)
@@ -422,6 +439,7 @@ REGISTRY |= {
         ),
     ),
     "stream_to_bronze": (_stream_to_bronze, REGISTRY["bronze_events"][1]),
+    "incremental_gold": (_incremental_gold, REGISTRY["agg_conversion_funnel"][1]),
     "stream_to_quarantine": (_comparable_quarantine_flow, REGISTRY["quarantine_events"][1]),
     "replay_to_bronze": (
         _replay_to_bronze,
