@@ -1,32 +1,39 @@
 """Substring deduplication by hashing of normalised lines and their sentences.
 
-Texts are cut into units: lines, and sentences within them. A unit's digest is that of its words in
-lower case. The earliest occurrence of each digest stays (smallest doc_id, null last, then place in
-the text). Later occurrences are repeats, and a run of adjacent repeats goes if it has enough words;
-so a shared passage goes wherever it stands in a line, and a lone phrase stays.
+Texts are cut into units: lines, and sentences within them. A digest is that of the words in lower case.
+The earliest occurrence of each digest stays (smallest doc_id, null last, then place in the text), later
+ones are repeats. A line that repeats a whole line goes, whatever its length. Of sentences a run of adjacent
+repeats goes if it has enough words; so a shared passage goes wherever it stands in a line, and a lone phrase
+inside another line stays.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-#: A run of repeats goes if it has this many words.
+#: A run of repeated sentences goes if it has this many words; lines that repeat as a whole need none.
 MIN_RUN_WORDS = 25
-#: Shorter units are not hashed; between two repeats they belong to the run.
+#: Shorter units are not hashed as sentences; between two repeats they belong to the run.
 MIN_UNIT_WORDS = 5
+#: Seeds of the digests: lines meet lines only, sentences meet sentences and lines of one sentence.
+SENTENCE, LINE = 0, 1
 
 _UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=[ \t\n]|\Z)[ \t]*|\n|\Z)", re.S)
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
+#: (start, end, words, normalised words) of a unit; (first unit, last unit, seed) of what is hashed.
+Unit = tuple[int, int, int, str]
+Span = tuple[int, int, int]
 
-def units(text: str | None) -> list[tuple[int, int, int, bytes | None]]:
-    """(start, end, words, digest) of each unit, without gaps; digest None for short ones.
+
+def units(text: str | None) -> list[Unit]:
+    """Units of a text, without gaps.
 
     A unit ends behind the end mark of a sentence and the blanks after it, or behind a line break.
     """
@@ -35,31 +42,61 @@ def units(text: str | None) -> list[tuple[int, int, int, bytes | None]]:
         if match.end() == at:
             continue
         words = [w for w in _BLANK.split(match.group()) if w]
-        long = len(words) >= MIN_UNIT_WORDS
-        found.append((at, match.end(), len(words), xxhash.xxh3_128_digest(" ".join(words).lower()) if long else None))
+        found.append((at, match.end(), len(words), " ".join(words).lower()))
         at = match.end()
     return found
 
 
-def runs(parts: list[tuple[int, int, int, bytes | None]], repeats: set[int], min_words: int = MIN_RUN_WORDS) -> list[tuple[int, int]]:
-    """Offsets (start, end) of the runs of repeated units that have at least ``min_words`` words."""
-    found, begin, last, words, between = [], None, 0, 0, 0
+def spans(parts: list[Unit], text: str | None) -> list[Span]:
+    """What is hashed: each line that has words, with its line break, and each sentence long enough."""
+    found, begin = [], 0
+    for i, (_, end, _, _) in enumerate(parts):
+        if text[end - 1] == "\n" or i + 1 == len(parts):
+            if any(parts[k][2] for k in range(begin, i + 1)):
+                found.append((begin, i, LINE))
+                found += [(k, k, SENTENCE) for k in range(begin, i + 1) if parts[k][2] >= MIN_UNIT_WORDS]
+            begin = i + 1
+    return found
+
+
+def digest(parts: list[Unit], span: Span) -> bytes:
+    first, last, seed = span
+    return xxhash.xxh3_128_digest(" ".join(parts[k][3] for k in range(first, last + 1) if parts[k][2]), seed)
+
+
+def cuts(parts: list[Unit], hashed: list[Span], repeats: Iterable[int], min_words: int = MIN_RUN_WORDS) -> list[tuple[int, int]]:
+    """Offsets (start, end) of what goes: repeated lines, and runs of repeated units that have at least
+    ``min_words`` words. Blank units between two that go, go too."""
+    again, gone = [False] * len(parts), [False] * len(parts)
+    for place in repeats:
+        first, last, seed = hashed[place]
+        for i in range(first, last + 1):
+            again[i] = True
+            gone[i] |= seed == LINE
+    begin, last, words, between = None, 0, 0, 0
 
     def close() -> None:
         if begin is not None and words >= min_words:
-            found.append((parts[begin][0], parts[last][1]))
+            gone[begin : last + 1] = [True] * (last + 1 - begin)
 
-    for i, (_, _, n, digest) in enumerate(parts):
-        if i in repeats:
+    for i, (_, _, n, _) in enumerate(parts):
+        if again[i]:
             if begin is None:
                 begin, words, between = i, 0, 0
             words, between, last = words + between + n, 0, i
-        elif digest is None and begin is not None:
+        elif n < MIN_UNIT_WORDS and begin is not None:
             between += n
         else:
             close()
             begin = None
     close()
+    found, blank = [], False
+    for (start, end, n, _), goes in zip(parts, gone):
+        if goes and found and (blank or found[-1][1] == start):
+            found[-1] = (found[-1][0], end)
+        elif goes:
+            found.append((start, end))
+        blank = bool(found) and (goes or (blank and n == 0))
     return found
 
 
@@ -82,11 +119,11 @@ def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = batch.iloc[at : at + 500]
             rows, digests, places = [], [], []
             for i, value in enumerate(part["_text"]):
-                for k, (_, _, _, digest) in enumerate(units(value)):
-                    if digest is not None:
-                        rows.append(i)
-                        digests.append(digest)
-                        places.append(k)
+                parts = units(value)
+                for k, span in enumerate(spans(parts, value)):
+                    rows.append(i)
+                    digests.append(digest(parts, span))
+                    places.append(k)
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             taken = part[["_id", "_null", "_hash"]].iloc[rows].reset_index(drop=True)
             yield taken.assign(d1=halves[:, 0], d2=halves[:, 1], place=np.asarray(places, np.int32))
@@ -130,7 +167,7 @@ def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
             texts, counts, removed = [], [], []
             for value, places in zip(batch["_text"], batch["_places"]):
                 parts = units(value)
-                cut = runs(parts, set(places), min_words) if places is not None else []
+                cut = cuts(parts, spans(parts, value), places, min_words) if places is not None else []
                 at, left = 0, []
                 for start, end in cut:
                     left.append(value[at:start])

@@ -105,6 +105,19 @@ def test_substring_dedup(docs, nothing):
     assert substring_dedup.deduplicate(nothing).count() == 0
 
 
+def test_repeated_lines_go_whatever_their_length(spark):
+    rows = [
+        (1, "Menu\nfirst text\nRead more\n\nAll rights reserved."),
+        (2, "menu\nsecond text\n\n  READ  more\nMenu\nthird\n"),
+        (3, "A line that says: read more\nsecond text here\nAll rights\nreserved.\nRead more"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.text, [(x.start, x.end) for x in r.removed]) for r in substring_dedup.deduplicate(frame).collect()}
+    assert got[1] == (rows[0][1], [])
+    assert got[2] == ("second text\n\nthird\n", [(0, 5), (18, 36)])
+    assert got[3] == (rows[2][1][:-9], [(66, 75)])
+
+
 def test_mixture(docs, nothing):
     rows = mixture.mix(docs).collect()
     assert len(rows) == len(ODD) and all(0 <= r.taken <= 3 * r.size for r in rows)
