@@ -5,11 +5,21 @@ The earliest occurrence of each digest stays (smallest doc_id, null last, then p
 ones are repeats. A line that repeats a whole line goes, whatever its length. Of sentences a run of adjacent
 repeats goes if it has enough words; so a shared passage goes wherever it stands in a line, and a lone phrase
 inside another line stays.
+
+A sentence under the floor is hashed together with those after it in its line until they reach it (at the end
+of a line with those before it), so passages of short sentences are found too. Very long sentences are cut into
+pieces at places that depend on the nearest words only, so a passage from inside one is found by its pieces.
+
+What stays: a passage that begins or ends inside a sentence goes from the first to the last cut it shares with
+its earlier copy. In a sentence of MAX_UNIT_WORDS and more that leaves about ten words at an end, in a shorter
+one the broken sentence, and all of the passage if under MIN_RUN_WORDS are left. Where a passage ends inside a
+line, up to four words of short sentences behind its last longer one stay.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,44 +29,113 @@ from pyspark.sql import DataFrame, functions as F
 
 #: A run of repeated sentences goes if it has this many words; lines that repeat as a whole need none.
 MIN_RUN_WORDS = 25
-#: Shorter units are not hashed as sentences; between two repeats they belong to the run.
+#: Shorter units are hashed together with their neighbours.
 MIN_UNIT_WORDS = 5
+#: Sentences of so many words are cut into pieces. Shorter ones go whole or stay: a test holds that a sentence of 61
+#: words stays that holds an earlier one of 60.
+MAX_UNIT_WORDS = 100
+#: A piece ends behind the word whose hash is the least among so many words before and behind it.
+REACH = 4
 #: Seeds of the digests: lines meet lines only, sentences meet sentences and lines of one sentence.
 SENTENCE, LINE = 0, 1
 
-_UNIT = re.compile(r"[^\n]*?(?:[.!?]+(?=[ \t\n]|\Z)[ \t]*|\n|\Z)", re.S)
+#: Scripts without blanks: two Han or kana, four South-East Asian characters count as a word.
+_HAN, _THAI = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_CLOSED = re.compile(f"[{_HAN}{_THAI}]")
+_IN_HAN, _IN_THAI = re.compile(f"[{_HAN}]"), re.compile(f"[{_THAI}]")
+_UNIT = re.compile(r"[^\n]*?(?:[.!?\u0964\u0965\u061f\u06d4]+(?=[ \t\n]|\Z)[ \t]*|\n|\Z)", re.S)
+#: Where such scripts occur, their end marks need no blank, and South-East Asian phrases end at blanks.
+_CLOSED_UNIT = re.compile(
+    rf"[^\n]*?(?:[.!?\u0964\u0965\u061f\u06d4]+(?=[ \t\n]|\Z)[ \t]*|[\u3002\uff01\uff1f\uff61\u104b\u17d4]+[\u300d\u300f\u201d\u2019\uff09)]*[ \t\u3000]*|(?<=[{_THAI}])[ \t]+|\n|\Z)",
+    re.S,
+)
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
+_WORD = re.compile(rf"[{_HAN}{_THAI}]|[^\x20\x09-\x0D{_HAN}{_THAI}]+")
 
 #: (start, end, words, normalised words) of a unit; (first unit, last unit, seed) of what is hashed.
 Unit = tuple[int, int, int, str]
 Span = tuple[int, int, int]
 
 
+def _unit(value: str, start: int, end: int, closed: bool) -> Unit:
+    part = value[start:end]
+    words = [w for w in _BLANK.split(part) if w]
+    n = len(words)
+    if closed:
+        n += len(_IN_HAN.findall(part)) // 2 + len(_IN_THAI.findall(part)) // 4
+    return start, end, n, " ".join(words).lower()
+
+
+def _pieces(value: str, start: int, end: int) -> list[int]:
+    """Ends of the pieces of a long sentence. No cut looks at more than its own neighbourhood, so copies of a
+    passage are cut alike whatever stands around them."""
+    words = list(_WORD.finditer(value, start, end))
+    low = [w.group().lower() for w in words]
+    hashes = [xxhash.xxh32_intdigest(f"{a} {b}") for a, b in zip(low, low[1:])]
+    found = []
+    for i, word in enumerate(low):
+        reach = REACH * (2 if _IN_HAN.match(word) else 4 if _IN_THAI.match(word) else 1)
+        if i < reach or i + reach >= len(hashes):
+            continue
+        around = hashes[i - reach : i + reach + 1]
+        if hashes[i] == min(around) and around.count(hashes[i]) == 1:
+            at = words[i + 1].start()
+            if not unicodedata.category(value[at]).startswith("M"):
+                found.append(at)
+    return [*found, end]
+
+
 def units(text: str | None) -> list[Unit]:
     """Units of a text, without gaps.
 
     A unit ends behind the end mark of a sentence and the blanks after it, or behind a line break.
     """
     found, at, value = [], 0, text or ""
-    for match in _UNIT.finditer(value):
+    closed = not value.isascii() and _CLOSED.search(value) is not None
+    for match in (_CLOSED_UNIT if closed else _UNIT).finditer(value):
         if match.end() == at:
             continue
-        words = [w for w in _BLANK.split(match.group()) if w]
-        found.append((at, match.end(), len(words), " ".join(words).lower()))
+        unit = _unit(value, at, match.end(), closed)
+        if unit[2] < MAX_UNIT_WORDS:
+            found.append(unit)
+        else:
+            for end in _pieces(value, at, match.end()):
+                found.append(_unit(value, at, end, closed))
+                at = end
         at = match.end()
     return found
 
 
+def _within(parts: list[Unit], begin: int, end: int) -> list[Span]:
+    """Sentences of one line (units ``begin`` to ``end``) that are hashed, short ones with their neighbours."""
+    line = [k for k in range(begin, end + 1) if parts[k][2]]
+    found, taken = [], set()
+    for i, first in enumerate(line):
+        for way in (1, -1):
+            n, j = 0, i
+            while 0 <= j < len(line) and n < MIN_UNIT_WORDS:
+                n += parts[line[j]][2]
+                j += way
+            span = (first, line[j - 1]) if way > 0 else (line[j + 1], first)
+            if n >= MIN_UNIT_WORDS:
+                if span not in taken:
+                    taken.add(span)
+                    found.append((*span, SENTENCE))
+                break
+    return found
+
+
 def spans(parts: list[Unit], text: str | None) -> list[Span]:
-    """What is hashed: each line that has words, with its line break, and each sentence long enough."""
+    """What is hashed: each line that has words, with its line break, and the sentences in it."""
     found, begin = [], 0
     for i, (_, end, _, _) in enumerate(parts):
         if text[end - 1] == "\n" or i + 1 == len(parts):
             if any(parts[k][2] for k in range(begin, i + 1)):
                 found.append((begin, i, LINE))
-                found += [(k, k, SENTENCE) for k in range(begin, i + 1) if parts[k][2] >= MIN_UNIT_WORDS]
+                found += _within(parts, begin, i)
             begin = i + 1
-    return found
+    # In the order of the text, so that of equal spans in one text the earliest stays.
+    return sorted(found)
 
 
 def digest(parts: list[Unit], span: Span) -> bytes:
@@ -73,7 +152,7 @@ def cuts(parts: list[Unit], hashed: list[Span], repeats: Iterable[int], min_word
         for i in range(first, last + 1):
             again[i] = True
             gone[i] |= seed == LINE
-    begin, last, words, between = None, 0, 0, 0
+    begin, last, words = None, 0, 0
 
     def close() -> None:
         if begin is not None and words >= min_words:
@@ -82,11 +161,9 @@ def cuts(parts: list[Unit], hashed: list[Span], repeats: Iterable[int], min_word
     for i, (_, _, n, _) in enumerate(parts):
         if again[i]:
             if begin is None:
-                begin, words, between = i, 0, 0
-            words, between, last = words + between + n, 0, i
-        elif n < MIN_UNIT_WORDS and begin is not None:
-            between += n
-        else:
+                begin, words = i, 0
+            words, last = words + n, i
+        elif n:
             close()
             begin = None
     close()

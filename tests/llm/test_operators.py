@@ -118,6 +118,32 @@ def test_repeated_lines_go_whatever_their_length(spark):
     assert got[3] == (rows[2][1][:-9], [(66, 75)])
 
 
+def test_passages_of_short_closed_and_long_sentences_go(spark):
+    shout = " ".join(f"LOUD{i}!!" for i in range(60))
+    han = "".join(f"{chr(0x4E00 + 7 * i)}{chr(0x5E00 + 11 * i)}{chr(0x6E00 + 5 * i)}\u597d\u3002" for i in range(20))
+    plain = [f"w{i}" for i in range(400)]
+    long = " ".join(plain[100:180])
+    rows = [
+        (1, f"{shout} The first one goes on in its own way"),
+        (2, f"Something else begins this line here. {shout}"),
+        (3, " ".join(plain)),
+        (4, f"{' '.join(f'a{i}' for i in range(70))} {long} {' '.join(f'b{i}' for i in range(70))}"),
+        (5, f"\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b\u4e5d\u5341\u3002{han}"),
+        (6, f"\u7532\u4e59\u4e19\u4e01\u620a\u5df1\u5e9a\u8f9b\u58ec\u7678\u3002{han}\u5b50\u4e11\u5bc5\u536f\u8fb0\u5df3\u5348\u672a\u7533\u9149\u620c\u4ea5\u3002"),
+        (7, "An\u00e9eux d\u00e8s.\n" * 40),
+        (8, f"{shout.replace('LOUD30!! ', 'LOUD30!! Mine! ')}"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.text for r in substring_dedup.deduplicate(frame).collect()}
+    assert [got[i] for i in (1, 3, 5)] == [dict(rows)[i] for i in (1, 3, 5)]
+    assert got[2] == "Something else begins this line here. "
+    left = got[4].split()
+    assert left[:70] == [f"a{i}" for i in range(70)] and left[-70:] == [f"b{i}" for i in range(70)] and len(left) <= 140 + 40
+    assert got[6] == dict(rows)[6].replace(han, "") and got[7] == "An\u00e9eux d\u00e8s.\n"
+    # A short sentence without an earlier copy stays between two repeats.
+    assert got[8].split() == ["Mine!"]
+
+
 def test_mixture(docs, nothing):
     rows = mixture.mix(docs).collect()
     assert len(rows) == len(ODD) and all(0 <= r.taken <= 3 * r.size for r in rows)
