@@ -24,11 +24,11 @@ import struct
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from shoptrail.llm.common import map_rows
+from shoptrail.llm.common import add_columns, free_name, texts_of
 
 #: Moves and remembered words above these numbers are forgotten: they only save time.
 MAX_MOVES = 300_000
@@ -247,14 +247,12 @@ def encode_column(df: DataFrame, rank_file: str, pattern: str, text: str = "text
     so repeated rows and rows without an id come out like any other; no shuffle.
     """
     make = codec_maker(df, rank_file, pattern)
-    kept = df.drop(into)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def work() -> Callable:
         codec = make()
-        return lambda batch: batch.assign(**{into: [codec.encode(x) for x in batch[text]]})
+        return lambda values: [[codec.encode(x) for x in texts_of(values)]]
 
-    return map_rows(kept, work, f"{fields}, `{into}` binary")
+    return add_columns(df, [text], {into: ("binary", pa.binary())}, work)
 
 
 def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -272,31 +270,23 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "do
                 decoded.update(step.encode("utf-8", "surrogateescape"))
             return len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()
 
-        def batch_of(batch: pd.DataFrame) -> pd.DataFrame:
-            rows = [one(x) for x in batch["text"]]
-            found = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            found.insert(0, id_column, batch["id"].to_numpy())
-            return found
+        return lambda values: list(zip(*map(one, texts_of(values))))
 
-        return batch_of
-
-    kind = df.schema[id_column].dataType.simpleString()
-    narrow = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return map_rows(narrow, work, f"`{id_column}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    narrow = df.select(F.col(id_column), F.col(text).alias(free_name(df, "text_")))
+    adds = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+    return add_columns(narrow, [narrow.columns[1]], adds, work).select(id_column, *adds)
 
 
 def decode_column(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
     """Add ``into``: the text that the ids stand for (null ids: empty); bytes that are no UTF-8 are
     shown as U+FFFD."""
     make = codec_maker(df, rank_file, pattern)
-    kept = df.drop(into)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
     def shown(steps: Iterable[str]) -> str:
         return "".join(steps).encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
     def work() -> Callable:
         codec = make()
-        return lambda batch: batch.assign(**{into: [shown(codec.decode(x or b"")) for x in batch[ids]]})
+        return lambda values: [[shown(codec.decode(x or b"")) for x in values.to_pylist()]]
 
-    return map_rows(kept, work, f"{fields}, `{into}` string")
+    return add_columns(df, [ids], {into: ("string", pa.string())}, work)

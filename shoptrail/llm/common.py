@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,8 +17,8 @@ WORD = f"[^{BLANKS}]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 __all__ = [
-    "BLANKS", "BLANK_CHARS", "WORD", "cut_lineage", "id_remainder", "map_rows", "row_key", "table",
-    "word_count", "words", "StorageLevel",
+    "BLANKS", "BLANK_CHARS", "WORD", "add_columns", "cut_lineage", "free_name", "id_remainder", "row_key", "slices",
+    "table", "texts_of", "word_count", "words", "StorageLevel",
 ]
 
 
@@ -48,12 +49,48 @@ def row_key(*columns: str) -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
-    """``mapInPandas`` whose working objects are made once per task by ``make``."""
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that no column of ``df`` has, whatever their letters' case."""
+    taken = {name.lower() for name in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
-    def run(batches: Iterator) -> Iterator:
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def texts_of(column: pa.Array) -> list[str | None]:
+    """Python texts of an Arrow column; bytes that are no UTF-8 become U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if x is None else x.decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
+
+
+def add_columns(
+    df: DataFrame, reads: list[str], adds: dict[str, tuple[str, pa.DataType]], make: Callable[[], Callable], rows: int = 256
+) -> DataFrame:
+    """Rows of ``df`` with the columns of ``adds`` (name to Spark type and Arrow type), in place of any of those names.
+
+    ``make()`` is called once per task and gives a function from the slices of the columns read to one list or array
+    per column added. All other columns pass through as Arrow arrays: no value of theirs becomes a Python object or
+    a floating-point number, so ids beyond 2^53 stay what they are beside nulls.
+    """
+    kept = [name for name in df.columns if name not in adds]
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
+    fields += [f"`{name}` {kind}" for name, (kind, _) in adds.items()]
+    kinds = [kind for _, kind in adds.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            yield work(batch)
+        for part in slices(batches, rows):
+            found = work(*(part.column(name) for name in reads))
+            made = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(found, kinds)]
+            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in kept), *made], names=[*kept, *adds])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, ", ".join(fields))

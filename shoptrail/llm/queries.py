@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoptrail.llm import (
-    bpe, jaccard_join, language, mixture, neighbours, quality_model, quality_rules, substring_dedup, tokens_by_section,
-    url_rules,
+    bpe, filter_audit, hard_negatives, jaccard_join, language, mixture, neighbours, quality_model, quality_rules, simhash, substring_dedup,
+    tokens_by_section, url_rules,
 )
 from shoptrail.llm.common import table
 
@@ -75,6 +75,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh id are moved to the next class first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +101,9 @@ QUERIES = {
     "op8_byte_level_bpe": op8_byte_level_bpe,
     "op9_url_filters": op9_url_filters,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -109,5 +127,76 @@ fitting AS (
     GROUP BY n
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fitting USING (n)
+""",
+    "op11_filter_audit": r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+measured AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+           length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper,
+           coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copied
+    FROM texts
+),
+failed AS (
+    SELECT doc_id, part,
+           (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+           + 4 * (100 * upper > 2 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * copied::INT AS mask
+    FROM measured
+),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counted AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+steps AS (
+    SELECT filter_order, step::INT AS step, substr(filter_order, step, 1) AS f,
+           1 << (strpos('ABCDE', substr(filter_order, step, 1)) - 1) AS own,
+           (SELECT coalesce(sum(1 << (i - 1)), 0) FROM range(1, 6) AS bits(i)
+            WHERE contains(substr(filter_order, 1, step - 1), substr('ABCDE', i, 1)))::INT AS before
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+rows_of AS (
+    SELECT part, filter_order, step, f,
+           sum(n) FILTER (mask & (own | before) = 0) AS kept,
+           sum(n) FILTER (mask & own <> 0 AND mask & before = 0) AS removed,
+           sum(n) FILTER (mask & own <> 0 AND mask & before <> 0) AS redundant,
+           sum(n) FILTER (mask = own) AS unique_fails,
+           sum(good) FILTER (mask & own <> 0 AND mask & before = 0) AS good_lost,
+           sum(toxic) FILTER (mask & own <> 0 AND mask & before = 0) AS toxic_lost
+    FROM counted, steps GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM rows_of
+""",
+    "op12_hard_negatives": """
+WITH clean AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM clean a JOIN clean b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 5
 """,
 }
