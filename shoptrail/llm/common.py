@@ -73,15 +73,17 @@ def texts_of(column: pa.Array) -> list[str | None]:
 
 
 def add_columns(
-    df: DataFrame, reads: list[str], adds: dict[str, tuple[str, pa.DataType]], make: Callable[[], Callable], rows: int = 256
+    df: DataFrame, reads: list[str], adds: dict[str, tuple[str, pa.DataType]], make: Callable[[], Callable], rows: int = 256,
+    drops: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rows of ``df`` with the columns of ``adds`` (name to Spark type and Arrow type), in place of any of those names.
+    """Rows of ``df`` without the columns ``drops`` and with those of ``adds`` (name to Spark type and Arrow type), in place
+    of any of those names.
 
     ``make()`` is called once per task and gives a function from the slices of the columns read to one list or array
     per column added. All other columns pass through as Arrow arrays: no value of theirs becomes a Python object or
     a floating-point number, so ids beyond 2^53 stay what they are beside nulls.
     """
-    kept = [name for name in df.columns if name not in adds]
+    kept = [name for name in df.columns if name not in adds and name not in drops]
     fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
     fields += [f"`{name}` {kind}" for name, (kind, _) in adds.items()]
     kinds = [kind for _, kind in adds.values()]
