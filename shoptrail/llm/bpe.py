@@ -8,9 +8,10 @@ The merges are compiled into a finite-state transducer over bytes. Two facts mak
   goes with the last token of what stands before it.
 
 A state is the last token that was given out and the bytes after it. A byte leads to a state that is
-worked out the first time it is needed and looked up from then on. A token is given out as soon as
+worked out and kept when it is needed a second time, and looked up from then on. A token is given out as soon as
 every place where a token reaching beyond the input read so far could start has it on its path. That
-takes at most as many bytes of lookahead as the longest vocabulary entry has.
+takes at most as many bytes of lookahead as the longest vocabulary entry has. Where a piece leaves the part
+of the transducer that is known, for the first time, its rest is worked out by the same two facts without keeping states.
 """
 
 from __future__ import annotations
@@ -30,9 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from shoptrail.llm.common import add_columns, free_name, texts_of
 
-#: Moves and remembered words above these numbers are forgotten: they only save time.
-MAX_MOVES = 300_000
-MAX_WORDS = 300_000
+#: Tables only save time, so they are bounded: moves that are kept, moves asked for once, answers about neighbours, and
+#: words of each of two generations. A full table of moves is kept until as many moves were missing as it may hold.
+MAX_MOVES = 100_000
+MAX_ASKED = 300_000
+MAX_FITS = 300_000
+MAX_WORDS = 100_000
 #: Marks that end a word often and are a piece of their own behind letters.
 MARKS = (",", ".")
 INNER_SPACE = re.compile(r"\s (?:\s|\Z)").search
@@ -53,10 +57,16 @@ class MergeTransducer:
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.opens = {token[:n] for token in ranks for n in range(1, len(token))}
+        # What a run of bytes is: twice its rank, plus one if a longer token begins so; -1 if it is no token itself.
+        self.kinds = {token: rank << 1 | (token in self.opens) for token, rank in ranks.items()}
+        self.kinds.update((part, -1) for part in self.opens if part not in ranks)
         self.spines: tuple[dict, dict] = ({}, {})
+        self.fits: dict[tuple[int, bytes], bool] = {}
         self._forget()
 
     def _forget(self) -> None:
+        self.asked: set[int] = set()
+        self.missed = 0
         self.known: dict[tuple[int, bytes], int] = {}
         self.moves: dict[int, tuple[int, bytes]] = {}
         self.paths: list[tuple[bytes, list[int], list[int], list[int]]] = []
@@ -84,10 +94,18 @@ class MergeTransducer:
         return found
 
     def _fit(self, left: int, right: bytes) -> bool:
-        """No merge crosses the seam between the two tokens. Of merges with the same rank, the one
-        further left comes first."""
+        """No merge crosses the seam between the two tokens."""
         if left < 0:
             return True
+        found = self.fits.get((left, right))
+        if found is None:
+            if len(self.fits) >= MAX_FITS:
+                self.fits.clear()
+            found = self.fits[left, right] = self._seam(left, right)
+        return found
+
+    def _seam(self, left: int, right: bytes) -> bool:
+        """Of merges with the same rank, the one further left comes first."""
         rank, ends = self.ranks.get, self.spines[0].get(left) or self._spine(0, left)
         for b, until_b in self.spines[1].get(right) or self._spine(1, right):
             for a, until_a in ends:
@@ -139,14 +157,61 @@ class MergeTransducer:
         found = self.moves[state << 8 | byte] = self._state(pending, last, marks, live), given
         return found
 
+    def _finish(self, state: int, rest: bytes) -> bytes:
+        """Tokens of what a state holds and the ``rest`` of a piece behind it, without new states.
+
+        Longest tokens are tried first, each only where it goes with the one before it. As a prefix has one last
+        token, a place that led nowhere is not tried again.
+        """
+        pending, last, _, _ = self.paths[state]
+        data, kinds, fit = pending + rest, self.kinds.get, self._fit
+        size, at, left = len(data), 0, last[0]
+        path: list[int] = []
+        waiting: list[list[tuple[int, int]]] = []  # at each token of the path: (end, rank) of shorter ones
+        dead: set[int] = set()
+        ends: list[tuple[int, int]] | None = None
+        while at < size:
+            if ends is None:
+                ends, end = [], at
+                while end < size:
+                    end += 1
+                    kind = kinds(data[at:end])
+                    if kind is None:
+                        break
+                    if kind >= 0:
+                        ends.append((end, kind >> 1))
+                        if not kind & 1:
+                            break
+            while ends:
+                end, rank = ends.pop()
+                if end not in dead and fit(left, data[at:end]):
+                    path.append(rank)
+                    waiting.append(ends)
+                    at, left, ends = end, rank, None
+                    break
+            else:
+                dead.add(at)
+                ends = waiting.pop()
+                at -= len(self.token[path.pop()])
+                left = path[-1] if path else last[0]
+        return struct.pack(f"<{len(path)}I", *path)
+
     def encode(self, piece: bytes) -> bytes:
         """Ids of a piece as little-endian unsigned 32-bit integers."""
-        if len(self.moves) > MAX_MOVES:
-            self._forget()
         state, moves, out = self.start, self.moves, []
-        for byte in piece:
-            move = moves.get(state << 8 | byte)
+        for at, byte in enumerate(piece):
+            name = state << 8 | byte
+            move = moves.get(name)
             if move is None:
+                self.missed += 1
+                if name not in self.asked or len(moves) >= MAX_MOVES:
+                    if len(self.asked) >= MAX_ASKED:
+                        self.asked.clear()
+                    self.asked.add(name)
+                    out.append(self._finish(state, piece[at:]))
+                    if self.missed > 4 * MAX_MOVES and len(moves) >= MAX_MOVES:
+                        self._forget()
+                    return b"".join(out)
                 move = self._move(state, byte)
             state, given = move
             if given:
@@ -159,20 +224,25 @@ class MergeTransducer:
 
 
 class _Words(dict):
-    """Ids of runs without a space, which remembers frequent ones. ``before`` stands before each."""
+    """Ids of runs without a space. ``before`` stands before each. Words of the generation before come back when they
+    are met again, so frequent ones stay."""
 
     def __init__(self, codec: Codec, before: str):
         self.codec, self.before = codec, before
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, run: str) -> bytes:
-        if run.isascii() and run.isalpha():  # one piece
-            ids = self.codec.encode_piece(self.before + run)
-        elif run[-1:] in MARKS and run[:-1].isascii() and run[:-1].isalpha():  # two pieces
-            return self[run[:-1]] + self.codec.mark[run[-1]]
-        else:
-            ids = self.codec.encode_pieces(self.before + run)
+        ids = self.older.get(run)
+        if ids is None:
+            if run.isascii() and run.isalpha():  # one piece
+                ids = self.codec.encode_piece(self.before + run)
+            elif run[-1:] in MARKS and run[:-1].isascii() and run[:-1].isalpha():  # two pieces
+                return self[run[:-1]] + self.codec.mark[run[-1]]
+            else:
+                ids = self.codec.encode_pieces(self.before + run)
         if len(run) <= 64:
             if len(self) >= MAX_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[run] = ids
         return ids
@@ -274,7 +344,7 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "do
 
     narrow = df.select(F.col(id_column), F.col(text).alias(free_name(df, "text_")))
     adds = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
-    return add_columns(narrow, [narrow.columns[1]], adds, work).select(id_column, *adds)
+    return add_columns(narrow, [narrow.columns[1]], adds, work, drops=(narrow.columns[1],))
 
 
 def decode_column(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:

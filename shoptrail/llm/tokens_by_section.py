@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shoptrail.llm.bpe import codec_maker
+from shoptrail.llm.common import free_name, slices, texts_of
 
 #: Rules for a token that crosses a boundary: the section of its first character, of its last one, or
 #: the one with most of its characters (ties: the earlier).
@@ -61,37 +62,38 @@ def count_by_section(
     repeated ones give the same sections each; no shuffle.
     """
     make = codec_maker(docs, rank_file, pattern)
-    kind = docs.schema[id_column].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work() -> Callable:
         codec = make()
-        size: Callable = np.asarray([len(codec.token.get(i, b"")) for i in range(max(codec.token) + 1)]).take
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                frames = []
-                for key, value in zip(batch["id"].iloc[at : at + 500], batch["text"].iloc[at : at + 500]):
-                    value = value or ""
-                    bounds = line_starts(value)
-                    stops = np.append(bounds[1:], len(value))
-                    counts = crossing = np.zeros(len(bounds), np.int64)
-                    if value:
-                        begins, ends = token_spans(size(np.frombuffer(codec.encode(value), np.uint32)), value)
-                        owner = attribute(begins, ends, bounds, rule)
-                        over = (ends > stops[owner]) | (begins < bounds[owner])
-                        counts = np.bincount(owner, minlength=len(bounds))
-                        crossing = np.bincount(owner[over], minlength=len(bounds))
-                    frames.append((key, bounds, stops, counts, crossing))
-                sizes = [len(f[1]) for f in frames]
-                keys = batch["id"].iloc[at : at + 500].repeat(sizes).reset_index(drop=True)
-                joined = [np.concatenate([f[i] for f in frames]) for i in range(1, 5)]
-                yield pd.DataFrame(
-                    {
-                        id_column: keys, "section": np.concatenate([np.arange(n) for n in sizes]),
-                        "start": joined[0], "end": joined[1], "n_tokens": joined[2], "n_crossing": joined[3],
-                    }
-                )
-
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(
+        size = np.asarray([len(codec.token.get(i, b"")) for i in range(max(codec.token) + 1)])
+
+        def one(value: str) -> tuple[np.ndarray, ...]:
+            bounds = line_starts(value)
+            stops = np.append(bounds[1:], len(value))
+            counts = crossing = np.zeros(len(bounds), np.int64)
+            if value:
+                begins, ends = token_spans(size[np.frombuffer(codec.encode(value), np.uint32)], value)
+                owner = attribute(begins, ends, bounds, rule)
+                over = (ends > stops[owner]) | (begins < bounds[owner])
+                counts = np.bincount(owner, minlength=len(bounds))
+                crossing = np.bincount(owner[over], minlength=len(bounds))
+            return np.arange(len(bounds)), bounds, stops, counts, crossing
+
+        return one
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = work()
+        for part in slices(batches, 256):
+            found = [one(value or "") for value in texts_of(part.column(1))]
+            rows = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            columns = [np.concatenate(x) for x in zip(*found)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(rows)), pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])],
+                names=[id_column, "section", "start", "end", "n_tokens", "n_crossing"],
+            )
+
+    narrow = docs.select(F.col(id_column), F.col(text).alias(free_name(docs, "text_")))
+    kind = docs.schema[id_column].dataType.simpleString()
+    return narrow.mapInArrow(
         run, f"`{id_column}` {kind}, section int, start bigint, end bigint, n_tokens bigint, n_crossing bigint"
     )
