@@ -20,22 +20,24 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from shoptrail.llm.common import add_columns, cut_lineage, free_name, texts_of
+
 #: A run of repeated sentences goes if it has this many words; lines that repeat as a whole need none.
 MIN_RUN_WORDS = 25
 #: Shorter units are hashed together with their neighbours.
 MIN_UNIT_WORDS = 5
-#: Sentences of so many words are cut into pieces. Shorter ones go whole or stay: a test holds that a sentence of 61
-#: words stays that holds an earlier one of 60.
-MAX_UNIT_WORDS = 100
+#: Sentences of so many words are cut into pieces, so that a passage from inside one is found.
+MAX_UNIT_WORDS = 2 * MIN_RUN_WORDS
 #: A piece ends behind the word whose hash is the least among so many words before and behind it.
 REACH = 4
+#: A digest with so many occurrences is looked up without a shuffle; there are no more such digests than that.
+HOT, MOST_HOT = 100_000, 10_000
 #: Seeds of the digests: lines meet lines only, sentences meet sentences and lines of one sentence.
 SENTENCE, LINE = 0, 1
 
@@ -177,36 +179,62 @@ def cuts(parts: list[Unit], hashed: list[Span], repeats: Iterable[int], min_word
     return found
 
 
-def _keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
-    """A document is named by its id and the digest of its text, whatever the type of the id."""
-    return docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(id_column).cast("string"), F.lit("")),
-            "_null": F.col(id_column).isNull(),
-            "_order": F.col(id_column).cast("bigint"),
-            "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-            "_text": F.col(text),
-        }
-    )
-
-
-def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for at in range(0, len(batch), 500):
-            part = batch.iloc[at : at + 500]
-            rows, digests, places = [], [], []
-            for i, value in enumerate(part["_text"]):
+def _digests() -> Callable:
+    """Digests of a text's spans in order, 16 bytes each, and its number of units."""
+
+    def run(column: pa.Array) -> tuple[list, list]:
+        found, counts = [], []
+        for value in texts_of(column):
+            parts = units(value)
+            found.append(b"".join(digest(parts, span) for span in spans(parts, value)))
+            counts.append(len(parts))
+        return found, counts
+
+    return run
+
+
+def _rewrite(min_words: int) -> Callable[[], Callable]:
+    """Texts without their repeats; only texts that have some are cut again."""
+
+    def run(values: pa.Array, places: pa.Array) -> tuple[list, list, list]:
+        texts, counts, removed = texts_of(values), [], []
+        for i, repeats in enumerate(places.to_pylist()):
+            cut: list[tuple[int, int]] = []
+            if repeats:
+                value = texts[i]
                 parts = units(value)
-                for k, span in enumerate(spans(parts, value)):
-                    rows.append(i)
-                    digests.append(digest(parts, span))
-                    places.append(k)
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            taken = part[["_id", "_null", "_hash"]].iloc[rows].reset_index(drop=True)
-            yield taken.assign(d1=halves[:, 0], d2=halves[:, 1], place=np.asarray(places, np.int32))
+                cut = cuts(parts, spans(parts, value), repeats, min_words)
+                at, left = 0, []
+                for start, end in cut:
+                    left.append(value[at:start])
+                    at = end
+                if cut:
+                    texts[i] = "".join([*left, value[at:]])
+            counts.append(sum(end - start for start, end in cut))
+            removed.append([{"start": start, "end": end} for start, end in cut])
+        return texts, counts, removed
+
+    return lambda: run
 
 
-_UNIT_ROW = "_id string, _null boolean, _hash bigint, d1 bigint, d2 bigint, place int"
+def _repeats(hashed: DataFrame) -> DataFrame:
+    """(id, none, hash, places): the spans of each document that an earlier place has.
+
+    ``hashed`` is (id, none, hash, digests, n_units). Digests that occur ``HOT`` times and more, at most ``MOST_HOT`` of
+    them, are looked up where they are; so a line of a third of all documents is moved to no single task.
+    """
+    last = (F.length("digests") / 16).cast("int") - 1
+    spot = F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring("digests", i * 16 + 1, F.lit(16))))
+    rows = hashed.where(F.length("digests") > 0).select("id", "none", "hash", spot.alias("place", "d"))
+    order = F.struct("none", F.coalesce(F.expr("try_cast(id AS bigint)"), F.lit(1 << 62)), "id", "hash", "place")
+    first = cut_lineage(rows.groupBy("d").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"))
+    total = first.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT, total // MOST_HOT)
+    hot, cold = first.where(F.col("n") >= most).select("d", "first"), first.where(F.col("n") < most).select("d", "first")
+    met = rows.join(cold, "d")
+    if hot.limit(1).count():
+        met = met.unionByName(rows.join(F.broadcast(hot), "d"))
+    return met.where(order != F.col("first")).groupBy("id", "none", "hash").agg(F.collect_set("place").alias("places"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_RUN_WORDS) -> DataFrame:
@@ -215,48 +243,29 @@ def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     code points).
 
     All rows stay, emptied ones too; a null text stays null. Repeated rows (same id, same text) are one
-    document: each is rewritten alike. Ids order as numbers where they are numbers, else as text. Columns
-    of ``docs`` with the added names are replaced.
+    document: each is rewritten alike. Ids order as numbers where they are numbers, else as text, null last. Columns
+    of ``docs`` with the added names are replaced; other columns, whatever their names, stay what they are.
 
-    Digests are counted with map-side combination, so a line of every document is one row per task.
-    Only digests that occur twice or more go on; units meet them in a join that adaptive execution splits where
-    one digest is very frequent. Units are narrow rows; texts are shuffled once, to meet their repeats.
+    Texts are cut and hashed once; the digests are kept by a checkpoint. They are counted with map-side combination, so a
+    line of every document is one row per task. Only digests that occur twice or more go on. Texts are shuffled once, to
+    meet their repeats.
     """
     kept = docs.drop("n_units", "n_removed", "removed")
-    keyed = _keyed(kept, text, id_column)
-    narrow = keyed.select("_id", "_null", "_hash", "_text")
-    rows = narrow.mapInPandas(_explode, _UNIT_ROW)
-    order = F.struct("_null", F.coalesce(F.expr("try_cast(_id AS bigint)"), F.lit(1 << 62)), "_id", "_hash", "place")
-    first = rows.groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = first.select("d1", "d2", "first")
-    repeats = (
-        rows.join(first, ["d1", "d2"])
-        .where(order != F.col("first"))
-        .groupBy("_id", "_null", "_hash")
-        .agg(F.collect_set("place").alias("_places"))
-    )
-    joined = keyed.drop("_order").join(repeats, ["_id", "_null", "_hash"], "left")
-    names = [f.name for f in kept.schema]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-
-    def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, counts, removed = [], [], []
-            for value, places in zip(batch["_text"], batch["_places"]):
-                parts = units(value)
-                cut = cuts(parts, spans(parts, value), places, min_words) if places is not None else []
-                at, left = 0, []
-                for start, end in cut:
-                    left.append(value[at:start])
-                    at = end
-                texts.append("".join([*left, value[at:]]) if cut else value)
-                counts.append(len(parts))
-                removed.append([{"start": a, "end": b} for a, b in cut])
-            yield batch[names].assign(
-                **{text: texts}, n_units=counts, n_removed=[sum(x["end"] - x["start"] for x in r) for r in removed], removed=removed
-            )
-
-    columns = [*names, "_text", "_places"]
-    return joined.select(*columns).mapInPandas(
-        rewrite, f"{fields}, n_units bigint, n_removed bigint, removed array<struct<start: bigint, end: bigint>>"
-    )
+    names = {name: free_name(kept, name) for name in ("id", "none", "hash", "places")}
+    key = {
+        "id": F.coalesce(F.col(id_column).cast("string"), F.lit("")), "none": F.col(id_column).isNull(),
+        "hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+    }
+    narrow = kept.select(*[expr.alias(name) for name, expr in key.items()], F.col(text).alias("text"))
+    adds = {"digests": ("binary", pa.binary()), "n_units": ("bigint", pa.int64())}
+    hashed = cut_lineage(add_columns(narrow, ["text"], adds, _digests, drops=("text",)))
+    of_each = hashed.groupBy(*key).agg(F.first("n_units").alias("n_units")).join(_repeats(hashed), list(key), "left")
+    of_each = of_each.withColumnsRenamed(names)
+    joined = kept.select("*", *[expr.alias(names[name]) for name, expr in key.items()]).join(of_each, [names[name] for name in key])
+    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    made = {
+        text: ("string", pa.string()), "n_removed": ("bigint", pa.int64()),
+        "removed": ("array<struct<start: bigint, end: bigint>>", spans_type),
+    }
+    rewritten = add_columns(joined, [text, names["places"]], made, _rewrite(min_words), drops=tuple(names.values()))
+    return rewritten.select(*kept.columns, "n_units", "n_removed", "removed")
