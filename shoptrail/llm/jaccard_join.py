@@ -9,14 +9,13 @@ are found and never written out: what leaves a task is a count per member and a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shoptrail.llm.common import cut_lineage
+from shoptrail.llm.common import add_columns, cut_lineage, free_name, texts_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -102,26 +101,21 @@ def compare(a: list[np.ndarray], b: list[np.ndarray], similarity: float = SIMILA
 
 
 def _sign(bands: int, words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         hashes = _WordHashes()
-        for batch in batches:
-            for at in range(0, len(batch), 250):
-                part = batch.iloc[at : at + 250]
-                sets = [shingles(x, hashes, words) for x in part["text"]]
-                full = [i for i, s in enumerate(sets) if len(s)]
-                signed: list = [None] * len(sets)
-                if full:
-                    for i, row in zip(full, signatures([sets[i] for i in full], bands).view(np.int64)):
-                        signed[i] = row.tolist()
-                yield pd.DataFrame(
-                    {
-                        "id": part["id"], "text_hash": part["text_hash"],
-                        "set_key": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                        "bands": signed,
-                    }
-                )
 
-    return run
+        def signed(column: pa.Array) -> tuple[list, list]:
+            sets = [shingles(x, hashes, words) for x in texts_of(column)]
+            full = [i for i, s in enumerate(sets) if len(s)]
+            found: list = [None] * len(sets)
+            if full:
+                for i, row in zip(full, signatures([sets[i] for i in full], bands).view(np.int64)):
+                    found[i] = row.tolist()
+            return [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], found
+
+        return signed
+
+    return make
 
 
 def _block_pairs(similarity: float, words: int):
@@ -214,9 +208,8 @@ def similar(docs: DataFrame, text: str = "text", id_column: str = "doc_id", simi
         F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"),
     )
-    signed = cut_lineage(
-        plain.mapInPandas(_sign(bands, words), "id bigint, text_hash bigint, set_key binary, bands array<bigint>")
-    )
+    adds = {"set_key": ("binary", pa.binary()), "bands": ("array<bigint>", pa.list_(pa.int64()))}
+    signed = cut_lineage(add_columns(plain, ["text"], adds, _sign(bands, words), drops=("text",)))
     place = F.struct(F.coalesce("id", F.lit(LAST)).alias("id"), "text_hash")
     # One representative per shingle set, named by its key; copies are counted before they are shuffled.
     classes = cut_lineage(
@@ -279,10 +272,16 @@ def similar(docs: DataFrame, text: str = "text", id_column: str = "doc_id", simi
 
 def keep_first(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs``, one of each class of similar documents: that with the smallest id. Of rows that
-    repeat an id and a text one stays; empty and null texts are such rows only under the same id."""
-    firsts = similar(docs, text, id_column, **options).where("is_first").select(F.col(id_column).alias("_id"), F.col("text_hash").alias("_hash"))
-    hashed = docs.withColumns({"_id": F.col(id_column).cast("bigint"), "_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    left, right = (x.withColumn("_key", F.coalesce("_id", F.lit(LAST))).drop("_id") for x in (hashed, firsts))
-    met = left.join(right.distinct(), ["_key", "_hash"], "left_semi")
-    copy = F.row_number().over(Window.partitionBy("_key", "_hash").orderBy(F.lit(0)))
-    return met.withColumn("_copy", copy).where("_copy = 1").select(*docs.columns)
+    repeat an id and a text one stays; empty and null texts are such rows only under the same id.
+
+    Of rows that repeat id and text each task sends one on, so an id in a third of all rows stays harmless.
+    """
+    firsts = similar(docs, text, id_column, **options).where("is_first")
+    key, digest, place = (free_name(docs, x) for x in ("key", "digest", "place"))
+    named = lambda column, hashed: [F.coalesce(F.col(column).cast("bigint"), F.lit(LAST)).alias(key), hashed.alias(digest)]
+    right = firsts.select(*named(id_column, F.col("text_hash"))).distinct()
+    left = docs.select("*", *named(id_column, F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
+    # A rank of 1 is a group limit, which runs before the shuffle too.
+    one = F.row_number().over(Window.partitionBy(key, digest).orderBy(F.lit(0)))
+    single = left.withColumn(place, one).where(F.col(place) == 1)
+    return single.join(right, [key, digest], "left_semi").select(*docs.columns)

@@ -7,22 +7,25 @@ switching then labels each word, and so the spans of a text that mixes languages
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shoptrail.llm.common import id_remainder
+from shoptrail.llm.common import add_columns, free_name, id_remainder, slices, texts_of
 
 UNKNOWN = "und"
 #: Learning takes at most this many documents of each language, by digests, and reads them whole.
 TEXTS_PER_LANGUAGE = 1_000
 #: Parts of the range of digests whose sizes are counted to find where a language's sample ends.
 DIGEST_PARTS = 1 << 16
+#: Languages that a model may have, those with most documents; others are not learned (a column of dirty values has millions).
+MOST_LANGUAGES = 256
 #: Cost in nats of labelling a word differently from the one before it.
 SWITCH_PENALTY = 4.0
 #: Trigrams are hashed into this many cells.
@@ -32,7 +35,8 @@ MAX_WORDS = 300_000
 #: Words that are labelled side by side.
 BATCH_WORDS = 1_000_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters, with the marks that stand on them; numerals such as Roman or circled ones are none.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: First and last code point of blocks by script; other letters are "Other".
 SCRIPTS = (
     ("Latin", 0x0041, 0x024F), ("Greek", 0x0370, 0x03FF), ("Cyrillic", 0x0400, 0x052F),
@@ -72,7 +76,8 @@ def learn(
     """Fit the trigram model on rows with non-null language and text.
 
     Takes a bounded sample per language (``per_language`` rows), by digests of ids or else of texts. Counts of ``DIGEST_PARTS`` parts of the ids'
-    digests say first up to which part a language has enough, so few texts beyond the sample are moved.
+    digests say first up to which part a language has enough, so few texts beyond the sample are moved. The
+    ``MOST_LANGUAGES`` languages with most documents are learned.
     Trigrams are counted in tasks and only sums per (language, cell) reach the driver, at most ``CELLS``
     per language.
     """
@@ -82,9 +87,11 @@ def learn(
         F.pmod(digest, F.lit(DIGEST_PARTS)).alias("part"),
     )
     sizes = usable.groupBy("lang", "part").agg(F.count("*").alias("n"))
+    common = sizes.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(MOST_LANGUAGES).select("lang")
+    sizes = sizes.join(F.broadcast(common), "lang")  # 256 rows at most
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
     ends = sizes.withColumn("before", before).where(F.col("before") < per_language).groupBy("lang").agg(F.max("part").alias("last"))
-    # One row per language, fewer than the model has.
+    # One row per language, ``MOST_LANGUAGES`` at most.
     few = usable.join(F.broadcast(ends), "lang").where("part <= last")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("part", "digest", "text"))
     sample = few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
@@ -224,14 +231,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
     broadcast: ``CELLS`` numbers per language.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_column].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable:
         held = sent.value
         work = _Scores(held)
-        for batch in batches:
+
+        def labelled(column: pa.Array) -> tuple[list[str], list[float]]:
             names, scores = [], []
-            for words, labels in _label(held, work, batch["text"].tolist()) if held.languages else (([], None) for _ in range(len(batch))):
+            texts = texts_of(column)
+            for words, labels in _label(held, work, texts) if held.languages else (([], None) for _ in texts):
                 if not words:
                     names.append(UNKNOWN)
                     scores.append(0.0)
@@ -240,36 +248,44 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_column: str =
                 at = int(letters.argmax())
                 names.append(held.languages[at])
                 scores.append(float(letters[at] / letters.sum()))
-            yield pd.DataFrame({id_column: batch["id"].to_numpy(), "lang_pred": names, "score": scores})
+            return names, scores
+
+        return labelled
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(run, f"`{id_column}` {kind}, lang_pred string, score double")
+    narrow = docs.select(F.col(id_column), F.col(text).alias(free_name(docs, "text_")))
+    adds = {"lang_pred": ("string", pa.string()), "score": ("double", pa.float64())}
+    return add_columns(narrow, [narrow.columns[1]], adds, make, rows=1_024, drops=(narrow.columns[1],))
 
 
 def spans(docs: DataFrame, model: Model, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, start, end, lang) of each span of one language, as code point offsets of its first letter
     and behind its last. Texts without letters have no spans."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_column].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
         work = _Scores(held)
-        for batch in batches:
-            rows = []
-            texts = batch["text"].tolist()
-            for key, value, (words, labels) in zip(batch["id"], texts, _label(held, work, texts)):
+        for part in slices(batches, 1_024) if held.languages else ():
+            texts, rows, found = texts_of(part.column(1)), [], []
+            for i, (value, (words, labels)) in enumerate(zip(texts, _label(held, work, texts))):
                 last = None
                 for match, label in zip(_LETTERS.finditer(value or ""), labels):
-                    if last is not None and last[3] == held.languages[label]:
-                        last[2] = match.end()
+                    if last is not None and last[2] == held.languages[label]:
+                        last[1] = match.end()
                     else:
-                        last = [key, match.start(), match.end(), held.languages[label]]
-                        rows.append(last)
-            yield pd.DataFrame(rows, columns=[id_column, "start", "end", "lang"])
+                        last = [match.start(), match.end(), held.languages[label]]
+                        rows.append(i)
+                        found.append(last)
+            columns = list(zip(*found)) if found else [(), (), ()]
+            kinds = [pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                names=[id_column, "start", "end", "lang"],
+            )
 
-    narrow = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return narrow.mapInPandas(run, f"`{id_column}` {kind}, start bigint, end bigint, lang string")
+    kind = docs.schema[id_column].dataType.simpleString()
+    narrow = docs.select(F.col(id_column), F.col(text).alias(free_name(docs, "text_")))
+    return narrow.mapInArrow(run, f"`{id_column}` {kind}, start bigint, end bigint, lang string")
 
 
 def identify(docs: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:

@@ -10,21 +10,21 @@ which passages decide.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
-from shoptrail.llm.common import id_remainder
+from shoptrail.llm.common import add_columns, id_remainder, slices, texts_of
 
 #: Words of a passage.
 PASSAGE_WORDS = 64
-#: Learning takes at most this many labelled documents of each label, those with the smallest digests,
-#: and of a longer text this many passages, spread evenly over the whole. Scoring takes all passages.
+#: Learning takes at most this many labelled rows of each label, those with the smallest digests of id and text, with
+#: all their passages. Scoring takes all passages of all texts.
 DOCUMENTS_PER_LABEL = 2_000
-PASSAGES_PER_DOCUMENT = 400
 THRESHOLD = 0.3
 HIDDEN = 16
 EPOCHS = 40
@@ -88,11 +88,6 @@ def encode(text: str | None) -> np.ndarray:
     return np.asarray(rows, np.float32)
 
 
-def sampled(bag: np.ndarray, most: int = PASSAGES_PER_DOCUMENT) -> np.ndarray:
-    """A bag, or ``most`` passages of it at even distances."""
-    return bag if len(bag) <= most else bag[np.linspace(0, len(bag) - 1, most).astype(int)]
-
-
 @dataclass(frozen=True)
 class Model:
     mean: np.ndarray
@@ -163,31 +158,31 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7, epochs: int =
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", per_label: int = DOCUMENTS_PER_LABEL) -> Model:
-    """Fit on a bounded sample: up to ``per_label`` documents of each label, those with the smallest
-    digests of their ids. Passages are encoded in tasks. Null labels and ids do not count; of several
+    """Fit on a bounded sample: up to ``per_label`` rows of each label, those with the smallest
+    digests of their ids (then texts), whole. Passages are encoded in tasks. Null labels and ids do not count; of several
     labels of an id the lowest counts. The classes' shares among all labelled documents are kept by a
     shift of the bias, so scores are probabilities for the whole corpus."""
     known = labels.where(F.col("quality").isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(
         (F.min("quality") > 0).cast("int").alias("label")
     )
     totals = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    # Ids first: a top-n per label, of which each task sends its n smallest. Then rows: an id may repeat without bound.
     digest = F.xxhash64(F.lit(11), id_column)
     picked = None
-    for label in (0, 1):  # a top-n per label: each task sends its n smallest
+    for label in (0, 1):
         top = known.where(F.col("label") == label).orderBy(digest, id_column).limit(per_label)
         picked = top if picked is None else picked.unionByName(top)
-    sample = docs.select(id_column, F.col(text).alias("text")).join(picked, id_column)
-
-    def bags_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "id": batch[id_column].astype(str), "label": batch["label"],
-                    "bag": [sampled(encode(x)).tobytes() for x in batch["text"]],
-                }
-            )
+    joined = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(picked.withColumnRenamed(id_column, "id"), "id")
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(11), "id"), "id", F.xxhash64("text")))
+    # The window keeps ``per_label`` rows of each task before the shuffle.
+    sample = joined.withColumn("place", place).where(F.col("place") <= per_label).select("place", "label", "text")
+
+    def bags_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 256):
+            bags = pa.array([encode(x).tobytes() for x in texts_of(part.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bags], names=["place", "label", "bag"])
 
-    rows = sample.mapInPandas(bags_of, "id string, label int, bag binary").toPandas().sort_values(["id", "bag"])
+    rows = sample.mapInArrow(bags_of, "place int, label int, bag binary").toPandas().sort_values(["place", "label"])
     bags = [np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in rows["bag"]]
     y = rows["label"].to_numpy(np.float64)
     model = fit(bags, y)
@@ -202,22 +197,20 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     """Add ``score`` (0 to 1, higher: better) and ``predicted`` (1 if score >= ``threshold``).
 
     Whole texts, null and empty ones as one passage without words. Columns of ``docs`` with these names
-    are replaced. Rows are scored alone; no shuffle. The model, some thousand numbers, is broadcast.
+    are replaced. Rows are scored alone, so repeated ones have one score; no shuffle. The model, some thousand numbers, is broadcast.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("score", "predicted")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable:
         held = sent.value
-        for batch in batches:
-            found: list[np.ndarray] = []
-            for at in range(0, len(batch), 256):
-                found.append(held.scores([encode(x) for x in batch[text].iloc[at : at + 256]]))
-            values = np.concatenate(found) if found else np.zeros(0)
-            yield batch.assign(score=values, predicted=(values >= threshold).astype("int32"))
-
-    return kept.mapInPandas(run, f"{fields}, score double, predicted int")
+
+        def scored(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            values = held.scores([encode(x) for x in texts_of(column)])
+            return values, (values >= threshold).astype("int32")
+
+        return scored
+
+    return add_columns(docs, [text], {"score": ("double", pa.float64()), "predicted": ("int", pa.int32())}, make)
 
 
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0) -> DataFrame:
