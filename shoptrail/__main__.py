@@ -84,6 +84,8 @@ def parser() -> argparse.ArgumentParser:
     for end in ("--since", "--until"):
         update.add_argument(end, type=_day, metavar="YYYY-MM-DD")
 
+    job("compact", "fold the folders of committed batches into one")
+
     for name in ("verify", "run"):
         added = jobs.choices.get(name) or job(name, "check finished layers")
         for minimum in ("min-bronze-rows", "min-silver-rows", "min-sessions"):
@@ -171,6 +173,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.job == "update":
         print(medallion.update(spark, lake, args.since, args.until))
         return 0
+    if args.job == "compact":
+        print(medallion.compact(spark, lake))
+        return 0
     if args.job == "verify":
         scope = {"gold_only": args.gold_only, "skip_bronze": args.skip_bronze}
         status = medallion.verify(spark, lake, **scope, **minimums)

@@ -16,13 +16,23 @@ _UNIQUES = {
 _ATTRIBUTES = ("category_id", "category_code", "brand")
 
 
-def _measures(events: DataFrame) -> DataFrame:
-    """Counts, revenue and unique users per product, by way of one row per (product, user)."""
-    per_user = events.groupBy("product_id", "user_id").agg(
+#: State that merges: one row per (day, product, user), and one per (day, product).
+USER_STATE = (
+    "product_id bigint, user_id bigint, " + ", ".join(f"{name} bigint" for name in _COUNTS) + ", revenue double, event_date date"
+)
+ATTRIBUTE_STATE = "product_id bigint, category_id bigint, category_code string, brand string, event_date date"
+
+
+def _per_user(events: DataFrame, *keys: str) -> DataFrame:
+    return events.groupBy(*keys, "product_id", "user_id").agg(
         *[events_of(kind).alias(name) for name, kind in _COUNTS.items()],
         F.sum(purchase_value()).alias("revenue"),
         F.max("event_date").alias("last_date"),
     )
+
+
+def _measures(per_user: DataFrame) -> DataFrame:
+    """Counts, revenue and unique users per product, from one row per (product, user)."""
     known = F.col("user_id").isNotNull()
     return per_user.groupBy("product_id").agg(
         *[F.sum(name).alias(name) for name in _COUNTS],
@@ -32,7 +42,7 @@ def _measures(events: DataFrame) -> DataFrame:
     )
 
 
-def _attributes(events: DataFrame) -> DataFrame:
+def _attributes(events: DataFrame, *keys: str) -> DataFrame:
     """The greatest value of each attribute per product, each on its own.
 
     Keeping the greatest text in a buffer needs a sort; grouping by text does not. So the events
@@ -40,9 +50,27 @@ def _attributes(events: DataFrame) -> DataFrame:
     the outer maximum; the count and its filter keep the levels apart.
     """
     combinations = (
-        events.groupBy("product_id", *_ATTRIBUTES).agg(F.count("*").alias("n")).where("n > 0")
+        events.groupBy(*keys, "product_id", *_ATTRIBUTES).agg(F.count("*").alias("n")).where("n > 0")
     )
-    return combinations.groupBy("product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
+    return combinations.groupBy(*keys, "product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
+
+
+def by_day_and_user(events: DataFrame) -> DataFrame:
+    """What events say of measures, by day: rows that add up over days."""
+    return _per_user(events, "event_date").drop("last_date").select("product_id", "user_id", *_COUNTS, "revenue", "event_date")
+
+
+def attributes_by_day(events: DataFrame) -> DataFrame:
+    return _attributes(events, "event_date").select("product_id", *_ATTRIBUTES, "event_date")
+
+
+def from_state(users: DataFrame, attributes: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Product performance from the rows of ``by_day_and_user`` and ``attributes_by_day``."""
+    per_user = users.groupBy("product_id", "user_id").agg(
+        *[F.sum(name).alias(name) for name in _COUNTS], F.sum("revenue").alias("revenue"), F.max("event_date").alias("last_date")
+    )
+    greatest = attributes.groupBy("product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
+    return _finished(_measures(per_user), greatest, processed_at)
 
 
 def product_performance(events: DataFrame, processed_at: Column | None = None) -> DataFrame:
@@ -51,8 +79,12 @@ def product_performance(events: DataFrame, processed_at: Column | None = None) -
     Measures and text attributes are taken apart so that the (product, user) shuffle carries only
     numbers; they meet again at one row per product.
     """
-    measures, attributes = _measures(events), _attributes(events).withColumnRenamed("product_id", "_product")
+    return _finished(_measures(_per_user(events)), _attributes(events), processed_at)
+
+
+def _finished(measures: DataFrame, attributes: DataFrame, processed_at: Column | None) -> DataFrame:
     # Events without a product are a group of their own.
+    attributes = attributes.withColumnRenamed("product_id", "_product")
     products = measures.join(attributes, F.col("product_id").eqNullSafe(F.col("_product"))).drop("_product")
     sold = F.col("purchase_count")
     return products.withColumns(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoptrail import schemas as S
 from shoptrail.functions.columns import seconds_between, stamp
-from shoptrail.operators.skew import heavy_keys, number_in_slices, split_by_keys
+from shoptrail.operators.skew import number_in_slices, split_by_keys
 
 
 def _ordinary(silver: DataFrame) -> DataFrame:
@@ -38,17 +40,16 @@ def _oversized(silver: DataFrame) -> DataFrame:
 def order_sessions(
     silver: DataFrame,
     sessionized_at: Column | None = None,
-    heavy_sessions: list[str] | None = None,
+    heavy_sessions: Sequence[str] = (),
 ) -> DataFrame:
     """Silver rows with their place in the session, the session's bounds and seconds since its start.
 
-    Sessions too big for one task are found first (or given as ``heavy_sessions``) and numbered
-    across many tasks; the others share a single window.
+    ``heavy_sessions``, those too big for one task, are numbered across many tasks; the others share a single window,
+    which spills. The result is the same either way. A stored layer has them noted beside it
+    (``sketches.frequent_keys``); of other rows ``skew.heavy_keys`` counts them.
     """
-    if heavy_sessions is None:
-        heavy_sessions = heavy_keys(silver, "user_session")
     if heavy_sessions:
-        heavy, light = split_by_keys(silver, "user_session", heavy_sessions)
+        heavy, light = split_by_keys(silver, "user_session", list(heavy_sessions))
         ordered = _ordinary(light).unionByName(_oversized(heavy))
     else:
         ordered = _ordinary(silver)

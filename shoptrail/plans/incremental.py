@@ -2,8 +2,8 @@
 
 A day's result depends on other days: an id may be delivered again later, a session may pass midnight.
 So the days to write are those of all rows that share a key with a row of the given days, and the days
-to read those of all rows that share a key with a row of the days to write. Both come from scans of two
-columns; only the days to read are scanned in full. The result equals that of a build of everything.
+to read those of all rows that share a key with a row of the days to write. Both come from indexes of the days on
+which a key occurs; of the layers only the days to read are opened. The result equals that of a build of everything.
 """
 
 from __future__ import annotations
@@ -16,10 +16,13 @@ from pyspark.sql.types import StructType
 
 from shoptrail import schemas as S
 from shoptrail.functions.columns import is_filled
-from shoptrail.operators import carts, funnel, products, purchases, refine, sessionize, sessions
+from shoptrail.operators import carts, funnel, purchases, refine, sessionize, sessions
+from shoptrail.plans.key_days import KeyDays
+from shoptrail.plans.product_state import ProductState
 from shoptrail.session import sized_shuffles
-from shoptrail.sources.layers import file_names, path_exists, read_layer, write_layer
-from shoptrail.streaming.ingest import drop_path
+from shoptrail.sources.batches import read_sink
+from shoptrail.sources.layers import path_exists, read_layer, replace_days
+from shoptrail.sources.sketches import KeySketch, frequent_keys
 
 Days = list[dt.date]
 
@@ -43,21 +46,9 @@ def _on(day: str, days: Iterable[dt.date]) -> Column:
     return F.col(day).isin(list(days))
 
 
-def linked_days(rows: DataFrame, days: Days) -> Days:
+def linked_days(index: KeyDays, rows: DataFrame, days: Days) -> Days:
     """The given days, and those of all rows (key, day) whose key occurs on one of them."""
-    keys = rows.where(_on("day", days)).select("key").distinct()
-    return sorted({*days, *_days(rows.join(keys, "key", "left_semi"), "day")})
-
-
-def replace_days(df: DataFrame, path: str, column: str, days: Days) -> None:
-    """Write the given days of a table; days that have no rows any more are removed from it."""
-    spark = df.sparkSession
-    folders = {day: f"{path}/{column}={day}" for day in days}
-    before = {day: file_names(spark, folder) for day, folder in folders.items()}
-    write_layer(df.where(_on(column, days)), path, column, only_touched_partitions=True)
-    for day, names in before.items():
-        if names and file_names(spark, folders[day]) & names:
-            drop_path(spark, folders[day])
+    return sorted({*days, *index.others(rows.where(_on("day", days)).select("key"), days)})
 
 
 def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -65,35 +56,54 @@ def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return read_layer(spark, path, schema) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def update_silver(spark: SparkSession, lake, days: Days, at: Column | None = None) -> Days:
-    """Rebuild silver where the given days of bronze matter; returns the days written."""
-    bronze = read_layer(spark, lake.bronze, S.BRONZE)
+def _ids(bronze: DataFrame) -> DataFrame:
+    return bronze.where(is_filled(F.col("event_id"))).select(F.col("event_id").alias("key"), F.col("event_date").alias("day"))
+
+
+def _sessions(layer: DataFrame, session: str) -> DataFrame:
+    return layer.select(F.col(session).alias("key"), F.col("event_date").alias("day"))
+
+
+def update_silver(spark: SparkSession, lake, days: Days, at: Column | None = None, pending: Days = ()) -> Days:
+    """Rebuild silver where the given days of bronze matter; returns the days written.
+
+    ``pending`` are days that were ingested since the index of ids was brought up to date.
+    """
+    bronze, index = read_sink(spark, lake.bronze, S.BRONZE), KeyDays(lake.id_days)
     with sized_shuffles(bronze):
-        ids = bronze.where(is_filled(F.col("event_id"))).select(F.col("event_id").alias("key"), F.col("event_date").alias("day"))
-        written = linked_days(ids, days)
-        source = bronze.where(_on("event_date", linked_days(ids, written)))
-        replace_days(refine.to_silver(source, at), lake.silver, "event_date", written)
+        if index.known(spark):
+            index.note(_ids(bronze), sorted({*days, *pending}))
+        else:
+            index.build(_ids(bronze))
+        written = linked_days(index, _ids(bronze), days)
+        source = bronze.where(_on("event_date", linked_days(index, _ids(bronze), written)))
+        seen = KeySketch("silver_update", "user_session")
+        replace_days(seen.watch(refine.to_silver(source, at)), lake.silver, "event_date", written)
+        seen.keep(lake.silver, replace=False)
     return written
 
 
 def update_gold(spark: SparkSession, lake, days: Days, at: Column | None = None) -> Days:
     """Rebuild session events and curated tables where the given days of silver matter.
 
-    Sessions of the stored session events count too: rows may have left silver. Product
-    performance has one row per product over all time, so it is built anew as a whole.
+    Sessions of the stored session events count too: rows may have left silver. The index of sessions holds them until
+    the new ones are written. Product performance is brought up to date from its state.
     """
-    silver = read_layer(spark, lake.silver, S.SILVER)
+    silver, index = read_layer(spark, lake.silver, S.SILVER), KeyDays(lake.session_days)
     old = _stored(spark, lake.session_events, S.SESSION_EVENTS)
-    place = F.col("event_date").alias("day")
+    seen, before = _sessions(silver, "user_session"), _sessions(old, "session_id")
     with sized_shuffles(silver):
-        seen = silver.select(F.col("user_session").alias("key"), place)
-        written = linked_days(seen.unionByName(old.select(F.col("session_id").alias("key"), place)), days)
-        read = linked_days(seen, written)
-        part = silver.where(_on("event_date", read))
-        replace_days(sessionize.order_sessions(part, at), lake.session_events, "event_date", written)
+        if not index.known(spark):
+            index.build(seen.unionByName(before))
+        written = linked_days(index, seen.unionByName(before), days)
+        # What is new in silver counts from here on, beside what the index still has of the rows that left.
+        now = sorted({*written, *index.others(seen.where(_on("day", written)).select("key"), written)})
+        part = silver.where(_on("event_date", now))
+        heavy = frequent_keys(spark, lake.silver, part, "user_session")
+        replace_days(sessionize.order_sessions(part, at, heavy), lake.session_events, "event_date", written)
         events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
         # Sessions that start on a day to write have all their events on the days to read.
-        some = events.where(_on("event_date", read))
+        some = events.where(_on("event_date", now))
         replace_days(sessions.session_facts(part, at), lake.gold_table("fct_sessions"), "session_date", written)
         facts = read_layer(spark, lake.gold_table("fct_sessions"), S.FCT_SESSIONS).where(_on("session_date", written))
         built = {
@@ -103,13 +113,14 @@ def update_gold(spark: SparkSession, lake, days: Days, at: Column | None = None)
         }
         for name, df in built.items():
             replace_days(df, lake.gold_table(name), S.GOLD[name][1], written)
-        write_layer(products.product_performance(events, at), lake.gold_table("agg_product_performance"))
+        ProductState(lake.product_state).update(events, written, lake.gold_table("agg_product_performance"), at)
+        index.note(seen, written)
     return written
 
 
-def update(spark: SparkSession, lake, days: Days, at: Column | None = None) -> dict[str, Days]:
+def update(spark: SparkSession, lake, days: Days, at: Column | None = None, pending: Days = ()) -> dict[str, Days]:
     """Bring silver and gold up to date with what bronze has on the given days; returns the days written."""
     if not days:
         return {"silver": [], "gold": []}
-    silver = update_silver(spark, lake, days, at)
+    silver = update_silver(spark, lake, days, at, pending)
     return {"silver": silver, "gold": update_gold(spark, lake, silver, at)}

@@ -10,20 +10,26 @@ from pyspark.sql.types import StructType
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, models, products, purchases, refine, sessionize, sessions
 from shoptrail.plans import incremental
+from shoptrail.plans.key_days import KeyDays
+from shoptrail.plans.product_state import ProductState
 from shoptrail.quality import gate
 from shoptrail.quality.column_tests import column_tests
 from shoptrail.session import sized_shuffles
 from shoptrail.sources import load, publish
+from shoptrail.sources.batches import BatchLog, read_sink
 from shoptrail.sources.layers import (
     Counted,
     RunMetrics,
+    drop_path,
+    file_names,
     path_exists,
     read_dataset,
     read_layer,
     require_rows,
     write_layer,
 )
-from shoptrail.streaming.ingest import BronzeSink, drain, drop_path
+from shoptrail.sources.sketches import KeySketch, frequent_keys
+from shoptrail.streaming.ingest import BronzeSink, drain
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,20 @@ class Lake:
         """Days that were ingested and are not in silver and gold yet."""
         return f"{self.root}/bronze/touched"
 
+    @property
+    def id_days(self) -> str:
+        """Index of the days on which an event id occurs in bronze."""
+        return f"{self.root}/index/id_days"
+
+    @property
+    def session_days(self) -> str:
+        """Index of the days on which a session occurs in silver and session events."""
+        return f"{self.root}/index/session_days"
+
+    @property
+    def product_state(self) -> str:
+        return f"{self.root}/state/product_performance"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/events"
@@ -70,7 +90,20 @@ class Lake:
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_layer(spark, lake.bronze, S.BRONZE)
+    return read_sink(spark, lake.bronze, S.BRONZE)
+
+
+def read_quarantine(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_sink(spark, lake.quarantine, S.QUARANTINE)
+
+
+def compact(spark: SparkSession, lake: Lake) -> dict[str, dict[str, int]]:
+    """Fold the folders of all committed batches into one per sink, bronze by date and type."""
+    with sized_shuffles(read_bronze(spark, lake)):
+        return {
+            "bronze": BatchLog(spark, lake.bronze).compact(S.BRONZE, ("event_date", "event_type")),
+            "quarantine": BatchLog(spark, lake.quarantine).compact(S.QUARANTINE, ()),
+        }
 
 
 def _as_written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -89,14 +122,22 @@ def read_tables(spark: SparkSession, lake: Lake, gold_only: bool = False) -> dic
         "session_events": (lake.session_events, S.SESSION_EVENTS),
         **{name: (lake.gold_table(name), schema) for name, (schema, _) in S.GOLD.items()},
     }
+    found = {name: _as_written(spark, *place) for name, place in places.items()}
     if not gold_only:
-        places["bronze"] = (lake.bronze, S.BRONZE)
-    return {name: _as_written(spark, *place) for name, place in places.items()}
+        folders = BatchLog(spark, lake.bronze).folders()
+        if folders:
+            paths = [f"{lake.bronze}/{folder}" for folder in folders]
+            found["bronze"] = spark.read.option("basePath", lake.bronze).parquet(*paths)
+        else:
+            found["bronze"] = _as_written(spark, lake.bronze, S.BRONZE)
+    return found
 
 
 def ingest(records: DataFrame, lake: Lake, **options) -> dict[str, int]:
     """Take what is new in the topic; or (``reset``) start over, beside earlier output or instead
     of it (``clear_outputs``)."""
+    if options.get("clear_outputs"):
+        KeyDays(lake.id_days).forget(records.sparkSession)
     sink = BronzeSink(lake.bronze, lake.quarantine, touched_path=lake.touched)
     return drain(records, sink, lake.checkpoint, **options)
 
@@ -121,8 +162,12 @@ def build_silver(
 ) -> RunMetrics:
     bronze = read_bronze(spark, lake)
     rows = require_rows(bronze, "bronze")
+    KeyDays(lake.session_days).forget(spark)
+    seen = KeySketch("silver_sessions", "user_session")
     with sized_shuffles(bronze):
-        return _counted_write("silver", rows, refine.to_silver(bronze, at), lake.silver, "event_date", mode)
+        metrics = _counted_write("silver", rows, seen.watch(refine.to_silver(bronze, at)), lake.silver, "event_date", mode)
+    seen.keep(lake.silver, replace=mode != "append")
+    return metrics
 
 
 def _write_gold(name: str, rows_read: int, built: DataFrame, lake: Lake, mode: str) -> RunMetrics:
@@ -135,8 +180,9 @@ def build_sessions(
 ) -> dict[str, RunMetrics]:
     silver = read_layer(spark, lake.silver, S.SILVER)
     rows = require_rows(silver, "silver")
+    KeyDays(lake.session_days).forget(spark)
     with sized_shuffles(silver):
-        ordered = sessionize.order_sessions(silver, at)
+        ordered = sessionize.order_sessions(silver, at, frequent_keys(spark, lake.silver, silver, "user_session"))
         return {
             "session_events": _counted_write("session_events", rows, ordered, lake.session_events, "event_date", mode),
             "fct_sessions": _write_gold("fct_sessions", rows, sessions.session_facts(silver, at), lake, mode),
@@ -148,6 +194,7 @@ def build_product_marts(
 ) -> dict[str, RunMetrics]:
     events = read_layer(spark, lake.session_events, S.SESSION_EVENTS)
     rows = require_rows(events, "session events")
+    ProductState(lake.product_state).forget(spark)  # the next update builds it from these events
     built = {
         "fct_purchases": purchases.purchase_facts(events, at),
         "agg_product_performance": products.product_performance(events, at),
@@ -216,22 +263,36 @@ def run(
     one with ``reset``, which empties bronze and reads the topic from its start, builds everything.
     """
     ingested = ingest(records, lake, reset=reset, clear_outputs=reset, query_name=query_name)
+    noted = pending_batches(spark, lake)
     layers = [lake.silver, lake.session_events, *map(lake.gold_table, S.GOLD)]
     if reset or not all(path_exists(spark, path) for path in layers):
+        KeyDays(lake.id_days).forget(spark)
         built = {"silver": build_silver(spark, lake), "gold": build_gold(spark, lake)}
     else:
-        built = incremental.update(spark, lake, pending_days(spark, lake))
-    drop_path(spark, lake.touched)
+        built = incremental.update(spark, lake, pending_days(spark, lake, noted))
+    for folder in noted:  # what another ingest has noted meanwhile stays
+        drop_path(spark, folder)
     return {"ingested": ingested, **built, "status": verify(spark, lake, **minimums)}
 
 
-def pending_days(spark: SparkSession, lake: Lake) -> incremental.Days:
-    """Days ingested since silver and gold were last brought up to date."""
-    if not path_exists(spark, lake.touched):
+def pending_batches(spark: SparkSession, lake: Lake) -> list[str]:
+    """Folders that note the days of batches ingested since silver and gold were last brought up to date."""
+    found = []
+    for run_folder in sorted(file_names(spark, lake.touched)):
+        if run_folder.startswith("ingest_run="):
+            found += [f"{lake.touched}/{run_folder}/{name}" for name in sorted(file_names(spark, f"{lake.touched}/{run_folder}"))]
+    return found
+
+
+def pending_days(spark: SparkSession, lake: Lake, batches: list[str] | None = None) -> incremental.Days:
+    """Days of the given batches, or of all that silver and gold do not have yet."""
+    batches = pending_batches(spark, lake) if batches is None else batches
+    if not batches:
         return []
-    return incremental.days_between(spark.read.schema("event_date date").parquet(lake.touched), None, None)
+    return incremental.days_between(spark.read.schema("event_date date").parquet(*batches), None, None)
 
 
 def update(spark: SparkSession, lake: Lake, since: str | None = None, until: str | None = None) -> dict:
     """Bring silver and gold up to date for a range of days."""
-    return incremental.update(spark, lake, incremental.days_between(read_bronze(spark, lake), since, until))
+    days = incremental.days_between(read_bronze(spark, lake), since, until)
+    return incremental.update(spark, lake, days, pending=pending_days(spark, lake))

@@ -49,6 +49,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on whatever file system it lives; False when there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.delete(target, True))
+
+
 def file_names(spark: SparkSession, folder: str) -> set[str]:
     """Names of the files of one partition folder; none if it is not there."""
     if not path_exists(spark, folder):
@@ -85,6 +92,17 @@ def write_layer(
     writer.parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, column: str, days: list) -> None:
+    """Write the given days of a table; days that have no rows any more are removed from it."""
+    spark = df.sparkSession
+    folders = {day: f"{path}/{column}={day}" for day in days}
+    before = {day: file_names(spark, folder) for day, folder in folders.items()}
+    write_layer(df.where(F.col(column).isin(list(days))), path, column, only_touched_partitions=True)
+    for day, names in before.items():
+        if names and file_names(spark, folders[day]) & names:
+            drop_path(spark, folders[day])
+
+
 class Counted:
     """Count rows as they pass, without a job of its own.
 

@@ -6,10 +6,11 @@ import threading
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shoptrail.operators.validity import accepted, judge, rejected
-from shoptrail.sources.layers import write_layer
+from shoptrail.sources.batches import BatchLog, folder_of
+from shoptrail.sources.layers import drop_path, write_layer
 
 
 @dataclass
@@ -21,7 +22,7 @@ class BronzeSink:
     to it. The query id lives in the checkpoint: it outlasts restarts and changes on a reset, so
     batch numbers that start over do not collide with older ones.
 
-    Under ``touched_path`` the days of each batch are noted before its rows are written, so that a later
+    A folder counts once the sink's log has an entry for it (see ``batches``). Under ``touched_path`` the days of each batch are noted before its rows are written, so that a later
     build knows what to bring up to date, also after a failure in between.
     """
 
@@ -38,7 +39,7 @@ class BronzeSink:
         self._named.set()
 
     def _folder(self, root: str, batch_id: int) -> str:
-        return f"{root.rstrip('/')}/ingest_run={self.run_id}/batch_id={batch_id}"
+        return f"{root.rstrip('/')}/{folder_of(self.run_id, batch_id)}"
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
         self._named.wait()
@@ -53,21 +54,16 @@ class BronzeSink:
                     write_layer(days, self._folder(self.touched_path, batch_id))
                 folder = self._folder(self.bronze_path, batch_id)
                 write_layer(accepted(batch), folder, ("event_date", "event_type"))
+                BatchLog(records.sparkSession, self.bronze_path).commit(self.run_id, batch_id)
             if counts["r"]:
                 write_layer(rejected(batch), self._folder(self.quarantine_path, batch_id))
+                BatchLog(records.sparkSession, self.quarantine_path).commit(self.run_id, batch_id)
             self.rows["accepted"] += counts["a"]
             self.rows["rejected"] += counts["r"]
         finally:
             batch.unpersist()
 
 
-def drop_path(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder on whatever file system it lives; False when there is none."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(system.delete(target, True))
-
-
 def drain(
     records: DataFrame,
     sink: BronzeSink,
@@ -87,8 +83,9 @@ def drain(
     if reset:
         drop_path(spark, checkpoint)
     if clear_outputs:
-        drop_path(spark, sink.bronze_path)
-        drop_path(spark, sink.quarantine_path)
+        for path in (sink.bronze_path, sink.quarantine_path):
+            BatchLog(spark, path).forget()
+            drop_path(spark, path)
     query = (
         records.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)

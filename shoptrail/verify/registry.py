@@ -419,7 +419,7 @@ _SAMPLE_CHECKS = {
 
 def _comparable_quarantine_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = lake(spark, sf_dir)
-    return _comparable(read_layer(spark, built.quarantine, S.QUARANTINE), ("raw_value",))
+    return _comparable(medallion.read_quarantine(spark, built), ("raw_value",))
 
 
 REGISTRY |= {
@@ -562,7 +562,7 @@ REGISTRY |= {
     "dq_bronze_structure": (
         lambda spark, sf_dir: gate.bronze_structure(
             _tables(spark, sf_dir)["bronze"],
-            quarantine=read_layer(spark, lake(spark, sf_dir).quarantine, S.QUARANTINE),
+            quarantine=medallion.read_quarantine(spark, lake(spark, sf_dir)),
         ),
         oracle.over(
             "bronze quarantine",

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, records
+from builders import event, records
 from shoptrail import schemas as S
 from shoptrail.__main__ import main
 from shoptrail.plans import incremental, medallion

@@ -1,5 +1,5 @@
 import pytest
-from conftest import event, records
+from builders import event, records
 
 from shoptrail import schemas as S
 from shoptrail.operators import validity

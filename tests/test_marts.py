@@ -1,5 +1,5 @@
 import pytest
-from conftest import silver_rows
+from builders import silver_rows
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, models, products, purchases, report, sessionize, sessions

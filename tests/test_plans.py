@@ -1,7 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import pytest
-from conftest import silver_rows
+from builders import silver_rows
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, products, purchases, refine, sessionize, sessions

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import event, make, silver_rows, utc
+from builders import event, make, silver_rows, utc
 from pyspark.sql import functions as F
 
 from shoptrail import schemas as S

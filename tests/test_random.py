@@ -7,7 +7,7 @@ import random
 
 import duckdb
 import pytest
-from conftest import event, make, utc
+from builders import event, make, utc
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, products, purchases, refine, sessionize, sessions

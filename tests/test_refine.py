@@ -1,5 +1,5 @@
 import pytest
-from conftest import event, make, utc
+from builders import event, make, utc
 
 from shoptrail import schemas as S
 from shoptrail.operators import refine

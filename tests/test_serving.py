@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import event, records
+from builders import event, records
 from pyspark.sql import functions as F
 
 from shoptrail import schemas as S

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import silver_rows
+from builders import silver_rows
 
 from shoptrail import schemas as S
 from shoptrail.operators import sessionize, sessions, skew

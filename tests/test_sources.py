@@ -141,7 +141,7 @@ def test_guards(spark, tmp_path):
 
 
 def test_document_is_parsed_once_per_record(spark):
-    from conftest import event, records
+    from builders import event, records
 
     plan = validity.accepted(validity.judge(records(spark, [event(1)])))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
