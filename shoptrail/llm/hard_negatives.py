@@ -29,9 +29,9 @@ DIMENSIONS = 8
 #: Cells that rows are dealt into; their centres are that many of the vectors.
 MOST_CELLS = 1_024
 #: Thresholds of the search for positives as shares of the anchor's squared norm; the last round has none.
-POSITIVE_STEPS = (0.8, 0.5, 0.3, 0.1, None)
+POSITIVE_STEPS = (0.6, 0.3, None)
 #: Thresholds of the search for negatives as shares of the positive's score, down to the window's lower end.
-NEGATIVE_STEPS = (0.97, 0.92, 0.86, 0.8)
+NEGATIVE_STEPS = (0.9, 0.8)
 #: Fixed values of the windows.
 POSITIVES, NEGATIVES, LOWEST_PERCENT = 5, 5, 80
 SCALE = 256
@@ -215,7 +215,7 @@ class Rows:
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in anchors.schema)
         reach = cut_lineage(anchors.mapInPandas(_deal_anchors(sent), f"{fields}, cell int"))
         turns = reach.groupBy("group", "cell").agg(F.ceil(F.count("*") / ANCHORS).cast("int").alias("turns"))
-        blocks = cut_lineage(self.sizes.join(turns, ["group", "cell"]))
+        blocks = self.sizes.join(turns, ["group", "cell"])
         part = lambda n, *names: F.pmod(F.xxhash64(*names, F.lit(17)), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         left = self.rows.join(blocks, ["group", "cell"]).select("group", "cell", "v", "entries", part("parts", "v").alias("part"), every("turns").alias("turn"))
@@ -252,7 +252,7 @@ def find_positives(rows: Rows, anchors: DataFrame, n: int = POSITIVES) -> DataFr
         found = hits if found is None else found.unionByName(hits)
         done = _counted(found).where(F.col("n") >= n)
         left = cut_lineage(asked.join(done, ["anchor_id", "anchor"], "left_anti").withColumn("below", F.col("threshold")).drop("threshold"))
-        if step is None or left.limit(1).count() == 0:
+        if step is None or left.isEmpty():
             break
     return _first(found, n)
 
@@ -267,13 +267,13 @@ def find_negatives(rows: Rows, anchors: DataFrame, positives: DataFrame, n: int
     for step in NEGATIVE_STEPS:
         windows = left.groupBy(*keys).agg(F.collect_list("window").alias("windows"))
         least = F.array_min("windows") * F.lit(float(step)) - 0.5
-        asked = cut_lineage(anchors.join(windows, keys).join(below, keys).withColumn("threshold", F.least(least, F.col("below"))))
+        asked = cut_lineage(anchors.join(windows.join(below, keys), keys).withColumn("threshold", F.least(least, F.col("below"))))
         hits = rows.join(asked, negatives=True)
         found = hits if found is None else found.unionByName(hits)
         below = asked.select(*keys, F.col("threshold").alias("below"))
         full = _counted(found).where(F.col("n") >= n)
         left = cut_lineage(left.join(full, [*keys, "window"], "left_anti"))
-        if left.limit(1).count() == 0:
+        if left.isEmpty():
             break
     return _first(found, n)
 
