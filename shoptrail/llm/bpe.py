@@ -8,10 +8,10 @@ The merges are compiled into a finite-state transducer over bytes. Two facts mak
   goes with the last token of what stands before it.
 
 A state is the last token that was given out and the bytes after it. A byte leads to a state that is
-worked out and kept when it is needed a second time, and looked up from then on. A token is given out as soon as
+worked out the first time it is needed and looked up from then on. A token is given out as soon as
 every place where a token reaching beyond the input read so far could start has it on its path. That
-takes at most as many bytes of lookahead as the longest vocabulary entry has. Where a piece leaves the part
-of the transducer that is known, for the first time, its rest is worked out by the same two facts without keeping states.
+takes at most as many bytes of lookahead as the longest vocabulary entry has. Where the table is full and
+a piece leaves the part of the transducer that is known, its rest is worked out by the same two facts without keeping states.
 """
 
 from __future__ import annotations
@@ -31,14 +31,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from shoptrail.llm.common import add_columns, free_name, texts_of
 
-#: Tables only save time, so they are bounded: moves that are kept, moves asked for once, answers about neighbours, and
-#: words of each of two generations. A full table of moves is kept until as many moves were missing as it may hold.
-MAX_MOVES = 100_000
-MAX_ASKED = 300_000
-MAX_FITS = 300_000
-MAX_WORDS = 100_000
+#: Tables only save time, so they are bounded: moves, answers about neighbours, states whose inner side is at hand, and words
+#: of each of two generations. A full table of moves stays until as many moves were missing as it may hold.
+MAX_MOVES = 300_000
+MAX_FITS = 200_000
+MAX_PATHS = 20_000
+MAX_WORDS = 150_000
+#: A move is one number: the next state, and behind it which tokens are given out.
+_GIVEN_BITS = 24
+_GIVEN = (1 << _GIVEN_BITS) - 1
 #: Marks that end a word often and are a piece of their own behind letters.
 MARKS = (",", ".")
+#: Runs of letters alone are one piece.
+LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 INNER_SPACE = re.compile(r"\s (?:\s|\Z)").search
 #: Ids that the decoder takes at a time.
 DECODE_STEP = 65_536
@@ -56,21 +61,24 @@ class MergeTransducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.opens = {token[:n] for token in ranks for n in range(1, len(token))}
+        opens = {token[:n] for token in ranks for n in range(1, len(token))}
         # What a run of bytes is: twice its rank, plus one if a longer token begins so; -1 if it is no token itself.
-        self.kinds = {token: rank << 1 | (token in self.opens) for token, rank in ranks.items()}
-        self.kinds.update((part, -1) for part in self.opens if part not in ranks)
+        self.kinds = {token: rank << 1 | (token in opens) for token, rank in ranks.items()}
+        self.kinds.update((part, -1) for part in opens if part not in ranks)
         self.spines: tuple[dict, dict] = ({}, {})
-        self.fits: dict[tuple[int, bytes], bool] = {}
+        self.fits: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.asked: set[int] = set()
-        self.missed = 0
+        # A state is named by the token given out last and the bytes after it; the rest follows from these.
         self.known: dict[tuple[int, bytes], int] = {}
-        self.moves: dict[int, tuple[int, bytes]] = {}
-        self.paths: list[tuple[bytes, list[int], list[int], list[int]]] = []
+        self.names: list[tuple[int, bytes]] = []
+        self.paths: dict[int, tuple[list[int], list[int], list[int]]] = {}
+        self.moves: dict[int, int] = {}
+        self.given: list[bytes] = [b""]
+        self.number: dict[bytes, int] = {b"": 0}
         self.rest: dict[int, bytes] = {}
+        self.missed = 0
         self.start = self._state(b"", [-1], [1], [0])
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -82,29 +90,30 @@ class MergeTransducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return (parts[0], parts[1]) if len(parts) == 2 else None
 
-    def _spine(self, side: int, name: int | bytes) -> list[tuple[bytes, int]]:
+    def _spine(self, side: int, rank: int) -> list[tuple[bytes, int]]:
         """What stands at a token's right (0) or left (1) end while it is put together, last form
         first, each with the rank at which it is taken up into the next form."""
-        ends = name if side else self.token[name]
+        ends = self.token[rank]
         found = [(ends, 1 << 60)]
         while halves := self._halves(ends):
             found.append((halves[1 - side], self.ranks[ends]))
             ends = halves[1 - side]
-        self.spines[side][name] = found
+        self.spines[side][rank] = found
         return found
 
-    def _fit(self, left: int, right: bytes) -> bool:
+    def _fit(self, left: int, right: int) -> bool:
         """No merge crosses the seam between the two tokens."""
         if left < 0:
             return True
-        found = self.fits.get((left, right))
+        name = left << 20 | right
+        found = self.fits.get(name)
         if found is None:
             if len(self.fits) >= MAX_FITS:
                 self.fits.clear()
-            found = self.fits[left, right] = self._seam(left, right)
+            found = self.fits[name] = self._seam(left, right)
         return found
 
-    def _seam(self, left: int, right: bytes) -> bool:
+    def _seam(self, left: int, right: int) -> bool:
         """Of merges with the same rank, the one further left comes first."""
         rank, ends = self.ranks.get, self.spines[0].get(left) or self._spine(0, left)
         for b, until_b in self.spines[1].get(right) or self._spine(1, right):
@@ -118,15 +127,45 @@ class MergeTransducer:
         """``last[i]`` is the last token of what was read up to byte ``i`` of ``pending``, the first
         of them the token given out last; ``marks[i]`` has a bit for each token end on the way there;
         at the ``live`` places a token that reaches beyond ``pending`` may start."""
-        if live[0]:  # no token can start right behind the one given out, so that one is of no account
-            last = [-1, *last[1:]]
-        key = (last[0], pending)
-        state = self.known.get(key)
+        # Where no token can start right behind the one given out, that one is of no account.
+        name = (-1 if live[0] else last[0], pending)
+        state = self.known.get(name)
         if state is None:
-            state = self.known[key] = len(self.paths)
-            self.paths.append((pending, last, marks, live))
+            state = self.known[name] = len(self.names)
+            self.names.append((last[0], pending))
+            if len(self.paths) >= MAX_PATHS:
+                self.paths.clear()
+            self.paths[state] = last, marks, live
         return state
 
+    def _path(self, state: int) -> tuple[list[int], list[int], list[int]]:
+        """The inner side of a state, worked out from its name where it is not at hand."""
+        path = self.paths.get(state)
+        if path is None:
+            left, pending = self.names[state]
+            path = [left], [1], [0]
+            for end in range(1, len(pending) + 1):
+                path = self._read(pending[:end], *path)
+            if len(self.paths) >= MAX_PATHS:
+                self.paths.clear()
+            self.paths[state] = path
+        return path
+
+    def _read(self, pending: bytes, last: list[int], marks: list[int], live: list[int]) -> tuple[list[int], list[int], list[int]]:
+        """The inner side with the last byte of ``pending`` read."""
+        end, kinds, still, rank, mark = len(pending), self.kinds, [], -1, 0
+        for begin in live:
+            kind = kinds.get(pending[begin:])
+            if kind is None:
+                continue
+            if rank < 0 and kind >= 0 and self._fit(last[begin], kind >> 1):
+                rank, mark = kind >> 1, marks[begin] | 1 << end
+            if kind & 1:
+                still.append(begin)
+        if rank >= 0:  # else no path from the token given out last comes by here
+            still.append(end)
+        return [*last, rank], [*marks, mark], still
+
     def _tokens(self, last: list[int], end: int) -> bytes:
         path = []
         while end > 0:
@@ -134,27 +173,23 @@ class MergeTransducer:
             end -= len(self.token[last[end]])
         return struct.pack(f"<{len(path)}I", *reversed(path))
 
-    def _move(self, state: int, byte: int) -> tuple[int, bytes]:
-        pending, last, marks, live = self.paths[state]
-        pending += bytes((byte,))
-        end = len(pending)
-        for begin in live:
-            rank = self.ranks.get(pending[begin:])
-            if rank is not None and self._fit(last[begin], pending[begin:]):
-                break
-        mark = marks[begin] | 1 << end
-        last, marks = [*last, rank], [*marks, mark]
-        live = [p for p in live if pending[p:] in self.opens]
+    def _move(self, state: int, byte: int) -> int:
+        pending = self.names[state][1] + bytes((byte,))
+        last, marks, live = self._read(pending, *self._path(state))
+        mark = marks[-1]
         for place in live:  # what all paths that can still be taken run through
             mark &= marks[place]
-        live.append(end)
         cut = mark.bit_length() - 1
         given = b""
-        if cut:
+        if cut > 0:
             given = self._tokens(last, cut)
             pending, last = pending[cut:], last[cut:]
             marks, live = [m >> cut for m in marks[cut:]], [p - cut for p in live]
-        found = self.moves[state << 8 | byte] = self._state(pending, last, marks, live), given
+        number = self.number.get(given)
+        if number is None:
+            number = self.number[given] = len(self.given)
+            self.given.append(given)
+        found = self.moves[state << 8 | byte] = self._state(pending, last, marks, live) << _GIVEN_BITS | number
         return found
 
     def _finish(self, state: int, rest: bytes) -> bytes:
@@ -163,9 +198,9 @@ class MergeTransducer:
         Longest tokens are tried first, each only where it goes with the one before it. As a prefix has one last
         token, a place that led nowhere is not tried again.
         """
-        pending, last, _, _ = self.paths[state]
+        before, pending = self.names[state]
         data, kinds, fit = pending + rest, self.kinds.get, self._fit
-        size, at, left = len(data), 0, last[0]
+        size, at, left = len(data), 0, before
         path: list[int] = []
         waiting: list[list[tuple[int, int]]] = []  # at each token of the path: (end, rank) of shorter ones
         dead: set[int] = set()
@@ -184,7 +219,7 @@ class MergeTransducer:
                             break
             while ends:
                 end, rank = ends.pop()
-                if end not in dead and fit(left, data[at:end]):
+                if end not in dead and fit(left, rank):
                     path.append(rank)
                     waiting.append(ends)
                     at, left, ends = end, rank, None
@@ -193,58 +228,47 @@ class MergeTransducer:
                 dead.add(at)
                 ends = waiting.pop()
                 at -= len(self.token[path.pop()])
-                left = path[-1] if path else last[0]
+                left = path[-1] if path else before
         return struct.pack(f"<{len(path)}I", *path)
 
     def encode(self, piece: bytes) -> bytes:
         """Ids of a piece as little-endian unsigned 32-bit integers."""
-        state, moves, out = self.start, self.moves, []
+        state, move_of, given, out = self.start, self.moves.get, self.given, b""
         for at, byte in enumerate(piece):
-            name = state << 8 | byte
-            move = moves.get(name)
+            move = move_of(state << 8 | byte)
             if move is None:
-                self.missed += 1
-                if name not in self.asked or len(moves) >= MAX_MOVES:
-                    if len(self.asked) >= MAX_ASKED:
-                        self.asked.clear()
-                    self.asked.add(name)
-                    out.append(self._finish(state, piece[at:]))
-                    if self.missed > 4 * MAX_MOVES and len(moves) >= MAX_MOVES:
+                if len(self.moves) >= MAX_MOVES:
+                    self.missed += 1
+                    out += self._finish(state, piece[at:])
+                    if self.missed >= MAX_MOVES:
                         self._forget()
-                    return b"".join(out)
+                    return out
                 move = self._move(state, byte)
-            state, given = move
-            if given:
-                out.append(given)
+            if move & _GIVEN:
+                out += given[move & _GIVEN]
+            state = move >> _GIVEN_BITS
         left = self.rest.get(state)
         if left is None:
-            left = self.rest[state] = self._tokens(self.paths[state][1], len(self.paths[state][0]))
-        out.append(left)
-        return b"".join(out)
+            left = self.rest[state] = self._tokens(self._path(state)[0], len(self.names[state][1]))
+        return out + left
 
 
-class _Words(dict):
-    """Ids of runs without a space. ``before`` stands before each. Words of the generation before come back when they
-    are met again, so frequent ones stay."""
+class _Kept(dict):
+    """Ids by text. What the generation before knew comes back when it is met again, so frequent texts stay."""
 
-    def __init__(self, codec: Codec, before: str):
-        self.codec, self.before = codec, before
+    def __init__(self, work: Callable[[str], bytes]):
+        self.work = work
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, run: str) -> bytes:
-        ids = self.older.get(run)
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
         if ids is None:
-            if run.isascii() and run.isalpha():  # one piece
-                ids = self.codec.encode_piece(self.before + run)
-            elif run[-1:] in MARKS and run[:-1].isascii() and run[:-1].isalpha():  # two pieces
-                return self[run[:-1]] + self.codec.mark[run[-1]]
-            else:
-                ids = self.codec.encode_pieces(self.before + run)
-        if len(run) <= 64:
+            ids = self.work(text)
+        if len(text) <= 64:
             if len(self) >= MAX_WORDS:
                 self.older = dict(self)
                 self.clear()
-            self[run] = ids
+            self[text] = ids
         return ids
 
 
@@ -255,12 +279,23 @@ class Codec:
         self.transducer = MergeTransducer(ranks)
         self.split = regex.compile(pattern).findall
         self.token = self.transducer.token
-        self.spaced = _Words(self, " ")
-        self.mark = {mark: self.encode_pieces(mark) for mark in MARKS}
+        self.pieces = _Kept(self.encode_piece)
+        self.spaced = _Kept(self.encode_run)
+        self.mark = {mark: self.encode_piece(mark) for mark in MARKS}
 
     def encode_pieces(self, text: str) -> bytes:
         """Ids of a text, piece by piece."""
-        return b"".join(map(self.encode_piece, self.split(text)))
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def encode_run(self, run: str) -> bytes:
+        """Ids of a run without a space, with the space before it."""
+        if LATIN(run):  # one piece
+            return self.encode_piece(" " + run)
+        if run[-1:] in MARKS and LATIN(run, 0, len(run) - 1):  # two pieces
+            return self.spaced[run[:-1]] + self.mark[run[-1]]
+        first, *others = self.split(" " + run) or [""]
+        ids = self.spaced[first[1:]] if first[:1] == " " and LATIN(first, 1) else self.pieces[first]
+        return ids + b"".join(map(self.pieces.__getitem__, others))
 
     def encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")
@@ -325,6 +360,28 @@ def encode_column(df: DataFrame, rank_file: str, pattern: str, text: str = "text
     return add_columns(df, [text], {into: ("binary", pa.binary())}, work)
 
 
+def encode_checked(
+    df: DataFrame, rank_file: str, pattern: str, text: str = "text", into: str = "token_ids", back: str = "comes_back"
+) -> DataFrame:
+    """``encode_column``, and ``back``: whether the ids, decoded again, give the text's bytes. The text itself goes."""
+    make = codec_maker(df, rank_file, pattern)
+
+    def work() -> Callable:
+        codec = make()
+
+        def one(value: str | None) -> tuple[bytes, bool]:
+            ids, at = codec.encode(value), 0
+            for step in codec.decode(ids):
+                if not (value or "").startswith(step, at):
+                    return ids, False
+                at += len(step)
+            return ids, at == len(value or "")
+
+        return lambda values: list(zip(*map(one, texts_of(values))))
+
+    return add_columns(df, [text], {into: ("binary", pa.binary()), back: ("boolean", pa.bool_())}, work, drops=(text,))
+
+
 def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode each text, decode the ids again, and give digests of both:
     (id, n_tokens, ids_sha256, decoded_sha256). A null text counts as empty."""
