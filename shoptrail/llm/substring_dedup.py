@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterable
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from shoptrail.llm.common import add_columns, cut_lineage, free_name, texts_of
 
@@ -38,6 +39,8 @@ MAX_UNIT_WORDS = 2 * MIN_RUN_WORDS
 REACH = 4
 #: A digest with so many occurrences is looked up without a shuffle; there are no more such digests than that.
 HOT, MOST_HOT = 100_000, 10_000
+#: Stands for an id that is null or no number, which comes after all others.
+LAST = (1 << 63) - 1
 #: Seeds of the digests: lines meet lines only, sentences meet sentences and lines of one sentence.
 SENTENCE, LINE = 0, 1
 
@@ -217,16 +220,17 @@ def _rewrite(min_words: int) -> Callable[[], Callable]:
     return lambda: run
 
 
-def _repeats(hashed: DataFrame) -> DataFrame:
-    """(id, none, hash, places): the spans of each document that an earlier place has.
+def _repeats(hashed: DataFrame, key: list[str]) -> DataFrame:
+    """(key, places): the spans of each document that an earlier place has.
 
-    ``hashed`` is (id, none, hash, digests, n_units). Digests that occur ``HOT`` times and more, at most ``MOST_HOT`` of
+    ``hashed`` is (key, digests, n_units). Digests that occur ``HOT`` times and more, at most ``MOST_HOT`` of
     them, are looked up where they are; so a line of a third of all documents is moved to no single task.
     """
     last = (F.length("digests") / 16).cast("int") - 1
     spot = F.posexplode(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring("digests", i * 16 + 1, F.lit(16))))
-    rows = hashed.where(F.length("digests") > 0).select("id", "none", "hash", spot.alias("place", "d"))
-    order = F.struct("none", F.coalesce(F.expr("try_cast(id AS bigint)"), F.lit(1 << 62)), "id", "hash", "place")
+    rows = hashed.where(F.length("digests") > 0).select(*key, spot.alias("place", "d"))
+    number = [F.coalesce(F.expr("try_cast(id AS bigint)"), F.lit(LAST))] if "none" in key else []
+    order = F.struct(*[x for name in key for x in ([*number, F.col(name)] if name == "id" else [F.col(name)])], "place")
     first = cut_lineage(rows.groupBy("d").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1"))
     total = first.agg(F.sum("n")).first()[0] or 0
     most = max(HOT, total // MOST_HOT)
@@ -234,7 +238,7 @@ def _repeats(hashed: DataFrame) -> DataFrame:
     met = rows.join(cold, "d")
     if hot.limit(1).count():
         met = met.unionByName(rows.join(F.broadcast(hot), "d"))
-    return met.where(order != F.col("first")).groupBy("id", "none", "hash").agg(F.collect_set("place").alias("places"))
+    return met.where(order != F.col("first")).groupBy(*key).agg(F.collect_set("place").alias("places"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_RUN_WORDS) -> DataFrame:
@@ -251,15 +255,16 @@ def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     meet their repeats.
     """
     kept = docs.drop("n_units", "n_removed", "removed")
-    names = {name: free_name(kept, name) for name in ("id", "none", "hash", "places")}
-    key = {
-        "id": F.coalesce(F.col(id_column).cast("string"), F.lit("")), "none": F.col(id_column).isNull(),
-        "hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-    }
+    digest_of = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    if isinstance(kept.schema[id_column].dataType, IntegralType):
+        key = {"id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(LAST)), "hash": digest_of}
+    else:
+        key = {"none": F.col(id_column).isNull(), "id": F.coalesce(F.col(id_column).cast("string"), F.lit("")), "hash": digest_of}
+    names = {name: free_name(kept, name) for name in ("none", "id", "hash", "places")}
     narrow = kept.select(*[expr.alias(name) for name, expr in key.items()], F.col(text).alias("text"))
     adds = {"digests": ("binary", pa.binary()), "n_units": ("bigint", pa.int64())}
     hashed = cut_lineage(add_columns(narrow, ["text"], adds, _digests, drops=("text",)))
-    of_each = hashed.groupBy(*key).agg(F.first("n_units").alias("n_units")).join(_repeats(hashed), list(key), "left")
+    of_each = hashed.groupBy(*key).agg(F.first("n_units").alias("n_units")).join(_repeats(hashed, list(key)), list(key), "left")
     of_each = of_each.withColumnsRenamed(names)
     joined = kept.select("*", *[expr.alias(names[name]) for name, expr in key.items()]).join(of_each, [names[name] for name in key])
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
