@@ -18,7 +18,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from all labelled documents of its input."""
+    """Documents that the classifier accepts. It learns from the labelled documents of its input, at most
+    ``quality_model.DOCUMENTS_PER_LABEL`` rows of each label, whole, and scores all documents."""
     model = quality_model.learn(docs, table(spark, sf_dir, "labels"))
     return quality_model.score(docs, model).where("predicted = 1").select(*COLUMNS)
 
@@ -45,9 +46,11 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, source, n_tokens, token_ids), ids as little-endian unsigned 32-bit integers."""
-    encoded = bpe.encode_column(docs.select("doc_id", "source", "text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    return encoded.select("doc_id", "source", (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"), "token_ids")
+    """(doc_id, source, n_tokens, token_ids, comes_back): ids as little-endian unsigned 32-bit integers, decoded again;
+    ``comes_back`` says that they give the text's very bytes."""
+    encoded = bpe.encode_checked(docs.select("doc_id", "source", "text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    n_tokens = (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens")
+    return encoded.select("doc_id", "source", n_tokens, "token_ids", "comes_back")
 
 
 STAGES = [
