@@ -291,7 +291,8 @@ def test_neighbours(spark):
 
 def test_pipeline_on_given_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert rows.columns == ["doc_id", "source", "n_tokens", "token_ids"] and rows.count() > 50
+    assert rows.columns == ["doc_id", "source", "n_tokens", "token_ids", "comes_back"] and rows.count() > 50
+    assert rows.where("not comes_back").count() == 0
 
 
 def test_words_are_scored_together_as_alone():
