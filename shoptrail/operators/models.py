@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from shoptrail import schemas as S
+from shoptrail.sources.warehouse import replace_tables
 
 
 def staging(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -19,19 +20,18 @@ def marts(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def materialise(models: dict[str, DataFrame], kind: str, schema: str | None = None) -> list[str]:
-    """Publish models as temporary views or as tables; a schema name is used just as given."""
-    names = []
-    for name, df in models.items():
-        if kind == "view":
+    """Publish models as temporary views or as tables; a schema name is used just as given, and its tables are replaced
+    together."""
+    if kind == "view":
+        for name, df in models.items():
             df.createOrReplaceTempView(name)
-            names.append(name)
-        elif kind == "table":
-            spark = df.sparkSession
-            if schema:
-                spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-            full = f"{schema}.{name}" if schema else name
-            df.write.mode("overwrite").saveAsTable(full)
-            names.append(full)
-        else:
-            raise ValueError("kind must be 'view' or 'table'")
-    return names
+        return list(models)
+    if kind != "table":
+        raise ValueError("kind must be 'view' or 'table'")
+    if schema:
+        spark = next(iter(models.values())).sparkSession
+        replace_tables(spark, models, schema, checked=False)
+        return [f"{schema}.{name}" for name in models]
+    for name, df in models.items():
+        df.write.mode("overwrite").saveAsTable(name)
+    return list(models)

@@ -68,6 +68,19 @@ def sized_shuffles(*inputs: DataFrame) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Some of the session's settings while a job runs, then what they were."""
+    before = {name: spark.conf.get(name) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate for a plan, None where the session does not expose it."""
     plan = getattr(df, "_jdf", None)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoptrail import schemas as S
 from shoptrail.operators.report import row_counts
+from shoptrail.sources.warehouse import replace_tables
 
 
 def typed(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -33,14 +34,8 @@ def typed(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def load(spark: SparkSession, root: str, schema: str = "staging") -> dict[str, DataFrame]:
-    """Replace all warehouse tables with what is published under ``root``."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    loaded = {}
-    for name in S.GOLD:
-        table = f"{schema}.{name}"
-        typed(spark, root, name).write.mode("overwrite").saveAsTable(table)
-        loaded[name] = spark.table(table)
-    return loaded
+    """Replace all warehouse tables with what is published under ``root``: all of them, or none if one does not load."""
+    return replace_tables(spark, {name: typed(spark, root, name) for name in S.GOLD}, schema)
 
 
 def verify_load(spark: SparkSession, schema: str = "staging") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoptrail import schemas as S
+from shoptrail.session import cut_lineage, settings
 from shoptrail.sources.layers import read_layer, write_layer
 
 
@@ -33,8 +34,9 @@ def check_source(root: str) -> str:
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """(path, table_name, bytes) of publishable files under a curated root.
 
-    Lists Parquet and JSON only. Spark's listing leaves out names that start with a dot or an
-    underscore. Contents are not read.
+    Lists Parquet and JSON only. Spark's listing, itself a job where there are many folders, leaves out names that
+    start with a dot or an underscore. Contents are not read, so splits of files have no use: tasks are dealt by numbers of
+    files, and the list is set down once.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
@@ -44,7 +46,32 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
             raise FileNotFoundError(f"no curated layer at {root}") from error
         raise
     table = F.regexp_extract("path", rf"/{S.CURATED_PREFIX}/([^/]+)", 1)
-    return files.select("path", table.alias("table_name"), F.col("length").alias("bytes"))
+    listed = files.select("path", table.alias("table_name"), F.col("length").alias("bytes"))
+    whole = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 40)}
+    with settings(spark, whole):
+        return cut_lineage(listed)
+
+
+def inventory_rows(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, row_count): rows in the listed Parquet files of each table, and 0 for documents."""
+    files = inventory(spark, root).withColumn("file", F.col("path"))
+    tables = [row["table_name"] for row in files.where(F.col("path").endswith(".parquet")).select("table_name").distinct().collect()]
+    counts = None
+    for name in sorted(tables):  # the curated layer's tables, a handful
+        rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(f"{root.rstrip('/')}/{name}")
+        part = rows.groupBy(_bare("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+        counts = part if counts is None else counts.unionByName(part)
+    listed = files.withColumn("file", _bare("path"))
+    if counts is not None:
+        listed = listed.join(counts, "file", "left")
+    else:
+        listed = listed.withColumn("n", F.lit(None).cast("bigint"))
+    return listed.groupBy("table_name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
+
+
+def _bare(path: str):
+    """A path without scheme, as listings and scans write it differently."""
+    return F.regexp_replace(F.regexp_replace(path, "^[a-z0-9]+:/*", "/"), "%20", " ")
 
 
 def inventory_totals(files: DataFrame) -> DataFrame:
