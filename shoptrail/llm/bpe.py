@@ -33,10 +33,10 @@ from shoptrail.llm.common import add_columns, free_name, texts_of
 
 #: Tables only save time, so they are bounded: moves, answers about neighbours, states whose inner side is at hand, and words
 #: of each of two generations. A full table of moves stays until as many moves were missing as it may hold.
-MAX_MOVES = 300_000
+MAX_MOVES = 250_000
 MAX_FITS = 200_000
 MAX_PATHS = 20_000
-MAX_WORDS = 150_000
+MAX_WORDS = 250_000
 #: A move is one number: the next state, and behind it which tokens are given out.
 _GIVEN_BITS = 24
 _GIVEN = (1 << _GIVEN_BITS) - 1
@@ -272,6 +272,24 @@ class _Kept(dict):
         return ids
 
 
+class _Runs(_Kept):
+    """Ids of runs without a space, with the space before them. Runs that are words with a mark or a line break behind
+    them are put together from their pieces and not kept: their number has no bound worth its memory."""
+
+    def __init__(self, codec: Codec):
+        super().__init__(codec.encode_run)
+        self.codec = codec
+
+    def __missing__(self, run: str) -> bytes:
+        if run[-1:] in MARKS and LATIN(run, 0, len(run) - 1):
+            return self[run[:-1]] + self.codec.mark[run[-1]]
+        if "\n" in run:
+            first, *others = self.codec.split(" " + run)
+            ids = self[first[1:]] if first[:1] == " " and LATIN(first, 1) else self.codec.pieces[first]
+            return ids + b"".join(map(self.codec.pieces.__getitem__, others))
+        return super().__missing__(run)
+
+
 class Codec:
     """Encoder and decoder of whole texts."""
 
@@ -280,7 +298,7 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.token = self.transducer.token
         self.pieces = _Kept(self.encode_piece)
-        self.spaced = _Kept(self.encode_run)
+        self.spaced = _Runs(self)
         self.mark = {mark: self.encode_piece(mark) for mark in MARKS}
 
     def encode_pieces(self, text: str) -> bytes:
@@ -289,13 +307,7 @@ class Codec:
 
     def encode_run(self, run: str) -> bytes:
         """Ids of a run without a space, with the space before it."""
-        if LATIN(run):  # one piece
-            return self.encode_piece(" " + run)
-        if run[-1:] in MARKS and LATIN(run, 0, len(run) - 1):  # two pieces
-            return self.spaced[run[:-1]] + self.mark[run[-1]]
-        first, *others = self.split(" " + run) or [""]
-        ids = self.spaced[first[1:]] if first[:1] == " " and LATIN(first, 1) else self.pieces[first]
-        return ids + b"".join(map(self.pieces.__getitem__, others))
+        return self.encode_piece(" " + run) if LATIN(run) else self.encode_pieces(" " + run)
 
     def encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")
