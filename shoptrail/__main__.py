@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,7 +48,8 @@ def parser() -> argparse.ArgumentParser:
         added.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
 
     sample = job("sample", "draw a fixed-size sample from source CSV files", lake=False)
-    sample.add_argument("--input", required=True)
+    sample.add_argument("--input", help=f"a CSV file; without it the source in {csv_events.SOURCE_FOLDER}")
+    sample.add_argument("--source-folder", default=csv_events.SOURCE_FOLDER, help="where the source lies without --input")
     sample.add_argument("--folder", action="store_true", help="input is a folder of CSV files")
     sample.add_argument("--limit", type=_positive, required=True)
     sample.add_argument("--seed", type=int, default=42)
@@ -93,6 +95,13 @@ def parser() -> argparse.ArgumentParser:
     jobs.choices["verify"].add_argument("--gold-only", action="store_true")
     jobs.choices["verify"].add_argument("--skip-bronze", action="store_true")
 
+    gated = job("quality-gate", "the release gate: structure, presence, drift, sample and all suites in one report")
+    gated.add_argument("--sample", help="the sampled CSV to check as well")
+    gated.add_argument("--rows", type=_positive, default=1_000_000, help="rows that the sample should have")
+    gated.add_argument("--min-rows", type=int, default=1_000_000, help="rows that bronze and silver should have at least")
+    gated.add_argument("--milestones", help="JSON file: metric to [value, tolerance], in place of the known numbers")
+    gated.add_argument("--skip-suites", action="store_true", help="take the status of the last verify")
+
     out = job("publish", "copy the curated layer")
     out.add_argument("--target", required=True)
     out.add_argument("--prefix", default=S.CURATED_PREFIX)
@@ -111,7 +120,10 @@ def _stream(spark: SparkSession, args) -> DataFrame:
 
 
 def _sample(spark: SparkSession, args) -> int:
-    source = csv_events.read_csv_events(spark, args.input, folder=args.folder)
+    if args.input:
+        source = csv_events.read_csv_events(spark, args.input, folder=args.folder)
+    else:
+        source = csv_events.read_default_source(spark, args.source_folder)
     drawn = fixed_size_sample(source, args.limit, args.seed)
     csv_events.write_csv_events(stamp_event_ids(drawn.rows, args.seed), args.output)
     print(f"scanned {drawn.scanned:,} rows, wrote {min(drawn.scanned, args.limit):,} to {args.output}")
@@ -138,11 +150,23 @@ def _replay(spark: SparkSession, args) -> int:
     return 0
 
 
-def _show(checks: DataFrame) -> int:
+def _gate(spark: SparkSession, args, lake: Lake) -> int:
+    sample = csv_events.read_csv_events(spark, args.sample, S.SAMPLE_CSV) if args.sample else None
+    expected = S.MILESTONES
+    if args.milestones:
+        with open(args.milestones, encoding="utf-8") as file:
+            expected = {name: tuple(pair) for name, pair in json.load(file).items()}
+    report = medallion.quality_gate(spark, lake, sample, args.rows, args.min_rows, expected, args.skip_suites)
+    failed = _show(report, "section")
+    print("PASSED" if not failed else "FAILED")
+    return failed
+
+
+def _show(checks: DataFrame, group: str = "suite") -> int:
     """Print checks (a bounded report) and return the exit code."""
     rows = checks.collect()
     for row in rows:
-        print(f"[{row.status}] {row.suite}.{row.check}: {row.violations}")
+        print(f"[{row.status}] {row[group]}.{row.check}: {row.violations}")
     return int(any(row.status == "FAIL" for row in rows))
 
 
@@ -181,6 +205,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         status = medallion.verify(spark, lake, **scope, **minimums)
         print(status)
         return int(status != "PASS")
+    if args.job == "quality-gate":
+        return _gate(spark, args, lake)
     if args.job == "publish":
         print(publish.publish(spark, lake.gold, args.target, args.prefix, args.dry_run))
         return 0

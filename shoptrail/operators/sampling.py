@@ -161,7 +161,8 @@ def first_rows(df: DataFrame, n: int, position: str) -> DataFrame:
     low, high, before, inside = edge["low"], edge["high"], 0, edge["n"]
     while inside > _RANKED_ROWS and low < high:
         width = -(-(high - low + 1) // _HISTOGRAM_PARTS)
-        part = F.floor((key.cast("decimal(38,0)") - F.lit(low)) / F.lit(width)).cast("bigint")
+        # Whole-number division of decimals: exact, and no difference of two numbers is too large.
+        part = F.expr(f"(CAST(`{position}` AS DECIMAL(38, 0)) - ({low}BD)) DIV ({width}BD)")
         sizes = df.where(key.between(low, high)).groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
         for row in sorted(sizes, key=lambda r: r["part"]):
             if before + row["n"] >= n:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from shoptrail import schemas as S
@@ -12,7 +12,8 @@ from shoptrail.operators import carts, funnel, models, products, purchases, refi
 from shoptrail.plans import incremental
 from shoptrail.plans.key_days import KeyDays
 from shoptrail.plans.product_state import ProductState
-from shoptrail.quality import gate
+from shoptrail.quality import gate, suites
+from shoptrail.quality.checks import union_all
 from shoptrail.quality.column_tests import column_tests
 from shoptrail.session import sized_shuffles
 from shoptrail.sources import load, publish
@@ -232,6 +233,57 @@ def verify(spark: SparkSession, lake: Lake, gold_only: bool = False, **options)
         return gate.write_summary(gate.validate(tables, gold_only=gold_only, **options), lake.summary)
 
 
+def _section(name: str, checks: DataFrame, check: str = "check") -> DataFrame:
+    """Checks of one part of the gate: (section, check, violations, status)."""
+    return checks.select(F.lit(name).alias("section"), F.col(check).alias("check"), F.col("violations").cast("bigint").alias("violations"), "status")
+
+
+def quality_gate(
+    spark: SparkSession, lake: Lake, sample: DataFrame | None = None, sample_rows: int = 1_000_000, min_rows: int = 1_000_000,
+    expected: dict[str, tuple[float, float]] = S.MILESTONES, reuse_summary: bool = False,
+) -> DataFrame:
+    """The release gate in one report: (section, check, violations, status).
+
+    Sections: the sampled file (if given), structure of bronze and of silver, presence of the curated tables, drift against
+    known-good numbers, and all suites. A layer that is not there fails its section. With ``reuse_summary`` the suites are not
+    run again: the status that the last ``verify`` wrote counts, and none counts as failed.
+    """
+    def missing(section: str, what: str) -> DataFrame:
+        return spark.createDataFrame([(section, what, 1, gate.FAIL)], "section string, check string, violations bigint, status string")
+
+    have = {name: path_exists(spark, path) for name, path in (("bronze", lake.bronze), ("silver", lake.silver), ("gold", lake.gold))}
+    parts = []
+    if sample is not None:
+        parts.append(_section("sample", suites.sample_file(sample, sample_rows)))
+    bronze = read_bronze(spark, lake) if have["bronze"] else None
+    if bronze is None:
+        parts.append(missing("bronze_structure", "present"))
+    else:
+        rejected = read_quarantine(spark, lake) if path_exists(spark, lake.quarantine) else None
+        parts.append(_section("bronze_structure", gate.bronze_structure(bronze, min_rows, rejected)))
+    if bronze is None or not have["silver"]:
+        parts.append(missing("silver_structure", "present"))
+    else:
+        parts.append(_section("silver_structure", gate.silver_structure(read_layer(spark, lake.silver, S.SILVER), bronze, min_rows)))
+    presence = gate.gold_presence(spark, lake.gold).withColumn("violations", (F.col("status") == gate.FAIL).cast("bigint"))
+    parts.append(_section("gold_presence", presence, "table_name"))
+    whole = all(have.values()) and all(path_exists(spark, lake.gold_table(name)) for name in S.GOLD)
+    if whole:
+        tables = read_tables(spark, lake)
+        drift = gate.milestones(tables, expected).withColumn("violations", (F.col("status") != "ok").cast("bigint"))
+        parts.append(_section("milestones", drift.withColumn("status", F.when(F.col("violations") > 0, gate.FAIL).otherwise(gate.PASS)), "metric"))
+    if reuse_summary:
+        status = spark.read.schema("overall_status string").json(lake.summary).first() if path_exists(spark, lake.summary) else None
+        sound = status is not None and status["overall_status"] == gate.PASS
+        parts.append(missing("suites", "summary").select("section", "check", F.lit(int(not sound)).cast("bigint").alias("violations"), F.lit(gate.PASS if sound else gate.FAIL).alias("status")))
+    elif whole:
+        found = gate.validate(tables)
+        parts.append(found.select(F.concat(F.lit("suite_"), "suite").alias("section"), "check", "violations", "status"))
+    else:
+        parts.append(missing("suites", "layers"))
+    return union_all(parts)
+
+
 @dataclass(frozen=True)
 class Served:
     published: dict[str, int]

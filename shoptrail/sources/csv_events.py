@@ -8,6 +8,10 @@ from pyspark.sql.types import StructType
 
 from shoptrail.schemas import SOURCE_CSV
 
+#: Where the source lies by convention, and its files, the first month also in the folder above.
+SOURCE_FOLDER = "data/raw/source"
+SOURCE_MONTHS = ("2019-Oct", "2019-Nov", "2019-Dec", "2020-Jan")
+
 
 def require_columns(present: list[str], expected: list[str]) -> None:
     missing = [name for name in expected if name not in present]
@@ -46,6 +50,21 @@ def read_first_available(spark: SparkSession, candidates: list[str]) -> DataFram
     raise FileNotFoundError(f"none of the source files exists: {', '.join(candidates)}")
 
 
+def read_default_source(spark: SparkSession, folder: str = SOURCE_FOLDER) -> DataFrame:
+    """The source where it is by convention: the first of the known files (plain before gzip), else all CSV files of the
+    folder."""
+    folder = folder.rstrip("/")
+    first, *later = SOURCE_MONTHS
+    places = [f"{folder}/{first}", f"{folder.rpartition('/')[0]}/{first}", *(f"{folder}/{month}" for month in later)]
+    try:
+        return read_first_available(spark, [f"{place}.{kind}" for place in places for kind in ("csv", "csv.gz")])
+    except FileNotFoundError:
+        try:
+            return read_csv_events(spark, folder, folder=True)
+        except (AnalysisException, ValueError) as error:
+            raise FileNotFoundError(f"no source CSV in {folder}: expected one of {', '.join(SOURCE_MONTHS)} or other CSV files") from error
+
+
 def write_csv_events(rows: DataFrame, path: str, gzip: bool = False) -> None:
     """Write rows as CSV with a header; spaces and empty fields stay as they are."""
     options = {

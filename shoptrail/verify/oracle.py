@@ -425,3 +425,39 @@ def all_suites() -> str:
     layers = " ".join(layers for layers, _, _ in SUITES.values())
     selects = [check_select(name, checks, warn) for name, (_, checks, warn) in SUITES.items()]
     return over(layers, " UNION ALL ".join(selects))
+
+
+# --- Suites over tables with planted faults ---------------------------------------------------------
+
+#: Fault by fault what is changed, by the number at the end of an event id; SQL that Spark and DuckDB read alike.
+FAULTY = {
+    "silver": (
+        "SELECT event_id, event_ts, event_date, event_type, CASE WHEN n % 41 = 0 THEN NULL ELSE product_id END AS product_id, "
+        "category_id, category_code, brand, CASE WHEN n % 43 = 0 THEN -1.5 ELSE price END AS price, "
+        "CASE WHEN n % 47 = 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN n % 53 = 0 THEN '  ' ELSE user_session END AS user_session "
+        "FROM {numbered} UNION ALL SELECT event_id, event_ts, event_date, 'unknown' AS event_type, product_id, category_id, category_code, "
+        "brand, price, user_id, user_session FROM {numbered} WHERE n % 37 = 0"
+    ),
+    "fct_sessions": (
+        "SELECT CASE WHEN event_count % 3 = 0 THEN ' ' ELSE session_id END AS session_id, user_id, session_date, session_start_ts, "
+        "session_end_ts, CASE WHEN view_count = 2 THEN -1 ELSE session_duration_seconds END AS session_duration_seconds, event_count, "
+        "view_count + CASE WHEN cart_count = 2 THEN 1 ELSE 0 END AS view_count, cart_count, remove_from_cart_count, purchase_count, "
+        "distinct_products_viewed, distinct_products_purchased, session_revenue, "
+        "CASE WHEN purchase_count = 2 THEN false ELSE converted END AS converted FROM {table}"
+    ),
+    "fct_purchases": (
+        "SELECT CASE WHEN product_id % 5 = 0 THEN '' ELSE purchase_id END AS purchase_id, purchase_ts, purchase_date, session_id, user_id, "
+        "CASE WHEN product_id % 7 = 0 THEN NULL ELSE product_id END AS product_id, category_id, category_code, brand, "
+        "CASE WHEN product_id % 3 = 0 THEN -purchase_amount ELSE purchase_amount END AS purchase_amount, event_seq_in_session, "
+        "seconds_from_session_start FROM {table}"
+    ),
+}
+
+
+def faulty(name: str) -> str:
+    """A suite's checks over its table with planted faults."""
+    layers, checks, warn = SUITES[name]
+    numbered = f"(SELECT *, CAST(substr(event_id, 8) AS BIGINT) AS n FROM {name}) numbered"
+    planted = f"({FAULTY[name].format(numbered=numbered, table=name)}) {name}"
+    moved = {check: sql.replace(f"FROM {name}", f"FROM {planted}") for check, sql in checks.items()}
+    return over(layers, check_select(name, moved, warn))

@@ -21,7 +21,7 @@ def test_contract():
     assert set(contract.oracle_sql()) <= set(contract.queries())
     own = set(registry.REGISTRY)
     assert own <= set(contract.queries())
-    assert own - set(contract.oracle_sql()) == {"gold_inventory"}
+    assert own - set(contract.oracle_sql()) == set()
 
 
 def test_entry(spark):
