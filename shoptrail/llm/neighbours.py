@@ -16,19 +16,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoptrail.llm.common import cut_lineage
 
-#: Neighbours kept per node, as many reverse ones taken into a local join, and rounds at most.
+#: Neighbours kept per node, and as many reverse ones taken into a local join.
 NEIGHBOURS = 32
 REVERSE = 32
-ROUNDS = 3
 #: Building ends when a round changes less than this share of all entries.
-LEAST_CHANGE = 0.01
+LEAST_CHANGE = 0.02
 #: Random divisions of space whose cells start the graph, and nodes that a cell's task compares at most.
 ORDERS = 10
 CELL = 3_000
-#: Nodes a query keeps in view, nodes whose neighbours it looks at in one step, and steps at most.
+#: Nodes a query keeps in view, and nodes whose neighbours it looks at in one step.
 BEAM = 64
 EXPAND = 16
-STEPS = 8
 
 
 def _parts(vector: str) -> Column:
@@ -36,12 +34,12 @@ def _parts(vector: str) -> Column:
     return F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0).cast("double"))
 
 
-def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding", ids: int = 6) -> DataFrame:
     """(node, ids, v): distinct vectors that are neither null, zero nor hold null or non-finite parts,
     divided by their length, in double precision.
 
-    Equal vectors are one node, named by their smallest id. Only the six smallest ids of a node can be among
-    five nearest besides the query, so ``ids`` holds those; others are exact copies of them with larger
+    Equal vectors are one node, named by their smallest id. Only the k + 1 smallest ids of a node can be among
+    the k nearest besides the query, so ``ids`` are kept; others are exact copies of them with larger
     ids. The limit is applied before the shuffle too, so a vector of a third of all rows stays harmless.
     """
     parts = _parts(vector)
@@ -57,7 +55,7 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     )
     key = F.unhex(F.md5(F.array_join(F.transform("raw", lambda x: x.cast("string")), ",")))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    few = clean.withColumn("key", key).withColumn("rank", rank).where("rank <= 6")
+    few = clean.withColumn("key", key).withColumn("rank", rank).where(F.col("rank") <= ids)
     return few.groupBy("key").agg(F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("ids"), F.first("raw").alias("v")).drop("key")
 
 
@@ -153,7 +151,7 @@ def _top(edges: DataFrame, node: str, by: list[Column], k: int) -> DataFrame:
     return edges.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
-def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
+def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, seed: int = 5) -> DataFrame:
     """(node, other, near): the ``k`` nearest others of each node, as far as descent has found them.
 
     ``nodes`` is (node, v) with unit vectors of floats. A round joins each node with its forward neighbours
@@ -166,7 +164,7 @@ def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, see
     best_first = [F.desc("near"), F.col("other")]
     start = _start(nodes, total, k, seed).groupBy("node", "other").agg(F.max("near").alias("near"))
     graph = cut_lineage(_top(start, "node", best_first, k).withColumn("new", F.lit(True)))
-    for _ in range(rounds):
+    while True:
         back = graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "near", "new")
         back = _top(back, "node", best_first, REVERSE)
         around = graph.unionByName(back).groupBy("node", "other").agg(F.max("new").alias("new"))
@@ -186,12 +184,12 @@ def build_graph(nodes: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS, see
         both = found.unionByName(old).groupBy("node", "other").agg(F.max("near").alias("near"), F.min("new").alias("new"))
         graph = cut_lineage(_top(both, "node", best_first, k))
         changed = graph.agg(F.count_if("new"), F.count("*")).first()
-        if changed[0] < LEAST_CHANGE * changed[1]:
-            break
-    return graph.select("node", "other", "near")
+        # Entries only get better, so changes end; with fewer than LEAST_CHANGE of them another round gains little.
+        if changed[0] <= LEAST_CHANGE * changed[1]:
+            return graph.select("node", "other", "near")
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
     """(query, node, near): the ``beam`` nearest nodes that a greedy walk from the query's own node finds.
 
     ``queries`` is (query, v, node); each step looks at the neighbours, forward and reverse, of the best nodes
@@ -203,7 +201,7 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
     dot = F.aggregate(F.zip_with("q", "w", lambda a, b: a * b), F.lit(0.0).cast("double"), lambda a, x: a + x)
     asked = queries.select("query", F.col("v").alias("q"))
     view = cut_lineage(queries.select("query", "node", F.lit(1.0).cast("double").alias("near"), F.lit(False).alias("seen")))
-    for _ in range(steps):
+    while True:
         ahead = _top(view.where("not seen"), "query", [F.desc("near"), F.col("node")], EXPAND)
         fresh = (
             ahead.select("query", "node").join(links, "node").select("query", F.col("other").alias("node")).distinct()
@@ -214,9 +212,8 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, beam: int = B
             "query", "node", "near", (F.col("seen") | F.coalesce("now", F.lit(False))).alias("seen")
         )
         view = cut_lineage(_top(marked.unionByName(scored), "query", [F.desc("near"), F.col("node")], beam))
-        if view.where("not seen").limit(1).count() == 0:
-            break
-    return view.select("query", "node", "near")
+        if view.where("not seen").isEmpty():
+            return view.select("query", "node", "near")
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -226,7 +223,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     Rows whose id is null, or whose vector is null, empty, zero or not finite, take no part. Of rows that
     repeat an id and vector each is a candidate of its own. Scores are computed on the original vectors.
     """
-    nodes = cut_lineage(usable(vectors, id_column, vector))
+    nodes = cut_lineage(usable(vectors, id_column, vector, k + 1))
     unit = F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0).cast("double"), lambda a, y: a + y * y)))
     normal = cut_lineage(nodes.select("node", unit.alias("v")))
     graph = build_graph(normal.select("node", F.col("v").cast("array<float>").alias("v")))
