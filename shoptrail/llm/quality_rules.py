@@ -1,9 +1,9 @@
 """Quality rules with risk-controlled thresholds. Built-in expressions only.
 
 A base rule rejects short and repetitive texts. Further rules compare a measure of the text with a
-cutoff that labelled holdouts certify: among documents labelled good, the share that the rule rejects
-is at most ``RISK`` in each stratum, with an exact binomial bound at an error level that is split over
-all (stratum, rule, cutoff) tests made.
+cutoff that labelled holdouts certify: among documents labelled good, the share that all rules together reject
+is at most ``RISK`` in each stratum. Each rule has an equal part of that share, and an exact binomial bound at an error
+level that is split over all (stratum, rule, cutoff) tests made.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ STRATA = (0, 100, 300, 1_000, 4_000)
 #: Measures, all shares from 0 to 1; a rule rejects what is above its cutoff.
 RULES = ("symbol_share", "dup_line_share", "repeat_share", "upper_share", "exclaim_share")
 CUTOFFS = tuple(i / 40 for i in range(1, 40))
-#: Highest share of good documents that one rule may reject in a stratum, and error level of all tests.
+#: Highest share of good documents that all rules together may reject in a stratum, and error level of all tests.
 RISK = 0.01
 ERROR = 0.05
 
@@ -122,8 +122,9 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, id_column: str = "
     """(stratum, rule, cutoff): of the certified cutoffs the one that tells bad from good best.
 
     Good documents above a cutoff are counted over all labelled ones that pass the base rule. A cutoff
-    is certified if so few of n good documents exceed it that a true share above ``risk`` has at most
-    the probability ``error`` / tests (Bonferroni). Of the certified ones the largest difference between
+    is certified if so few of n good documents exceed it that a true share above ``risk`` / rules has at most
+    the probability ``error`` / tests (Bonferroni). Documents that any of the rules rejects are no more than those that
+    each rejects, so ``risk`` holds for the verdict. Of the certified ones the largest difference between
     bad and good shares wins, then the higher cutoff; rules that reject no more bad than good ones are
     left out. At most 5 x 5 rows. Labels that are null, or whose document is absent, do not count; of
     several labels for an id, the lowest counts.
@@ -145,10 +146,11 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, id_column: str = "
         F.coalesce(F.sum(F.when(F.col("above") >= F.col("step"), F.col("bad"))), F.lit(0)).alias("k_bad"),
     )
     tests = len(STRATA) * len(RULES) * len(CUTOFFS)
+    each = risk / len(RULES)
     gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - F.col("k_good") / F.greatest("n_good", F.lit(1))
     # Above the expected share nothing can be certified, so the sum has few terms.
-    safe = both.where(F.col("k_good") <= F.lit(risk) * F.col("n_good")).withColumn("gain", gain)
-    safe = safe.where((binomial_tail(F.col("k_good"), F.col("n_good"), risk) <= error / tests) & (F.col("gain") > 0))
+    safe = both.where(F.col("k_good") <= F.lit(each) * F.col("n_good")).withColumn("gain", gain)
+    safe = safe.where((binomial_tail(F.col("k_good"), F.col("n_good"), each) <= error / tests) & (F.col("gain") > 0))
     best = safe.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "step")).alias("best"))
     return best.select("stratum", "rule", (F.col("best.step") / 40).alias("cutoff"))
 
