@@ -10,7 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shoptrail.llm.common import cut_lineage, word_count
+from shoptrail.llm.common import cut_lineage, free_name, word_count
 
 WEIGHTS = (5, 2, 1)
 #: A source gives at most this many times its size.
@@ -134,21 +134,24 @@ def repeated(docs: DataFrame, seed: int = 42, text: str = "text", source: str =
     Documents without words (size 0) stay once. Texts are shuffled once, to meet their number of copies;
     rows that repeat id, source and text share the copies of all of them evenly.
     """
-    name = [F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("_id"), F.col(id_column).isNull().alias("_null")]
+    key = {name: free_name(docs, name) for name in ("id", "null", "hash", "source")}
+    total, rows_of, place, copy = (free_name(docs, name) for name in ("total", "rows", "place", "copy"))
+
+    def named(of: str, hashed: Column, source_of: Column) -> list[Column]:
+        found = (F.coalesce(F.col(of).cast("string"), F.lit("")), F.col(of).isNull(), hashed, source_of)
+        return [column.alias(name) for column, name in zip(found, key.values())]
+
+    chosen = _chosen(docs, seed, text, source, id_column)
     taken = (
-        _chosen(docs, seed, text, source, id_column)
-        .select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("id").isNull().alias("_null"),
-                F.col("text_hash").alias("_hash"), F.col("source_key").alias("_source"), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("n"))
-        .groupBy("_id", "_null", "_hash", "_source")
-        .agg(F.sum("n").alias("_sum"), F.count("*").alias("_rows"))
+        chosen.select(*named("id", F.col("text_hash"), F.col("source_key")), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("n"))
+        .groupBy(*key.values())
+        .agg(F.sum("n").alias(total), F.count("*").alias(rows_of))
     )
-    keyed = docs.select("*", *name, _text_hash(text).alias("_hash"), _source_key(source).alias("_source"))
-    met = keyed.join(taken, ["_id", "_null", "_hash", "_source"])
-    place = F.row_number().over(Window.partitionBy("_id", "_null", "_hash", "_source").orderBy(F.lit(0)))
-    share = F.expr("_sum DIV _rows").cast("int")
-    copies = share + (F.col("_place") <= F.col("_sum") % F.col("_rows")).cast("int")
-    opened = met.withColumn("_place", place).withColumn("_n", copies).where("_n > 0")
-    return opened.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    met = docs.select("*", *named(id_column, _text_hash(text), _source_key(source))).join(taken, list(key.values()))
+    number = F.row_number().over(Window.partitionBy(*key.values()).orderBy(F.lit(0)))
+    copies = F.expr(f"`{total}` DIV `{rows_of}`").cast("int") + (F.col(place) <= F.col(total) % F.col(rows_of)).cast("int")
+    opened = met.withColumn(place, number).withColumn(copy, copies).where(F.col(copy) > 0)
+    return opened.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)
 
 
 def _text_hash(text: str) -> Column:
