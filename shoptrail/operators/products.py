@@ -23,8 +23,22 @@ USER_STATE = (
 ATTRIBUTE_STATE = "product_id bigint, category_id bigint, category_code string, brand string, event_date date"
 
 
+#: Names a product in groups and joins: events without a product are a group of their own, and keys without NULL let both
+#: sides of the join keep the partitions they were grouped by.
+_KEY = ("_product", "_known")
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    known = F.col("product_id").isNotNull()
+    return rows.withColumns({"_product": F.coalesce("product_id", F.lit(0).cast("bigint")), "_known": known}).drop("product_id")
+
+
+def _product_id() -> Column:
+    return F.when(F.col("_known"), F.col("_product")).alias("product_id")
+
+
 def _per_user(events: DataFrame, *keys: str) -> DataFrame:
-    return events.groupBy(*keys, "product_id", "user_id").agg(
+    return _keyed(events).groupBy(*keys, *_KEY, "user_id").agg(
         *[events_of(kind).alias(name) for name, kind in _COUNTS.items()],
         F.sum(purchase_value()).alias("revenue"),
         F.max("event_date").alias("last_date"),
@@ -34,7 +48,7 @@ def _per_user(events: DataFrame, *keys: str) -> DataFrame:
 def _measures(per_user: DataFrame) -> DataFrame:
     """Counts, revenue and unique users per product, from one row per (product, user)."""
     known = F.col("user_id").isNotNull()
-    return per_user.groupBy("product_id").agg(
+    return per_user.groupBy(*_KEY).agg(
         *[F.sum(name).alias(name) for name in _COUNTS],
         *[F.count_if(known & (F.col(of) > 0)).alias(name) for name, of in _UNIQUES.items()],
         F.sum("revenue").alias("total_revenue"),
@@ -50,26 +64,26 @@ def _attributes(events: DataFrame, *keys: str) -> DataFrame:
     the outer maximum; the count and its filter keep the levels apart.
     """
     combinations = (
-        events.groupBy(*keys, "product_id", *_ATTRIBUTES).agg(F.count("*").alias("n")).where("n > 0")
+        _keyed(events).groupBy(*keys, *_KEY, *_ATTRIBUTES).agg(F.count("*").alias("n")).where("n > 0")
     )
-    return combinations.groupBy(*keys, "product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
+    return combinations.groupBy(*keys, *_KEY).agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
 
 
 def by_day_and_user(events: DataFrame) -> DataFrame:
     """What events say of measures, by day: rows that add up over days."""
-    return _per_user(events, "event_date").drop("last_date").select("product_id", "user_id", *_COUNTS, "revenue", "event_date")
+    return _per_user(events, "event_date").select(_product_id(), "user_id", *_COUNTS, "revenue", "event_date")
 
 
 def attributes_by_day(events: DataFrame) -> DataFrame:
-    return _attributes(events, "event_date").select("product_id", *_ATTRIBUTES, "event_date")
+    return _attributes(events, "event_date").select(_product_id(), *_ATTRIBUTES, "event_date")
 
 
 def from_state(users: DataFrame, attributes: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Product performance from the rows of ``by_day_and_user`` and ``attributes_by_day``."""
-    per_user = users.groupBy("product_id", "user_id").agg(
+    per_user = _keyed(users).groupBy(*_KEY, "user_id").agg(
         *[F.sum(name).alias(name) for name in _COUNTS], F.sum("revenue").alias("revenue"), F.max("event_date").alias("last_date")
     )
-    greatest = attributes.groupBy("product_id").agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
+    greatest = _keyed(attributes).groupBy(*_KEY).agg(*[F.max(name).alias(name) for name in _ATTRIBUTES])
     return _finished(_measures(per_user), greatest, processed_at)
 
 
@@ -83,12 +97,11 @@ def product_performance(events: DataFrame, processed_at: Column | None = None) -
 
 
 def _finished(measures: DataFrame, attributes: DataFrame, processed_at: Column | None) -> DataFrame:
-    # Events without a product are a group of their own.
-    attributes = attributes.withColumnRenamed("product_id", "_product")
-    products = measures.join(attributes, F.col("product_id").eqNullSafe(F.col("_product"))).drop("_product")
+    products = measures.join(attributes, list(_KEY))
     sold = F.col("purchase_count")
     return products.withColumns(
         {
+            "product_id": _product_id(),
             "view_to_purchase_rate": capped_ratio(sold, F.col("view_count")),
             "cart_to_purchase_rate": capped_ratio(sold, F.col("cart_count")),
             "gold_processed_at": stamp(processed_at),
