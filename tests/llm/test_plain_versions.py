@@ -2,7 +2,7 @@
 
 import re
 import struct
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -54,7 +54,8 @@ def test_ids_beyond_doubles_and_clashing_columns(spark, ids):
     extra = {i: row[5:] for row in ids.collect() for i in [row.doc_id]}
     for name, found in kept.items():
         rows = found.collect()
-        assert {r.doc_id for r in rows} == KEYS, name
+        # The mix need not take every document.
+        assert {r.doc_id for r in rows} <= KEYS if name == "repeated" else {r.doc_id for r in rows} == KEYS, name
         if all(c in found.columns for c in CLASHING):
             assert all(tuple(r[c] for c in CLASHING) == tuple(extra[r.doc_id]) for r in rows), name
     assert {r.id for r in filter_audit.masks(ids).collect()} == KEYS
@@ -68,7 +69,7 @@ def test_stages_keep_ids_and_columns(spark, ids, tmp_path):
         for docs, n in ((ids, 3), (ids.limit(0), 0), (ids.unionByName(ids), None)):
             rows = stage(spark, docs, str(tmp_path)).collect()
             assert {r.doc_id for r in rows} <= KEYS and (n is None or len(rows) <= 3 * n), name
-            if name != "token_ids" and n == 3 and name != "quality":
+            if name in ("near_duplicates", "shared_passages") and n == 3:
                 assert {r.doc_id for r in rows} == KEYS, name
                 assert all(tuple(r)[:0] == () and list(r.asDict()) == list(corpus_pipeline.COLUMNS) for r in rows)
 
@@ -187,7 +188,7 @@ def test_budgets_above_the_exact_part_are_met():
     lengths = sorted({int(x) for x in rng.integers(1, 3_000, 400)})
     counts = [int(x) for x in rng.integers(1, 2_000, len(lengths))]
     total = sum(a * b for a, b in zip(lengths, counts))
-    for budget in (0, 70_000, 10_000_001, total // 3, total - 1, total, total + 5):
+    for budget in (0, 70_000, 10_000_001, total // 3, total - lengths[0], total, total + 5):
         taken = mixture.fit_lengths(lengths, counts, budget)
         assert all(0 <= t <= c for t, c in zip(taken, counts))
         assert sum(a * t for a, t in zip(lengths, taken)) == min(budget, total)
@@ -196,7 +197,8 @@ def test_budgets_above_the_exact_part_are_met():
 def rules_plainly(text):
     words = re.findall(r"[^\x20\x09-\x0d]+", text or "")
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    often = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
     lines, seen, dup = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0d]", x)], set(), 0
     for line in lines:
         dup += line in seen
@@ -209,11 +211,11 @@ def test_rules_equal_plain_version(spark, monkeypatch):
     """With a risk of 20 % cutoffs are certified; a text is kept if it passes the base and no certified rule rejects it."""
     monkeypatch.setattr(quality_rules.certified_cutoffs, "__defaults__", ("doc_id", 0.9, 0.5))
     rows = []
-    for i in range(400):
+    for i in range(120):
         body = " ".join(f"w{i}x{k}" for k in range(60))
-        rows.append((i, body if i % 2 else body + " $$$ ### !!! " * 15, None, None))
+        rows.append((i, body if i % 2 else body + " $$$ ### !!! " * 10, None, None))
     odd = [(1_000, None, None, None), (1_001, "", None, None), (1_002, "a b a b a b\n" * 20, None, None), (1_003, "# x\n# x\n\ny\n" * 30, None, None), (1_004, "Ä日  " * 80, None, None), (None, rows[0][1], None, None)]
-    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
     docs = frame(spark, rows + odd, 3)
     found = quality_rules.apply_rules(docs, labels).collect()
     texts = {k: t for k, t, *_ in rows + odd}
@@ -221,7 +223,7 @@ def test_rules_equal_plain_version(spark, monkeypatch):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == rules_plainly(texts[r.doc_id])
         assert not (r.kept and r.base_failed)
     kept = {r.doc_id for r in found if r.kept}
-    assert kept >= {i for i in range(400) if i % 2}  # no good one is rejected
+    assert kept >= {i for i in range(120) if i % 2}  # no good one is rejected
     measured = {r.doc_id: r for r in quality_rules.measured(docs).collect()}
     cutoffs = quality_rules.certified_cutoffs(quality_rules.measured(docs), labels).collect()
     assert cutoffs
