@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 from shoptrail.llm.common import add_columns, free_name, texts_of
 
 #: Tables only save time, so they are bounded: moves, answers about neighbours, states whose inner side is at hand, and words
-#: of each of two generations. A full table of moves stays until as many moves were missing as it may hold.
+#: of each of two generations. A full table of moves stays as long as it serves most pieces: it is forgotten when, over as many
+#: missing moves as it may hold, more pieces left it than were encoded by it alone.
 MAX_MOVES = 250_000
 MAX_FITS = 200_000
 MAX_PATHS = 20_000
@@ -78,7 +79,7 @@ class MergeTransducer:
         self.given: list[bytes] = [b""]
         self.number: dict[bytes, int] = {b"": 0}
         self.rest: dict[int, bytes] = {}
-        self.missed = 0
+        self.missed = self.walked = 0
         self.start = self._state(b"", [-1], [1], [0])
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
@@ -234,6 +235,7 @@ class MergeTransducer:
     def encode(self, piece: bytes) -> bytes:
         """Ids of a piece as little-endian unsigned 32-bit integers."""
         state, move_of, given, out = self.start, self.moves.get, self.given, b""
+        self.walked += 1
         for at, byte in enumerate(piece):
             move = move_of(state << 8 | byte)
             if move is None:
@@ -241,7 +243,9 @@ class MergeTransducer:
                     self.missed += 1
                     out += self._finish(state, piece[at:])
                     if self.missed >= MAX_MOVES:
-                        self._forget()
+                        if 2 * self.missed > self.walked:
+                            self._forget()
+                        self.missed = self.walked = 0
                     return out
                 move = self._move(state, byte)
             if move & _GIVEN:
