@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from functools import reduce
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoptrail import schemas as S
 from shoptrail.session import cut_lineage, settings
-from shoptrail.sources.layers import read_layer, write_layer
+from shoptrail.sources import differences
+from shoptrail.sources.layers import drop_path, path_exists, read_layer
 
 
 def check_prefix(prefix: str) -> str:
@@ -86,11 +88,11 @@ def publish(
 ) -> dict[str, int]:
     """Make ``target/prefix`` hold what the curated layer holds, on any file system.
 
-    All declared tables are written, empty ones too, so nothing of an earlier run stays in them; other
-    Parquet folders go by their own schema and partitions, and JSON documents, small by nature, are copied
-    from wherever they lie. What the source no longer has is removed. A dry run reports the files and
-    bytes at the source; after copying those at the target are returned, whose Parquet files tasks have
-    written anew.
+    Partitions of declared tables, and other Parquet folders as a whole, are written only where their rows or their
+    published files are not what the last publication left (see ``differences``). Empty tables are published too, other
+    folders go by their own schema and partitions, and JSON documents, small by nature, are copied each time from
+    wherever they lie. What the source no longer has is removed. Returns files and bytes, of the source in a dry run,
+    else of the target, and the numbers of partitions written and removed, which a dry run tells beforehand.
     """
     source = check_source(source_root)
     destination = f"{target.rstrip('/')}/{check_prefix(prefix)}"
@@ -98,18 +100,40 @@ def publish(
     present = inventory_totals(files).collect()
     if not present:
         raise ValueError(f"nothing to publish under {source}")
+    names = {row["table_name"] for row in present}
+    parquet = {r["table_name"] for r in files.where(F.col("path").endswith(".parquet")).select("table_name").distinct().collect()}
+    layers = {
+        name: read_layer(spark, f"{source}/{name}", schema) if name in parquet else spark.createDataFrame([], schema)
+        for name, (schema, _) in S.GOLD.items()
+    }
+    others = {name: _read_other(spark, f"{source}/{name}") for name in sorted(parquet - set(S.GOLD))}
+    partitions = {name: partition for name, (_, partition) in S.GOLD.items()} | dict.fromkeys(others)
+    frames = {**layers, **others}
+    # One row per partition, needed three times.
+    rows = cut_lineage(reduce(DataFrame.unionByName, [differences.facts(df, name, partitions[name]) for name, df in frames.items()]))
+    there = differences.listed_parts(inventory(spark, destination) if path_exists(spark, destination) else files.limit(0), partitions)
+    todo = differences.compare(rows, differences.read_manifest(spark, destination), there, list(frames))
+    counted = {
+        "partitions_written": sum(len(what.write) for what in todo.values()),
+        "partitions_removed": sum(len(what.remove) for what in todo.values()),
+    }
     if not dry_run:
-        names = {row["table_name"] for row in present}
-        _remove_others(spark, destination, names | set(S.GOLD))
-        for name, (schema, partition) in S.GOLD.items():
-            layer = read_layer(spark, f"{source}/{name}", schema) if name in names else spark.createDataFrame([], schema)
-            write_layer(layer, f"{destination}/{name}", partition)
-        for name in sorted(names - set(S.GOLD)):
-            _copy_other(spark, files.where(F.col("table_name") == name), f"{source}/{name}", f"{destination}/{name}")
+        if any(todo.values()):
+            drop_path(spark, f"{destination}/{differences.MANIFEST}")
+        _remove_others(spark, destination, names | set(S.GOLD) | {differences.MANIFEST})
+        for name, layer in layers.items():
+            if todo[name]:
+                differences.apply(layer, f"{destination}/{name}", partitions[name], todo[name])
+        for name, df in others.items():
+            if todo[name]:
+                _copy_other(df, files.where(F.col("table_name") == name), f"{destination}/{name}")
         for path in _below(files.where(F.col("path").endswith(".json")), source):
             _copy_file(spark, f"{source}/{path}", f"{destination}/{path}")
-        present = inventory_totals(inventory(spark, destination)).collect()
-    return {"files": sum(r["files"] for r in present), "bytes": sum(r["bytes"] for r in present)}
+        published = inventory(spark, destination)
+        present = inventory_totals(published).collect()
+        if any(todo.values()):
+            differences.write_manifest(rows, differences.listed_parts(published, partitions), destination)
+    return {"files": sum(r["files"] for r in present), "bytes": sum(r["bytes"] for r in present), **counted}
 
 
 def _below(files: DataFrame, source: str) -> list[str]:
@@ -118,14 +142,14 @@ def _below(files: DataFrame, source: str) -> list[str]:
     return [row["path"].rsplit(root, 1)[1] for row in files.select("path").collect()]
 
 
-def _copy_other(spark: SparkSession, files: DataFrame, source: str, destination: str) -> None:
+def _read_other(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
+
+
+def _copy_other(frame: DataFrame, files: DataFrame, destination: str) -> None:
     """A Parquet folder that is no declared table, with the partition folders it has."""
-    parquet = files.where(F.col("path").endswith(".parquet"))
     keys = F.explode(F.expr(r"regexp_extract_all(path, '/([^/=]+)=[^/]*', 1)"))
-    found = [row["k"] for row in parquet.select(keys.alias("k")).distinct().collect()]
-    if parquet.limit(1).count() == 0:
-        return
-    frame = spark.read.option("pathGlobFilter", "*.parquet").parquet(source)
+    found = [row["k"] for row in files.where(F.col("path").endswith(".parquet")).select(keys.alias("k")).distinct().collect()]
     frame.write.mode("overwrite").partitionBy(*[c for c in frame.columns if c in found]).parquet(destination)
 
 

@@ -211,3 +211,62 @@ def test_publish_empties_and_removes(spark, finished, tmp_path):
     shutil.rmtree(gold / "agg_custom")
     publish.publish(spark, str(gold), target)
     assert "agg_custom" not in {r.table_name for r in publish.inventory(spark, f"{target}/gold").collect()}
+
+
+def _stamps(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.rglob("*.parquet") if "_published" not in str(p)}
+
+
+def test_publish_writes_only_what_changed(spark, finished, tmp_path):
+    import shutil
+
+    gold, store = tmp_path / "gold", tmp_path / "store"
+    shutil.copytree(finished[0].gold, gold)
+    spark.range(4).selectExpr("id", "map('a', id) AS m").write.parquet(str(gold / "agg_custom"))
+    first = publish.publish(spark, str(gold), str(store))
+    assert first["partitions_written"] > 5
+    before = _stamps(store / "gold")
+    assert publish.publish(spark, str(gold), str(store), dry_run=True)["partitions_written"] == 0
+    second = publish.publish(spark, str(gold), str(store))
+    assert (second["partitions_written"], second["partitions_removed"]) == (0, 0)
+    assert _stamps(store / "gold") == before
+
+    # The same rows in other files are no change; one value is, as is a day that is gone.
+    sessions = spark.read.parquet(str(gold / "fct_sessions")).repartition(3)
+    more = "CASE WHEN session_date = DATE'2019-10-02' THEN event_count + 1 ELSE event_count END AS event_count"
+    changed = sessions.selectExpr(*[more if c == "event_count" else c for c in sessions.columns])
+    changed.where("session_date < DATE'2019-10-03'").write.partitionBy("session_date").parquet(str(tmp_path / "anew"))
+    shutil.rmtree(gold / "fct_sessions")
+    shutil.copytree(tmp_path / "anew", gold / "fct_sessions")
+    planned = publish.publish(spark, str(gold), str(store), dry_run=True)
+    assert (planned["partitions_written"], planned["partitions_removed"]) == (1, 1)
+    publish.publish(spark, str(gold), str(store))
+    after = _stamps(store / "gold")
+    assert {p for p in before if after.get(p) != before[p]} == {
+        p for p in before if p.startswith(("fct_sessions/session_date=2019-10-02", "fct_sessions/session_date=2019-10-03"))
+    }
+    spark.catalog.refreshByPath(str(store))
+    ours, theirs = (load.typed(spark, f"{root}", "fct_sessions") for root in (gold, store / "gold"))
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+    # A published file that was lost, and a publication that broke off.
+    lost = next((store / "gold/fct_purchases").glob("*/*.parquet"))
+    lost.unlink()
+    assert publish.publish(spark, str(gold), str(store))["partitions_written"] == 1
+    shutil.rmtree(store / "gold/_published")
+    assert publish.publish(spark, str(gold), str(store), dry_run=True)["partitions_written"] > 5
+
+
+def test_digest_of_a_partition_is_of_its_rows(spark):
+    from shoptrail.sources import differences
+
+    def digest(rows):
+        found = differences.facts(spark.createDataFrame(rows, "a string, b string, day date"), "t", "day").where("part != '*'")
+        return {r.part: (r.n_rows, r.digest) for r in found.collect()}
+
+    one = digest([("x", None, None), ("y", "z", None)])
+    assert set(one) == {differences.NO_VALUE}
+    assert one == digest([("y", "z", None), ("x", None, None)])
+    assert one != digest([(None, "x", None), ("y", "z", None)])
+    assert one != digest([("x", None, None), ("x", None, None)])
+    assert digest([]) == {}
