@@ -25,8 +25,10 @@ FIRST, LAST, MOST = "first", "last", "most"
 def token_spans(lengths: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Code points [begin, end) that each token touches, from the tokens' lengths in bytes; a
     character split between tokens belongs to each of them."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     ends = np.cumsum(lengths)
+    if text.isascii():
+        return ends - lengths, ends
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     char = np.cumsum((data & 0xC0) != 0x80) - 1  # character that each byte belongs to
     return char[ends - lengths], char[ends - 1] + 1
 
@@ -47,6 +49,15 @@ def attribute(begins: np.ndarray, ends: np.ndarray, bounds: np.ndarray, rule: st
     return out
 
 
+def count_first(begins: np.ndarray, ends: np.ndarray, bounds: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each section under ``FIRST``, and how many of them reach beyond it. Both sides are sorted, so it is
+    enough to look the sections up among the tokens."""
+    low = np.searchsorted(begins, bounds)
+    high = np.append(low[1:], len(begins))
+    within = np.searchsorted(ends, stops, side="right")
+    return high - low, np.maximum(high - np.maximum(low, within), 0)
+
+
 def line_starts(text: str) -> np.ndarray:
     """Sections are lines; a line has its line break."""
     return np.asarray([0, *accumulate(len(line) + 1 for line in text.split("\n"))][:-1])
@@ -73,10 +84,13 @@ def count_by_section(
             counts = crossing = np.zeros(len(bounds), np.int64)
             if value:
                 begins, ends = token_spans(size[np.frombuffer(codec.encode(value), np.uint32)], value)
-                owner = attribute(begins, ends, bounds, rule)
-                over = (ends > stops[owner]) | (begins < bounds[owner])
-                counts = np.bincount(owner, minlength=len(bounds))
-                crossing = np.bincount(owner[over], minlength=len(bounds))
+                if rule == FIRST:
+                    counts, crossing = count_first(begins, ends, bounds, stops)
+                else:
+                    owner = attribute(begins, ends, bounds, rule)
+                    over = (ends > stops[owner]) | (begins < bounds[owner])
+                    counts = np.bincount(owner, minlength=len(bounds))
+                    crossing = np.bincount(owner[over], minlength=len(bounds))
             return np.arange(len(bounds)), bounds, stops, counts, crossing
 
         return one
