@@ -285,8 +285,10 @@ class _Runs(_Kept):
         self.codec = codec
 
     def __missing__(self, run: str) -> bytes:
-        if run[-1:] in MARKS and LATIN(run, 0, len(run) - 1):
-            return self[run[:-1]] + self.codec.mark[run[-1]]
+        if run[-1:] in MARKS:
+            word = run[:-1]
+            if word.isalpha() and (word.isascii() or LATIN(word)):
+                return self[word] + self.codec.mark[run[-1]]
         if "\n" in run:
             first, *others = self.codec.split(" " + run)
             ids = self[first[1:]] if first[:1] == " " and LATIN(first, 1) else self.codec.pieces[first]
