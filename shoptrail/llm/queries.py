@@ -23,7 +23,7 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = (
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
-    ("example.org", "/en/1", "allow"),
+    ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
