@@ -84,7 +84,11 @@ def _columns() -> dict[str, Column]:
 
 
 def deliveries(events: DataFrame) -> DataFrame:
-    """Payload columns plus the envelope position; ``source_row`` counts deliveries from 0."""
+    """Payload columns plus the envelope position; ``source_row`` counts deliveries from 0.
+
+    A test table may be one row group, which one task would encode and parse; a topic's partitions are many.
+    """
+    events = events.repartition("event_id")
     copies = F.when(_every(10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     delivered = events.withColumn("copy", F.explode(copies))
     n = F.col("event_id")

@@ -5,6 +5,7 @@ from builders import silver_rows
 
 from shoptrail import schemas as S
 from shoptrail.operators import carts, funnel, products, purchases, refine, sessionize, sessions
+from shoptrail.plans import testdata
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +109,28 @@ def test_skew_settings_are_on(spark):
     for key in ("adaptive.enabled", "adaptive.skewJoin.enabled", "ansi.enabled"):
         assert spark.conf.get(f"spark.sql.{key}") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+@pytest.mark.parametrize("mapped", [testdata.topic_records, testdata.sample_rows])
+def test_rows_of_one_row_group_are_dealt_before_they_are_encoded(spark, mapped):
+    plan = plan_of(mapped(spark.createDataFrame([], testdata.EVENTS).coalesce(1)))
+    # A plan is printed from its result down: the shuffle lies below the copies and the encoding.
+    assert shuffles(plan) == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning(event_id")
+
+
+def test_streamed_rows_are_parsed_by_many_tasks(spark, tmp_path):
+    spark.range(1_000).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value", "'{}' AS props"
+    ).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    (file,) = tmp_path.glob("rows/part-*.parquet")
+    (tmp_path / "sf").mkdir()
+    file.rename(tmp_path / "sf/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = []
+    try:
+        records = testdata.topic_records(testdata.stream_events(spark, f"{tmp_path}/sf"))
+        query = records.writeStream.foreachBatch(lambda batch, _: parts.append(batch.rdd.getNumPartitions()))
+        query.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts == [4]
