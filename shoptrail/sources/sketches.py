@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from shoptrail.operators.skew import HEAVY_GROUP_ROWS, heavy_keys
 from shoptrail.sources.layers import drop_path, path_exists
 
-#: Keys that a sketch tracks and gives back. It errs by at most 3.5 rows in TRACKED of those written, so a key of
-#: ``HEAVY_GROUP_ROWS`` is not missed in a write of less than some 10^11 rows.
-TRACKED, GIVEN = 1 << 16, 1 << 14
+#: Keys that a sketch tracks and gives back. Every task sends its sketch to the driver, some 0.1 MB with so many keys. It errs
+#: by at most 3.5 rows in TRACKED of those written, so a key of ``HEAVY_GROUP_ROWS`` is not missed in a write of less than
+#: some 2 * 10^10 rows; a missed one is sorted by one task, which spills, with the same result.
+TRACKED, GIVEN = 1 << 12, 1 << 10
 #: Share of a heavy group from which on a key is noted: one that grows by small writes is found all the same.
 NOTED_SHARE = 64
 _NOTE = "key string, n bigint"

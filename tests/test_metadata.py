@@ -60,6 +60,15 @@ def test_frequent_keys_are_noted_while_writing(spark, tmp_path):
     assert sketches.frequent_keys(spark, path, layer, "user_session", 1) == []
 
 
+def test_sketch_of_a_task_stays_small_and_finds_frequent_keys(spark):
+    """Each task sends its sketch to the driver, however many keys it has seen."""
+    keys = spark.range(0, 300_000, 1, 1).select(F.when(F.col("id") % 100 == 0, "hot").otherwise(F.concat(F.lit("session_"), "id")).alias("key"))
+    state = keys.agg(F.expr(f"approx_top_k_accumulate(key, {sketches.TRACKED})").alias("state"))
+    assert state.select(F.length("state.sketch")).first()[0] < 200_000
+    top = keys.agg(F.expr(f"approx_top_k(key, {sketches.GIVEN}, {sketches.TRACKED})").alias("top")).first()["top"]
+    assert top[0]["item"] == "hot" and abs(top[0]["count"] - 3_000) <= 3.5 * 300_000 / sketches.TRACKED
+
+
 def test_ordering_sessions_starts_no_job(spark):
     rows = silver_rows(spark, [{"event_id": f"h{i}"} for i in range(10)])
     tracker = spark.sparkContext.statusTracker()
