@@ -12,6 +12,9 @@ worked out the first time it is needed and looked up from then on. A token is gi
 every place where a token reaching beyond the input read so far could start has it on its path. That
 takes at most as many bytes of lookahead as the longest vocabulary entry has. Where the table is full and
 a piece leaves the part of the transducer that is known, its rest is worked out by the same two facts without keeping states.
+
+The new pieces of a group of texts take their moves side by side, a byte of each at a time, as arrays. A move that many of
+them miss is worked out; those that leave the known part have their rests worked out side by side, too.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import struct
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -38,6 +42,8 @@ MAX_MOVES = 250_000
 MAX_FITS = 200_000
 MAX_PATHS = 20_000
 MAX_WORDS = 250_000
+#: Characters of a word that is kept.
+MAX_KEPT = 64
 #: A move is one number: the next state, and behind it which tokens are given out.
 _GIVEN_BITS = 24
 _GIVEN = (1 << _GIVEN_BITS) - 1
@@ -46,6 +52,14 @@ MARKS = (",", ".")
 #: Runs of letters alone are one piece.
 LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 INNER_SPACE = re.compile(r"\s (?:\s|\Z)").search
+#: Bytes of a piece that is worked on side by side with others: places in it are bits of a number.
+MAX_BESIDE = 60
+#: Characters of the texts that are worked on together.
+GROUP_CHARS = 1 << 22
+#: Texts that a task holds at a time where nothing but ids is made of them: what many of them share is looked up once.
+GROUP_ROWS = 1_024
+#: Pieces of a group that have to miss a move for it to be worked out.
+LEARN_FROM = 8
 #: Ids that the decoder takes at a time.
 DECODE_STEP = 65_536
 
@@ -69,6 +83,28 @@ class MergeTransducer:
         self.spines: tuple[dict, dict] = ({}, {})
         self.fits: dict[int, bool] = {}
         self._forget()
+        self._plant()
+
+    def _plant(self) -> None:
+        """The vocabulary as a tree in arrays: the node that a byte leads to from a node (0: none, 1: the root; a row for
+        each node that goes on, its last column for the end of a piece), the token at each node, and of each token its
+        length and the longest other token it begins with (-1: none)."""
+        inner = sorted((part for part, kind in self.kinds.items() if kind & 1), key=len)
+        leaves = (part for part, kind in self.kinds.items() if not kind & 1)
+        node = {b"": 1} | {part: i for i, part in enumerate([*inner, *leaves], 2)}
+        self.inner = len(inner) + 2
+        self.tree = np.zeros((self.inner, 257), np.int32)
+        self.token_at = np.full(len(node) + 1, -1, np.int64)
+        self.length, self.shorter = np.zeros(max(self.token) + 1, np.int64), np.full(max(self.token) + 1, -1, np.int64)
+        within = {b"": -1}
+        for part in sorted(node, key=len)[1:]:
+            before, rank = within[part[:-1]], self.ranks.get(part, -1)
+            self.tree[node[part[:-1]], part[-1]] = node[part]
+            within[part] = before if rank < 0 else rank
+            if rank >= 0:
+                self.token_at[node[part]], self.length[rank], self.shorter[rank] = rank, len(part), before
+        # Answers about neighbours, in the order of their names.
+        self.seams, self.seams_fit = np.asarray([(1 << 62)]), np.asarray([False])
 
     def _forget(self) -> None:
         # A state is named by the token given out last and the bytes after it; the rest follows from these.
@@ -81,6 +117,7 @@ class MergeTransducer:
         self.rest: dict[int, bytes] = {}
         self.missed = self.walked = 0
         self.start = self._state(b"", [-1], [1], [0])
+        self.from_moves, self.to_moves = np.asarray([1 << 62]), np.asarray([0])
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts whose merge completes a token; None for a single byte."""
@@ -193,14 +230,13 @@ class MergeTransducer:
         found = self.moves[state << 8 | byte] = self._state(pending, last, marks, live) << _GIVEN_BITS | number
         return found
 
-    def _finish(self, state: int, rest: bytes) -> bytes:
-        """Tokens of what a state holds and the ``rest`` of a piece behind it, without new states.
+    def _finish(self, before: int, data: bytes) -> bytes:
+        """Tokens of the bytes behind the token ``before``, without new states.
 
         Longest tokens are tried first, each only where it goes with the one before it. As a prefix has one last
         token, a place that led nowhere is not tried again.
         """
-        before, pending = self.names[state]
-        data, kinds, fit = pending + rest, self.kinds.get, self._fit
+        kinds, fit = self.kinds.get, self._fit
         size, at, left = len(data), 0, before
         path: list[int] = []
         waiting: list[list[tuple[int, int]]] = []  # at each token of the path: (end, rank) of shorter ones
@@ -241,7 +277,8 @@ class MergeTransducer:
             if move is None:
                 if len(self.moves) >= MAX_MOVES:
                     self.missed += 1
-                    out += self._finish(state, piece[at:])
+                    before, pending = self.names[state]
+                    out += self._finish(before, pending + piece[at:])
                     if self.missed >= MAX_MOVES:
                         if 2 * self.missed > self.walked:
                             self._forget()
@@ -256,44 +293,138 @@ class MergeTransducer:
             left = self.rest[state] = self._tokens(self._path(state)[0], len(self.names[state][1]))
         return out + left
 
+    def encode_all(self, pieces: list[bytes]) -> list[bytes]:
+        """``encode`` of each piece, short ones side by side."""
+        out = [b""] * len(pieces)
+        short = [i for i, piece in enumerate(pieces) if len(piece) <= MAX_BESIDE]
+        for i, piece in enumerate(pieces):
+            if len(piece) > MAX_BESIDE:
+                out[i] = self.encode(piece)
+        if not short:
+            return out
+        if len(self.moves) >= len(self.from_moves):
+            self.from_moves = np.fromiter(self.moves.keys(), np.int64, len(self.moves))
+            order = np.argsort(self.from_moves)
+            self.to_moves = np.append(np.fromiter(self.moves.values(), np.int64, len(self.moves))[order], 0)
+            self.from_moves = np.append(self.from_moves[order], 1 << 62)
+        data = b"".join(pieces[i] for i in short)
+        sizes = np.fromiter((len(pieces[i]) for i in short), np.int64, len(short))
+        begins, states, at = np.cumsum(sizes) - sizes, np.full(len(short), self.start), np.zeros(len(short), np.int64)
+        text, active, missing = np.frombuffer(data, np.uint8), np.arange(len(short)), []
+        self.walked += len(short)
+        while len(active):
+            names = states[active] << 8 | text[begins[active] + at[active]]
+            places = np.searchsorted(self.from_moves, names)
+            known = self.from_moves[places] == names
+            missing.append(names[~known])
+            active, moves = active[known], self.to_moves[places[known]]
+            states[active] = moves >> _GIVEN_BITS
+            at[active] += 1
+            gives = np.flatnonzero(moves & _GIVEN)
+            for i, number in zip(active[gives].tolist(), (moves[gives] & _GIVEN).tolist()):
+                out[short[i]] += self.given[number]
+            active = active[at[active] < sizes[active]]
+        rests: list[tuple[int, int, bytes]] = []  # place, token before, bytes behind it
+        for i, state, done in zip(short, states.tolist(), at.tolist()):
+            piece = pieces[i]
+            left = self.rest.get(state) if done == len(piece) else None
+            if left is None:
+                before, pending = self.names[state]
+                rests.append((i, before, pending + piece[done:]))
+            else:
+                out[i] += left
+        found = self._finish_all([x[1] for x in rests], [x[2] for x in rests])
+        for (i, _, _), ids in zip(rests, found):
+            out[i] += ids
+        self._learn(np.concatenate(missing))
+        return out
+
+    def _learn(self, missing: np.ndarray) -> None:
+        """Moves that many pieces missed are worked out, as long as the table has room."""
+        room = MAX_MOVES - len(self.moves)
+        if room > 0:
+            names, times = np.unique(missing, return_counts=True)
+            for name in names[times >= LEARN_FROM][:room].tolist():
+                self._move(name >> 8, name & 255)
+            return
+        self.missed += len(missing)
+        if self.missed >= MAX_MOVES:
+            if 2 * self.missed > self.walked:
+                self._forget()
+            self.missed = self.walked = 0
+
+    def _fit_all(self, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
+        """``_fit`` of each pair."""
+        names = np.where(lefts < 0, -1, lefts << 20 | rights)
+        places = np.searchsorted(self.seams, names)
+        known = (self.seams[places] == names) | (names < 0)
+        if not known.all():
+            if len(self.seams) >= MAX_FITS:
+                self.seams, self.seams_fit = self.seams[-1:], self.seams_fit[-1:]
+                known = names < 0
+            new = np.unique(names[~known])
+            fit = np.fromiter((self._seam(x >> 20, x & 0xFFFFF) for x in new.tolist()), bool, len(new))
+            places = np.searchsorted(self.seams, new)
+            self.seams, self.seams_fit = np.insert(self.seams, places, new), np.insert(self.seams_fit, places, fit)
+            places = np.searchsorted(self.seams, names)
+        return self.seams_fit[places] | (names < 0)
+
+    def _finish_all(self, befores: list[int], pieces: list[bytes]) -> list[bytes]:
+        """``_finish`` of each piece behind the token before it, a token of each at a time."""
+        n = len(pieces)
+        sizes = np.fromiter(map(len, pieces), np.int64, n)
+        width = int(sizes.max(initial=0))
+        text = np.full((n, width + 1), 256, np.int64)
+        text[np.arange(width + 1) < sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        before = np.asarray(befores, np.int64)
+        left, rank = before.copy(), np.full(n, -2)  # -2: to be looked for
+        at, depth, dead, path = (np.zeros(shape, np.int64) for shape in (n, n, n, (n, width + 1)))
+        active = np.flatnonzero(sizes)
+        while len(active):
+            some = active[rank[active] == -2]
+            rank[some] = -1
+            node, place = np.ones(len(some), np.int64), at[some]
+            while len(some):
+                node = self.tree[node, text[some, place]]
+                token = self.token_at[node]
+                rank[some[token >= 0]] = token[token >= 0]
+                goes = (node > 0) & (node < self.inner)
+                some, node, place = some[goes], node[goes], place[goes] + 1
+            none = rank[active] < 0
+            back, on = active[none], active[~none]
+            if len(back):  # nothing goes with the token before: a shorter one in its place
+                dead[back] |= 1 << at[back]
+                depth[back] -= 1
+                last = path[back, depth[back]]
+                at[back] -= self.length[last]
+                left[back] = np.where(depth[back] > 0, path[back, depth[back] - 1], before[back])
+                rank[back] = self.shorter[last]
+            token = rank[on]
+            ends = at[on] + self.length[token]
+            fit = self._fit_all(left[on], token) & (dead[on] >> ends & 1 == 0)
+            took, token, ends, other = on[fit], token[fit], ends[fit], on[~fit]
+            rank[other] = self.shorter[rank[other]]
+            path[took, depth[took]] = token
+            depth[took] += 1
+            at[took], left[took], rank[took] = ends, token, -2
+            active = active[at[active] < sizes[active]]
+        ids = path[np.arange(width + 1) < depth[:, None]].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(depth)).tolist()
+        return [ids[begin:end] for begin, end in zip([0, *stops], stops)]
+
 
 class _Kept(dict):
-    """Ids by text. What the generation before knew comes back when it is met again, so frequent texts stay."""
+    """Ids by text, in two generations: what the older one knows comes back when it is met again, so frequent texts stay."""
 
-    def __init__(self, work: Callable[[str], bytes]):
-        self.work = work
+    def __init__(self):
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, text: str) -> bytes:
-        ids = self.older.get(text)
-        if ids is None:
-            ids = self.work(text)
-        if len(text) <= 64:
+    def keep(self, text: str, ids: bytes) -> None:
+        if len(text) <= MAX_KEPT:
             if len(self) >= MAX_WORDS:
                 self.older = dict(self)
                 self.clear()
             self[text] = ids
-        return ids
-
-
-class _Runs(_Kept):
-    """Ids of runs without a space, with the space before them. Runs that are words with a mark or a line break behind
-    them are put together from their pieces and not kept: their number has no bound worth its memory."""
-
-    def __init__(self, codec: Codec):
-        super().__init__(codec.encode_run)
-        self.codec = codec
-
-    def __missing__(self, run: str) -> bytes:
-        if run[-1:] in MARKS:
-            word = run[:-1]
-            if word.isalpha() and (word.isascii() or LATIN(word)):
-                return self[word] + self.codec.mark[run[-1]]
-        if "\n" in run:
-            first, *others = self.codec.split(" " + run)
-            ids = self[first[1:]] if first[:1] == " " and LATIN(first, 1) else self.codec.pieces[first]
-            return ids + b"".join(map(self.codec.pieces.__getitem__, others))
-        return super().__missing__(run)
 
 
 class Codec:
@@ -303,34 +434,100 @@ class Codec:
         self.transducer = MergeTransducer(ranks)
         self.split = regex.compile(pattern).findall
         self.token = self.transducer.token
-        self.pieces = _Kept(self.encode_piece)
-        self.spaced = _Runs(self)
+        self.pieces, self.spaced = _Kept(), _Kept()
         self.mark = {mark: self.encode_piece(mark) for mark in MARKS}
 
-    def encode_pieces(self, text: str) -> bytes:
-        """Ids of a text, piece by piece."""
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
-
-    def encode_run(self, run: str) -> bytes:
-        """Ids of a run without a space, with the space before it."""
-        return self.encode_piece(" " + run) if LATIN(run) else self.encode_pieces(" " + run)
-
     def encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")
         whole = self.transducer.ranks.get(data)
         return self.transducer.encode(data) if whole is None else struct.pack("<I", whole)
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a text.
+        """Ids of a text."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text; texts are worked on in groups."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= GROUP_CHARS:
+                yield from self._encode_group(group)
+                group, size = [], 0
+        yield from self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        """What the texts are made of is looked up once for all of them, and what is new is encoded together.
 
         The pattern always cuts where white space follows something else, and a single space goes
         with what follows it. So the runs between spaces, each with the space before it, can be
         encoded apart, unless a space stands inside or at the end of longer white space.
         """
-        if not text or INNER_SPACE(text):
-            return self.encode_pieces(text or "")
-        first, *others = text.split(" ")
-        return self.encode_pieces(first) + b"".join(map(self.spaced.__getitem__, others))
+        cuts: list[tuple[list[str], list[str]]] = []  # pieces, runs behind them
+        for text in texts:
+            first, *others = [text] if INNER_SPACE(text) else text.split(" ")
+            cuts.append((self.split(first), others))
+        pieces = set().union(*(cut for cut, _ in cuts))
+        every = set().union(*(others for _, others in cuts))
+        runs = dict(zip(every, map(self.spaced.get, every)))
+        words: set[str] = set()
+        marked: list[str] = []
+        mixed: list[tuple[str, list[str]]] = []
+        for run in [run for run, ids in runs.items() if ids is None]:
+            if run[-1:] in MARKS and LATIN(run, 0, len(run) - 1):
+                words.add(run[:-1])
+                marked.append(run)
+                continue
+            ids = self.spaced.older.get(run)
+            if ids is not None:
+                runs[run] = ids
+                self.spaced.keep(run, ids)
+            elif LATIN(run):
+                words.add(run)
+            else:
+                cut = self.split(" " + run)
+                mixed.append((run, cut))
+                if cut[0][:1] == " " and LATIN(cut[0], 1):
+                    words.add(cut[0][1:])
+                    pieces.update(cut[1:])
+                else:
+                    pieces.update(cut)
+        words_ids, pieces_ids = self._known(self.spaced, " ", words), self._known(self.pieces, "", pieces)
+        for run in words:
+            runs[run] = words_ids[run]
+        for run in marked:
+            runs[run] = words_ids[run[:-1]] + self.mark[run[-1]]
+        for run, cut in mixed:
+            if cut[0][:1] == " " and LATIN(cut[0], 1):
+                ids = words_ids[cut[0][1:]] + b"".join(map(pieces_ids.__getitem__, cut[1:]))
+            else:
+                ids = b"".join(map(pieces_ids.__getitem__, cut))
+            runs[run] = ids
+            if "\n" not in run:  # the number of those has no bound worth its memory, as that of words with a mark
+                self.spaced.keep(run, ids)
+        for cut, others in cuts:
+            yield b"".join(map(pieces_ids.__getitem__, cut)) + b"".join(map(runs.__getitem__, others))
+
+    def _known(self, table: _Kept, space: str, texts: set[str]) -> dict[str, bytes]:
+        """Ids of each of the texts, each with ``space`` before it, from a table or, where they are new, by themselves."""
+        found = dict(zip(texts, map(table.get, texts)))
+        new = []
+        for text in [text for text, ids in found.items() if ids is None]:
+            ids = table.older.get(text)
+            if ids is None:
+                new.append(text)
+            else:
+                found[text] = ids
+                table.keep(text, ids)
+        data = [(space + text).encode("utf-8", "surrogatepass") for text in new]
+        whole = list(map(self.transducer.ranks.get, data))
+        made = iter(self.transducer.encode_all([x for x, rank in zip(data, whole) if rank is None]))
+        for text, rank in zip(new, whole):
+            found[text] = ids = next(made) if rank is None else struct.pack("<I", rank)
+            table.keep(text, ids)
+        return found
 
     def decode(self, ids: bytes) -> Iterator[str]:
         """Text in steps. The UTF-8 automaton carries the state of a character that a step's end
@@ -373,7 +570,7 @@ def encode_column(df: DataFrame, rank_file: str, pattern: str, text: str = "text
 
     def work() -> Callable:
         codec = make()
-        return lambda values: [[codec.encode(x) for x in texts_of(values)]]
+        return lambda values: [list(codec.encode_all(texts_of(values)))]
 
     return add_columns(df, [text], {into: ("binary", pa.binary())}, work)
 
@@ -387,15 +584,19 @@ def encode_checked(
     def work() -> Callable:
         codec = make()
 
-        def one(value: str | None) -> tuple[bytes, bool]:
-            ids, at = codec.encode(value), 0
+        def one(value: str | None, ids: bytes) -> tuple[bytes, bool]:
+            at = 0
             for step in codec.decode(ids):
                 if not (value or "").startswith(step, at):
                     return ids, False
                 at += len(step)
             return ids, at == len(value or "")
 
-        return lambda values: list(zip(*map(one, texts_of(values))))
+        def every(values: pa.Array) -> list:
+            texts = texts_of(values)
+            return list(zip(*map(one, texts, codec.encode_all(texts))))
+
+        return every
 
     return add_columns(df, [text], {into: ("binary", pa.binary()), back: ("boolean", pa.bool_())}, work, drops=(text,))
 
@@ -408,14 +609,13 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "do
     def work() -> Callable:
         codec = make()
 
-        def one(value: str | None) -> tuple[int, str, str]:
-            ids = codec.encode(value)
+        def one(ids: bytes) -> tuple[int, str, str]:
             decoded = hashlib.sha256()
             for step in codec.decode(ids):
                 decoded.update(step.encode("utf-8", "surrogateescape"))
             return len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()
 
-        return lambda values: list(zip(*map(one, texts_of(values))))
+        return lambda values: list(zip(*map(one, codec.encode_all(texts_of(values)))))
 
     narrow = df.select(F.col(id_column), F.col(text).alias(free_name(df, "text_")))
     adds = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}

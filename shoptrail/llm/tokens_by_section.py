@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shoptrail.llm.bpe import codec_maker
+from shoptrail.llm.bpe import GROUP_ROWS, codec_maker
 from shoptrail.llm.common import free_name, slices, texts_of
 
 #: Rules for a token that crosses a boundary: the section of its first character, of its last one, or
@@ -78,12 +78,12 @@ def count_by_section(
         codec = make()
         size = np.asarray([len(codec.token.get(i, b"")) for i in range(max(codec.token) + 1)])
 
-        def one(value: str) -> tuple[np.ndarray, ...]:
+        def one(value: str, ids: bytes) -> tuple[np.ndarray, ...]:
             bounds = line_starts(value)
             stops = np.append(bounds[1:], len(value))
             counts = crossing = np.zeros(len(bounds), np.int64)
             if value:
-                begins, ends = token_spans(size[np.frombuffer(codec.encode(value), np.uint32)], value)
+                begins, ends = token_spans(size[np.frombuffer(ids, np.uint32)], value)
                 if rule == FIRST:
                     counts, crossing = count_first(begins, ends, bounds, stops)
                 else:
@@ -93,12 +93,12 @@ def count_by_section(
                     crossing = np.bincount(owner[over], minlength=len(bounds))
             return np.arange(len(bounds)), bounds, stops, counts, crossing
 
-        return one
+        return lambda texts: list(map(one, texts, codec.encode_all(texts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = work()
-        for part in slices(batches, 256):
-            found = [one(value or "") for value in texts_of(part.column(1))]
+        every = work()
+        for part in slices(batches, GROUP_ROWS):
+            found = every([value or "" for value in texts_of(part.column(1))])
             rows = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
             columns = [np.concatenate(x) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays(

@@ -68,6 +68,29 @@ def test_bpe_on_random_pieces(encoding):
             assert "".join(codec.decode(codec.encode(text))) == text
 
 
+@pytest.mark.parametrize("bounds", [{}, {"MAX_MOVES": 300, "MAX_FITS": 500, "MAX_WORDS": 200, "GROUP_CHARS": 3_000, "LEARN_FROM": 1}])
+def test_bpe_of_groups_equals_tiktoken(encoding, monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(bpe, name, value)
+    codec = bpe.Codec(bpe.parse_ranks(open(RANKS, "rb").read()), public_tokenizers.PATTERN)
+    rng = np.random.default_rng(5)
+    parts = ["th", "er", "ing", "tion", "é", "ß", "日", "\n", ",", ".", "***", "'s", " ", "  ", "\t", "12", "\x00", "\U0001f600", "ы"]
+    texts = ["".join(rng.choice(parts[: rng.integers(4, 20)] + [" "], rng.integers(1, 200))) for _ in range(500)]
+    texts += [None, "", " ", "a ", "a" * 5_000, "é" * 70, *("th" * n for n in range(25, 40))]
+    for _ in range(2):
+        for text, ids in zip(texts, codec.encode_all(texts), strict=True):
+            want = encoding.encode_ordinary(text or "")
+            assert ids == struct.pack(f"<{len(want)}I", *want)
+
+
+def test_moves_that_one_word_needs_are_not_worked_out():
+    codec = bpe.Codec(bpe.parse_ranks(open(RANKS, "rb").read()), public_tokenizers.PATTERN)
+    rng = np.random.default_rng(7)
+    words = sorted({"".join(rng.choice(["th", "er", "ing", "tion", "ou", "bl", "an"], 6)) for _ in range(2_000)})
+    codec.encode(" ".join(words))
+    assert len(words) > 1_900 and len(codec.transducer.moves) < len(words) / 4
+
+
 @pytest.mark.parametrize("rule", ["first", "last", "most"])
 def test_sections_add_up(docs, encoding, rule):
     rows = tokens_by_section.count_by_section(docs, RANKS, public_tokenizers.PATTERN, rule).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
