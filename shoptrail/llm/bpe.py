@@ -619,7 +619,7 @@ def round_trip(df: DataFrame, rank_file: str, pattern: str, id_column: str = "do
 
     narrow = df.select(F.col(id_column), F.col(text).alias(free_name(df, "text_")))
     adds = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
-    return add_columns(narrow, [narrow.columns[1]], adds, work, drops=(narrow.columns[1],))
+    return add_columns(narrow, [narrow.columns[1]], adds, work, GROUP_ROWS, drops=(narrow.columns[1],))
 
 
 def decode_column(df: DataFrame, rank_file: str, pattern: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
